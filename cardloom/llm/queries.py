@@ -16,6 +16,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardloom.llm.quality_rules import quality_verdicts
+
+    return quality_verdicts(table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardloom.llm.ngram_join import ngram_components
 
@@ -60,7 +66,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op4_ngram_join, op7_packing, op8_url_filter, op9_sharding]
+    own = [op3_quality_rules, op4_ngram_join, op7_packing, op8_url_filter, op9_sharding]
     return {f.__name__: f for f in own}
 
 
