@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import table
+from cardloom.llm.common import crc_mod, table
 
 
 def tokenizer_path() -> str:
@@ -16,6 +16,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardloom.llm.language_id import fit, predict
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.filter(crc_mod("doc_id", 5) != 0))
+    return predict(docs, model).select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "n_labelled")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardloom.llm.quality_rules import quality_verdicts
 
@@ -65,8 +73,14 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 24).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardloom.llm.html_extract import extract_pages
+
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op3_quality_rules, op4_ngram_join, op7_packing, op8_url_filter, op9_sharding]
+    own = [op1_language_id, op3_quality_rules, op4_ngram_join, op7_packing, op8_url_filter, op9_sharding, op10_html_extract]
     return {f.__name__: f for f in own}
 
 
