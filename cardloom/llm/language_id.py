@@ -14,7 +14,6 @@ go to the label first in alphabetical order.  Repeated rows are predicted each.
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,15 +45,50 @@ def core(word: str) -> str:
     return word.lower() if word.isalpha() else "".join([c for c in word if c.isalpha()]).lower()
 
 
-def features(word: str, lexicon: dict[str, int]) -> list[int]:
-    """Hashed features of a core: affixes up to three letters, inner bigrams and trigrams, and the languages whose lexicon has it."""
-    crc = zlib.crc32
-    n = len(word)
-    out = [f"p{word[:k]}" for k in range(1, min(3, n) + 1)] + [f"s{word[-k:]}" for k in range(1, min(3, n) + 1)]
-    out += [word[i : i + 2] for i in range(n - 1)] + [word[i : i + 3] for i in range(n - 2)]
-    found = lexicon.get(word, 0)
-    out += [f"lexicon {k}" for k in range(found.bit_length()) if found >> k & 1]
-    return [crc(x.encode()) % WEIGHTS for x in out]
+_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
+
+
+def _hashed(tag: int, *letters: np.ndarray) -> np.ndarray:
+    h = np.full(letters[0].shape, tag * 0x94D049BB133111EB % (1 << 64), np.uint64)
+    for letter, m in zip(letters, _MIX):
+        h = (h ^ letter.astype(np.uint64)) * m
+        h ^= h >> np.uint64(29)
+    return ((h * _MIX[3]) >> np.uint64(48)).astype(np.int32) % WEIGHTS
+
+
+def features(words: list[str], lexicon: dict[str, int], languages: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of cores, word after word, and the number of each word's: affixes up to three letters, inner bigrams and
+    trigrams, and the languages whose lexicon has the word.  Array operations over words of like length."""
+    lengths = np.array([len(w) for w in words])
+    counts = np.zeros(len(words), np.int64)
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    width, low = 8, 0
+    while low < lengths.max(initial=0):
+        own = np.flatnonzero((lengths > low) & (lengths <= width))
+        if len(own):
+            some = [words[i] for i in own.tolist()]
+            n = lengths[own][:, None]
+            letters = np.array(some, dtype=f"<U{width}").view(np.uint32).reshape(len(own), width)
+            at = np.arange(width)
+            ends = [np.take_along_axis(letters, np.maximum(n - k, 0), axis=1) for k in (1, 2, 3)]
+            blank = np.zeros_like(ends[0])
+            columns = [
+                _hashed(1, letters[:, :1]), np.where(n > 1, _hashed(2, letters[:, :1], letters[:, 1:2]), -1), np.where(n > 2, _hashed(3, letters[:, :1], letters[:, 1:2], letters[:, 2:3]), -1),
+                _hashed(4, ends[0]), np.where(n > 1, _hashed(5, ends[1], ends[0]), -1), np.where(n > 2, _hashed(6, ends[2], ends[1], ends[0]), -1),
+                np.where(at[1:] < n, _hashed(7, letters[:, :-1], letters[:, 1:]), -1), np.where(at[2:] < n, _hashed(8, letters[:, :-2], letters[:, 1:-1], letters[:, 2:]), -1),
+            ]
+            found = np.array([lexicon.get(w, 0) for w in some], dtype=object if languages > 62 else np.int64)[:, None]
+            for k in range(languages):
+                columns.append(np.where((found >> k & 1).astype(bool), _hashed(9, blank + np.uint32(k)), -1))
+            grid = np.concatenate(columns, axis=1)
+            valid = grid >= 0
+            counts[own] = valid.sum(axis=1)
+            parts.append((np.repeat(own, counts[own]), grid[valid]))
+        low, width = width, 2 * width
+    if not parts:
+        return np.zeros(0, np.int32), counts
+    order = np.argsort(np.concatenate([x for x, _ in parts]), kind="stable")
+    return np.concatenate([x for _, x in parts])[order], counts
 
 
 @dataclass
@@ -148,10 +182,9 @@ def train(texts: list[tuple[str, str]]) -> Model | None:
         for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:LEXICON_WORDS]:
             lexicon[w] = lexicon.get(w, 0) | 1 << k
     types = {w: i for i, w in enumerate(sorted({w for ws in words for w in ws}))}
-    rows = [features(w, lexicon) for w in types]
-    flat = np.array([f for r in rows for f in r])
-    starts = np.concatenate([[0], np.cumsum([len(r) for r in rows])])[:-1]
-    type_of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    flat, sizes = features(list(types), lexicon, len(languages))
+    starts = np.cumsum(sizes) - sizes
+    type_of = np.repeat(np.arange(len(types)), sizes)
     order = sorted(range(len(words)), key=lambda i: -len(words[i]))
     steps, width, k = len(words[order[0]]), len(order), len(languages)
     ids, gold = np.zeros((steps, width), np.int64), np.full((steps, width), -1)
@@ -161,7 +194,7 @@ def train(texts: list[tuple[str, str]]) -> Model | None:
     real = gold >= 0
     active = real.sum(axis=1)
     counted = np.zeros((steps, width))
-    truth = np.zeros((len(rows), k))
+    truth = np.zeros((len(types), k))
     np.add.at(truth, (ids[real], gold[real]), 1)
     true_pairs = np.zeros((k, k))
     follow = real[1:]
@@ -175,9 +208,9 @@ def train(texts: list[tuple[str, str]]) -> Model | None:
         emission = np.add.reduceat(weights[flat], starts)
         e = np.exp(emission - emission.max(axis=1, keepdims=True))[ids]
         _, every, pairs, _ = posterior(e, active, counted, np.exp(trans), np.exp(first), collect=True)
-        expected = np.zeros((len(rows), k))
+        expected = np.zeros((len(types), k))
         for c in range(k):
-            expected[:, c] = np.bincount(ids[real], every[..., c][real], minlength=len(rows))
+            expected[:, c] = np.bincount(ids[real], every[..., c][real], minlength=len(types))
         off = truth - expected
         g = np.stack([np.bincount(flat, off[type_of, c], minlength=WEIGHTS) for c in range(k)], axis=1)
         grads = [g / n - 1e-7 * weights, (true_pairs - pairs) / n - 1e-4 * trans, (true_first - every[0].sum(axis=0)) / n - 1e-4 * first]
@@ -236,13 +269,13 @@ class Labeller:
                 self.used += 1
             self.types[w] = at
         if fresh:
-            rows = [features(c, self.model.lexicon) for c in fresh]
-            flat = np.array([f for r in rows for f in r])
-            starts = np.concatenate([[0], np.cumsum([len(r) for r in rows])])[:-1]
-            scores = np.add.reduceat(self.model.weights[flat], starts)
             while len(self.table) < self.used:
                 self.table = np.concatenate([self.table, np.ones_like(self.table)])
-            self.table[self.used - len(fresh) : self.used] = np.maximum(np.exp(scores - scores.max(axis=1, keepdims=True)), 1e-12)
+            at, every = self.used - len(fresh), list(fresh)
+            for n in range(0, len(every), 10_000):
+                flat, sizes = features(every[n : n + 10_000], self.model.lexicon, len(self.model.languages))
+                scores = np.add.reduceat(self.model.weights[flat], np.cumsum(sizes) - sizes)
+                self.table[at + n : at + n + len(sizes)] = np.maximum(np.exp(scores - scores.max(axis=1, keepdims=True)), 1e-12)
 
     def shares(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Mean posteriors of each text's words with letters, and how many those are."""
