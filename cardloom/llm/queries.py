@@ -36,6 +36,15 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"), 75)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardloom.llm.toxicity import fit, score_texts
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs, table(spark, sf_dir, "labels").filter(crc_mod("doc_id", 4) != 2))
+    scored = score_texts(docs, model)
+    return scored.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_windows", "n_toxic_windows")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardloom.llm.packing import pack_documents
 
@@ -80,7 +89,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_language_id, op3_quality_rules, op4_ngram_join, op7_packing, op8_url_filter, op9_sharding, op10_html_extract]
+    own = [op1_language_id, op3_quality_rules, op4_ngram_join, op5_toxicity, op7_packing, op8_url_filter, op9_sharding, op10_html_extract]
     return {f.__name__: f for f in own}
 
 
