@@ -24,6 +24,39 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(docs, model).select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "n_labelled")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardloom.llm.license_scan import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op2_sql() -> str:
+    """The same in SQL: units, words, bigrams with their counts, and the best template at or above the threshold."""
+    from cardloom.llm.license_scan import TEMPLATES, THRESHOLD
+
+    values = ", ".join(f"({n}, '{name}', '{text.replace(chr(39), chr(39) * 2)}')" for n, (name, text) in enumerate(TEMPLATES))
+    words = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')"
+    return f"""
+    WITH lines AS (
+      SELECT doc_id, 'line' AS kind, generate_subscripts(p, 1) - 1 AS number, unnest(p) AS unit FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL)
+    ), parts AS (
+      SELECT doc_id, 'paragraph' AS kind, generate_subscripts(p, 1) - 1 AS number, unnest(p) AS unit FROM (SELECT doc_id, string_split_regex(text, '\\n(?:[^\\S\\n]*\\n)+') AS p FROM documents WHERE text IS NOT NULL)
+    ), units AS (
+      SELECT doc_id, kind, number, {words.format("unit")} AS w FROM (SELECT * FROM lines UNION ALL SELECT * FROM parts WHERE contains(trim(unit, chr(10)), chr(10)))
+    ), sized AS (SELECT row_number() OVER () AS u, *, len(w) - 1 AS n_bigrams FROM units WHERE len(w) >= 2),
+    templates AS (SELECT template, license, {words.format("text")} AS w FROM (VALUES {values}) t(template, license, text)),
+    own AS (SELECT u, a || ' ' || b AS bigram, count(*) AS k FROM (SELECT u, unnest(w[1:len(w) - 1]) AS a, unnest(w[2:]) AS b FROM sized) GROUP BY ALL),
+    held AS (SELECT template, a || ' ' || b AS bigram, count(*) AS k FROM (SELECT template, unnest(w[1:len(w) - 1]) AS a, unnest(w[2:]) AS b FROM templates) GROUP BY ALL),
+    shared AS (SELECT u, template, sum(least(own.k, held.k)) AS common FROM own JOIN held USING (bigram) GROUP BY ALL),
+    scored AS (
+      SELECT doc_id, kind, number, license, template, n_bigrams, common::BIGINT AS common, 2.0::DOUBLE * common / (n_bigrams + len(t.w) - 1) AS dice, u
+      FROM shared JOIN sized USING (u) JOIN templates t USING (template)
+    )
+    SELECT doc_id, kind, number::INT AS number, license, template, n_bigrams, common, dice
+    FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY dice DESC, template) AS r FROM scored WHERE dice >= {THRESHOLD} - 1e-9) WHERE r = 1
+    """
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardloom.llm.quality_rules import quality_verdicts
 
@@ -45,6 +78,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_windows", "n_toxic_windows")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardloom.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardloom.llm.packing import pack_documents
 
@@ -89,9 +128,9 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_language_id, op3_quality_rules, op4_ngram_join, op5_toxicity, op7_packing, op8_url_filter, op9_sharding, op10_html_extract]
+    own = [op1_language_id, op2_license_scan, op3_quality_rules, op4_ngram_join, op5_toxicity, op6_decontaminate, op7_packing, op8_url_filter, op9_sharding, op10_html_extract]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_filter": OP8_SQL}
+    return {"op2_license_scan": op2_sql(), "op8_url_filter": OP8_SQL}
