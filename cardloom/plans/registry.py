@@ -2,10 +2,41 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+_queries: dict[str, Query] = {}
+_sql: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a function under its name, with the SQL that gives the same rows."""
+
+    def keep(f: Query) -> Query:
+        _queries[f.__name__] = f
+        if sql is not None:
+            _sql[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _load() -> None:
+    from cardloom.plans import coverage, geometry, records, search, store  # noqa: F401
+
+
+def queries() -> dict[str, Query]:
+    _load()
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    _load()
+    return dict(_sql)
