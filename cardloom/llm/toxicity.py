@@ -201,14 +201,16 @@ def train(toxic: list[str], ordinary: list[str], n_toxic: int, n_ordinary: int)
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """docs: doc_id, text; labels: doc_id, toxic, of the rows to learn from.  See the module's text for the bounds of the sample."""
-    labels = labels.filter("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    labels = labels.filter("toxic in (0, 1)").select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in labels.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return None
     draw = F.pmod(F.xxhash64("doc_id", "toxic"), F.lit(1 << 30))
     chance = F.when(F.col("toxic") == 1, F.lit(min(1.0, 1.1 * SAMPLE_DOCS / counts[1]))).otherwise(F.lit(min(1.0, 1.1 * SAMPLE_DOCS / counts[0])))
     drawn = labels.filter(draw < chance * (1 << 30)).withColumn("draw", draw)
-    rows = docs.select("doc_id", "text").filter(F.length("text") <= SAMPLE_CHARS).join(drawn, "doc_id").select("toxic", "draw", "text")
+    few = docs.sparkSession.createDataFrame(bounded_rows(drawn, 8 * SAMPLE_DOCS, "the sample"), "doc_id long, toxic int, draw long")
+    # at most 8 * SAMPLE_DOCS rows, so that no text is shuffled to find theirs
+    rows = docs.select(F.col("doc_id").cast("long"), "text").filter(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(few), "doc_id").select("toxic", "draw", "text")
     by: dict[int, list[str]] = {0: [], 1: []}
     for r in sorted(bounded_rows(rows, 8 * SAMPLE_DOCS, "the sample"), key=lambda r: (r["draw"], r["text"])):
         by[r["toxic"]].append(r["text"])
