@@ -61,7 +61,7 @@ def test_forward_backward_against_enumeration():
 
 def test_licences(spark):
     mit = C.TEMPLATES[4][1]
-    rows = [(1, f"Some text.\nLicensed under the Apache License, version 2.0!\nmore"), (2, None), (3, ""), (4, "\n\n"), (5, mit.upper()), (6, "intro\n\n" + mit.replace(", ", ",\n") + "\n\nend"), (7, "nothing by the way " * 9000), (8, "released  under the\tMIT license"), (8, "released  under the\tMIT license"), (9, "under the license of others we are all equal")]
+    rows = [(1, "Some text of many words that go on and on.\nLicensed under the Apache License, version 2.0!\nmore of it follows"), (2, None), (3, ""), (4, "\n\n"), (5, mit.upper()), (6, "intro\n\n" + mit.replace(", ", ",\n") + "\n\nend"), (7, "nothing by the way " * 9000), (8, "released  under the\tMIT license"), (8, "released  under the\tMIT license"), (9, "under the license of others we are all equal")]
     got = sorted((r.doc_id, r.kind, r.number, r.license) for r in C.scan_licenses(frame(spark, rows)).collect())
     assert got == [(1, "line", 1, "Apache-2.0"), (5, "line", 0, "MIT"), (6, "paragraph", 1, "MIT"), (8, "line", 0, "MIT"), (8, "line", 0, "MIT")]
     assert C.scan_licenses(frame(spark, [])).count() == 0
@@ -112,7 +112,9 @@ def test_quality(spark):
 
 def test_toxicity(spark):
     rng = random.Random(2)
-    rows = [(i, " ".join([rng.choice(ENGLISH + SPANISH) for _ in range(60)] + [x for x in ("vilest", "rotter", "blockhead") if i % 4 == 0 for _ in range(2)])) for i in range(400)]
+    bad = ("vilest", "rotter", "blockhead")
+    word = lambda i, k: rng.choice(bad) if i % 4 == 0 and k % 12 == 5 else rng.choice(ENGLISH + SPANISH) + rng.choice("abcdefghij") * (k % 2)
+    rows = [(i, " ".join(word(i, k) for k in range(60))) for i in range(400)]
     rng.shuffle(rows)
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows if i < 300] + [(None, 1), (1, None), (99999, 1)], "doc_id long, toxic int")
     docs = frame(spark, rows)
