@@ -3,7 +3,9 @@
 A text's units are its lines and its paragraphs (runs of lines that are not blank).  A unit or template is the sequence of its
 lower-cased runs of letters and digits, and its bigrams are those of neighbouring words, with repetition.  Dice of a and b
 bigrams is 2 * common / (a + b), so at threshold t only templates with between a * t / (2 - t) and a * (2 - t) / t bigrams can reach it:
-these bounds first drop the units that fit no template, by a count of words, and then the templates that a unit doesn't fit.
+these bounds first drop the units that fit no template, by a count of words, and then the templates that a unit doesn't fit.  What is
+left must share so many bigrams that, whichever they are, they hold an anchor word of the template; texts and units without any
+anchor are dropped first.
 
 Everything is DataFrame expressions.  There is no join and no shuffle: templates are literals of the plan.  Bigrams are compared by 64-bit hashes.
 
@@ -13,6 +15,7 @@ paragraph of one line is reported as that line only.  Repeated rows are scanned
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
@@ -40,6 +43,9 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
+#: Common words.
+COMMON = frozenset("a and any as at be by for from in is it not of on or that the this to under whom with".split())
+
 _WORDS = r"[\p{L}\p{N}]+"
 
 
@@ -52,9 +58,22 @@ def bounds(bigrams: int, threshold: float) -> tuple[int, int]:
     return math.ceil(round(bigrams * threshold / (2 - threshold), 9)), math.floor(round(bigrams * (2 - threshold) / threshold, 9))
 
 
-def _units(docs: DataFrame) -> DataFrame:
-    """doc_id, kind, number (from 0) and text of the lines and paragraphs."""
-    rows = docs.filter("text is not null").select("doc_id", "text")
+def anchors(words: list[str], threshold: float) -> set[str]:
+    """Words one of which any unit has that reaches the threshold: such a unit shares at least bounds()[0] of the template's
+    bigrams, so it shares one of any set of more than the rest.  Longest words first, as these are rare elsewhere, and common ones last."""
+    pairs = list(zip(words, words[1:]))
+    spare = len(pairs) - max(1, bounds(len(pairs), threshold)[0])
+    chosen: set[str] = set()
+    for word in sorted(set(words), key=lambda w: (w in COMMON, -len(w), w)):
+        if sum(a in chosen or b in chosen for a, b in pairs) > spare:
+            break
+        chosen.add(word)
+    return chosen
+
+
+def _units(docs: DataFrame, anchored: str) -> DataFrame:
+    """doc_id, kind, number (from 0) and text of the lines and paragraphs of texts that have an anchor."""
+    rows = docs.filter(F.lower("text").rlike(anchored)).select("doc_id", "text")
     lines = rows.select("doc_id", F.lit("line").alias("kind"), F.posexplode(F.split("text", "\n", -1)).alias("number", "unit"))
     parts = rows.select("doc_id", F.lit("paragraph").alias("kind"), F.posexplode(F.split("text", r"\n(?:[^\S\n]*\n)+", -1)).alias("number", "unit"))
     return lines.unionByName(parts.filter(F.btrim("unit", F.lit("\n")).contains("\n")))
@@ -76,23 +95,23 @@ def _table(docs: DataFrame, templates: list[tuple[str, str]], threshold: float)
 def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, kind, number, license, template (its place in the list), n_bigrams, common and dice of every unit that matches."""
     table = _table(docs, templates, threshold)
+    found = sorted({w for _, text in templates for w in anchors(template_words(text), threshold)})
+    anchored = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(map(re.escape, found))})(?![\p{{L}}\p{{N}}])"
     n_words = F.regexp_count("unit", F.lit(_WORDS)).cast("long")
-    units = _units(docs).withColumn("n_bigrams", n_words - 1).filter(F.col("n_bigrams").between(min(t["low"] for t in table), max(t["high"] for t in table)))
+    units = _units(docs, anchored).filter(F.lower("unit").rlike(anchored)).withColumn("n_bigrams", n_words - 1).filter(F.col("n_bigrams").between(min(t["low"] for t in table), max(t["high"] for t in table)))
     words = F.regexp_extract_all(F.lower("unit"), F.lit(_WORDS), F.lit(0))
     pairs: Column = F.transform(F.array(words), lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1))))[0]
-    every = F.lit(sorted({h for t in table for h in t["held"]}))
-    near = units.select("doc_id", "kind", "number", "n_bigrams", pairs.alias("pairs")).filter(F.arrays_overlap("pairs", every))
-
-    def scored(n: int, t: dict) -> Column:
-        """dice, place and common of one template; null where the bounds rule it out."""
-        held = F.array(*[F.struct(F.lit(h).alias("h"), F.lit(k).cast("long").alias("k")) for h, k in sorted(t["held"].items())])
-        common = F.aggregate(held, F.lit(0).cast("long"), lambda acc, e: acc + F.least(e["k"], F.size(F.filter(F.col("pairs"), lambda x: x == e["h"])).cast("long")))
-        return F.when(
-            F.col("n_bigrams").between(t["low"], t["high"]),
-            F.transform(F.array(common), lambda c: F.struct((2.0 * c / (F.col("n_bigrams") + t["size"])).alias("dice"), F.lit(-n).alias("place"), c.alias("common")))[0],
-        )
-
-    best = F.array_max(F.array(*[scored(n, t) for n, t in enumerate(table)]))
-    names = F.element_at(F.lit([t["name"] for t in table]), 1 - F.col("best.place"))
-    found = near.withColumn("best", best).filter(F.col("best.dice") >= threshold - 1e-9)
-    return found.select("doc_id", "kind", "number", names.alias("license"), (-F.col("best.place")).alias("template"), "n_bigrams", F.col("best.common").alias("common"), F.col("best.dice").alias("dice"))
+    near = units.select("doc_id", "kind", "number", "n_bigrams", pairs.alias("pairs"))
+
+    kind = "array<struct<place:int,name:string,size:int,low:int,high:int,held:array<struct<h:bigint,k:bigint>>>>"
+    rows = [{**t, "place": n, "held": [{"h": h, "k": k} for h, k in sorted(t["held"].items())]} for n, t in enumerate(table)]
+    known = F.from_json(F.lit(json.dumps(rows)), kind)  # a constant of the plan
+
+    def scored(t: Column) -> Column:
+        """dice, place, common and name of one template."""
+        common = F.aggregate(t["held"], F.lit(0).cast("long"), lambda acc, e: acc + F.least(e["k"], F.size(F.filter("pairs", lambda x: x == e["h"])).cast("long")))
+        return F.transform(F.array(common), lambda c: F.struct((2.0 * c / (F.col("n_bigrams") + t["size"])).alias("dice"), (-t["place"]).alias("place"), c.alias("common"), t["name"].alias("name")))[0]
+
+    fitting = F.filter(known, lambda t: F.col("n_bigrams").between(t["low"], t["high"]))
+    best = near.withColumn("best", F.array_max(F.transform(fitting, scored))).filter(F.col("best.dice") >= threshold - 1e-9)
+    return best.select("doc_id", "kind", "number", F.col("best.name").alias("license"), (-F.col("best.place")).alias("template"), "n_bigrams", F.col("best.common").alias("common"), F.col("best.dice").alias("dice"))
