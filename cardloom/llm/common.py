@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -61,3 +62,26 @@ def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
     if len(rows) > limit:
         raise ValueError(f"{what} has more than {limit} rows; it is not small enough to broadcast")
     return rows
+
+
+#: Rows of texts in an Arrow batch.  Batches are held at once by a task's JVM side and its Python worker.
+TEXT_BATCH_ROWS = 1000
+
+
+def with_small_batches(df: DataFrame) -> DataFrame:
+    """df, in a session whose Arrow batches have at most TEXT_BATCH_ROWS rows: texts are long, and the session's default of 10,000
+    rows would cost each task some 100 MB on either side."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= TEXT_BATCH_ROWS:
+        conf.set(name, str(TEXT_BATCH_ROWS))
+    return df
+
+
+def trim_memory() -> None:
+    """Give freed memory of this Python worker back to the system: workers live on, and share an executor's memory with its JVM."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

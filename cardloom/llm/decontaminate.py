@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardloom.llm.common import with_small_batches
+
 CHARS_PER_ERROR = 18
 LEAST_CHARS = 24
 BLOCK_CHARS = 20_000_000
@@ -156,7 +158,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     total = benchmark.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // BLOCK_CHARS))
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    rows = with_small_batches(docs).select(F.col("doc_id").cast("long"), "text")
     out = None
     for block in range(blocks):
         own = benchmark.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).select(F.col("item_id").cast("long"), "text").collect()  # BLOCK_CHARS on average

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardloom.llm.common import with_small_batches
+
 #: Elements whose content is no text; block-level elements; elements without an end tag.
 NO_TEXT = frozenset("script style noscript template svg math iframe object canvas audio video head select datalist textarea title".split())
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
@@ -269,5 +271,5 @@ def extract_pages(pages: DataFrame, labelled: list[tuple[tuple[float, ...], int]
                 texts = pa.array([main_text(x, tree) for x in some.column(2).to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), texts], ["page_id", "url", "text"])
 
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
+    rows = with_small_batches(pages).select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     return rows.mapInArrow(extract, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import bounded_rows
+from cardloom.llm.common import bounded_rows, trim_memory, with_small_batches
 
 SAMPLE_DOCS = 150
 SAMPLE_CHARS = 20_000
@@ -34,9 +34,9 @@ EPOCHS = 50
 #: Words of a stretch of one language in a training sequence, and words of a sequence.
 STRETCH = (2, 12)
 SEQUENCE = 240
-#: Word types a worker remembers, and padded words it handles at once.
-CACHE_WORDS = 400_000
-PADDED = 600_000
+#: Word types above which a worker starts anew (between batches), and padded words it handles at once.
+CACHE_WORDS = 150_000
+PADDED = 400_000
 UNKNOWN = "und"
 
 
@@ -255,8 +255,6 @@ class Labeller:
         self.used = 1
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.types) + len(words) > CACHE_WORDS:
-            self._clear()
         fresh: dict[str, int] = {}
         for w in words:
             c = core(w)
@@ -279,14 +277,13 @@ class Labeller:
 
     def shares(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Mean posteriors of each text's words with letters, and how many those are."""
-        cut = [(x or "").split() for x in texts]
-        if new := {w for ws in cut for w in ws} - self.types.keys():
-            before = self.used
-            self._learn(new)
-            if self.used < before:
-                self._learn({w for ws in cut for w in ws} - self.types.keys())
-        types = self.types
-        ids = [np.array([types[w] for w in ws], np.int32) for ws in cut]
+        if len(self.types) > CACHE_WORDS:
+            self._clear()
+        types, ids = self.types, []
+        for at in range(0, len(texts), 250):  # words of few texts at a time: only their numbers are kept
+            cut = [(x or "").split() for x in texts[at : at + 250]]
+            self._learn({w for ws in cut for w in ws} - types.keys())
+            ids += [np.array([types[w] for w in ws], np.int32) for ws in cut]
         total, counts = np.zeros((len(texts), len(self.model.languages))), np.array([np.count_nonzero(x) for x in ids])
         order = sorted((i for i in range(len(ids)) if len(ids[i])), key=lambda i: -len(ids[i]))
         at = 0
@@ -322,5 +319,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                     langs = [labeller.model.languages[b] if c else UNKNOWN for b, c in zip(best.tolist(), counts.tolist())]
                     scores = np.where(counts > 0, np.clip(shares[np.arange(n), best], 0, 1), 0.0)
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(counts, pa.int64())], ["doc_id", "lang_pred", "score", "n_labelled"])
+        del labeller
+        trim_memory()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(label, "doc_id long, lang_pred string, score double, n_labelled long")
+    return with_small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(label, "doc_id long, lang_pred string, score double, n_labelled long")

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import staged
+from cardloom.llm.common import staged, trim_memory, with_small_batches
 from cardloom.llm.graph import connected_components
 from cardloom.llm.shingles import hashed_texts
 
@@ -35,6 +35,9 @@ from cardloom.llm.shingles import hashed_texts
 BUCKET_SHINGLES = 2_000_000
 SHINGLE_BYTES = 6
 LEAST_BUCKETS = 32
+#: Rows (their numbers have 16 bits) and bytes of text of a block.
+BLOCK_ROWS = 10_000
+BLOCK_BYTES = 32 << 20
 #: Texts of a candidate cluster that one task verifies against as many others.
 CLUSTER_TEXTS = 1024
 
@@ -106,22 +109,40 @@ def _arrow_rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(block, pa.int64()), pa.array(head, pa.bool_()), pa.array(blob, pa.binary())], ["bucket", "block", "head", "blob"])
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """doc_ids and texts of blocks of at most BLOCK_ROWS rows and, but for longer single batches, BLOCK_BYTES of text."""
+    held: list[pa.RecordBatch] = []
+    rows = size = 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, BLOCK_ROWS):
+            some = batch.slice(at, BLOCK_ROWS)
+            more = some.column(1).nbytes
+            if held and (rows + some.num_rows > BLOCK_ROWS or size + more > BLOCK_BYTES):
+                table = pa.Table.from_batches(held).combine_chunks()
+                yield table.column(0).combine_chunks(), table.column(1).combine_chunks()
+                held, rows, size = [], 0, 0
+            held.append(some)
+            rows, size = rows + some.num_rows, size + more
+    if held:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table.column(0).combine_chunks(), table.column(1).combine_chunks()
+
+
 def _block_sender(buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 24
-        for batch in batches:
-            for at in range(0, batch.num_rows, 10_000):
-                some = batch.slice(at, 10_000)
-                waiting, size = [], 0
-                for row in _block_rows(some.column(0), some.column(1), block, buckets):
-                    waiting.append(row)
-                    size += len(row[3])
-                    if size > 4 << 20:
-                        yield _arrow_rows(waiting)
-                        waiting, size = [], 0
-                if waiting:
+        for ids, texts in _blocks(batches):
+            waiting, size = [], 0
+            for row in _block_rows(ids, texts, block, buckets):
+                waiting.append(row)
+                size += len(row[3])
+                if size > 4 << 20:
                     yield _arrow_rows(waiting)
-                block += 1
+                    waiting, size = [], 0
+            if waiting:
+                yield _arrow_rows(waiting)
+            block += 1
+        trim_memory()
 
     return send
 
@@ -156,7 +177,9 @@ def _count_bucket(rows):
             if cuts[k] < cuts[k + 1]:
                 at = place[cuts[k] : cuts[k + 1]]
                 out.append((bucket, block, False, _packed(((at - (ends[k] - len(tokens[k]))).astype(np.uint32), _planes(every[at]), np.minimum(count[cuts[k] : cuts[k + 1]], 0xFFFF).astype(np.uint16)))))
-    return pa.Table.from_batches([_arrow_rows(out)])
+    done = pa.Table.from_batches([_arrow_rows(out)])
+    trim_memory()
+    return done
 
 
 def _block_joiner(percent: int):
@@ -187,6 +210,8 @@ def _block_joiner(percent: int):
         enough[head["own"]] = True
         enough &= (np.diff(cuts) >= least_overlap(n, percent)) & (n > 0)
         blobs = [key[cuts[i] : cuts[i + 1]].tobytes() if enough[i] else None for i in range(len(n))]
+        del doc, key, docs, keys, order, holder
+        trim_memory()
         return pa.table({
             "doc_id": pa.array(head["ids"], pa.int64(), mask=head["id_null"]), "n": pa.array(n), "key1": pa.array(head["key1"].view(np.int64)), "key2": pa.array(head["key2"].view(np.int64)), "ranked": pa.array(blobs, pa.binary()),
         })
@@ -199,7 +224,7 @@ def ranked_sets(docs: DataFrame, percent: int = 75) -> DataFrame:
     partners, rarest first, as unsigned 64-bit integers (documents that hold it, then its hash).  Every shingle is counted."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, -(-size // (SHINGLE_BYTES * BUCKET_SHINGLES)))
-    sent = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_block_sender(buckets), _BLOCK_SCHEMA)
+    sent = with_small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(_block_sender(buckets), _BLOCK_SCHEMA)
     counted = sent.groupBy("bucket").applyInArrow(_count_bucket, _BLOCK_SCHEMA)
     return staged(counted.groupBy("block").applyInArrow(_block_joiner(percent), "doc_id long, n long, key1 long, key2 long, ranked binary"), "ranked")
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import staged
+from cardloom.llm.common import staged, trim_memory, with_small_batches
 
 #: Pieces a group may hold on average, and how many of the emptiest bins of a group go on to the next round.
 GROUP_PIECES = 8000
@@ -26,7 +26,7 @@ OPEN_BINS = 24
 FAN_IN = 64
 
 #: Words whose ids a Python worker remembers; the table is emptied when it is full.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 200_000
 
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]*)\Z")
@@ -113,6 +113,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, e
     stop = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim_memory()
         encoder = _encoder(tokenizer_path)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
@@ -127,7 +128,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, e
                         ids.append(raw[x : x + width])
                 yield pa.RecordBatch.from_arrays([pa.array(docs_, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "piece", "start", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, "doc_id long, piece int, start long, ids binary")
+    return with_small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, "doc_id long, piece int, start long, ids binary")
 
 
 def best_fit_decreasing(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -160,15 +161,17 @@ def local_search(bins: list[list[int]], sizes: list[int], capacity: int, tries:
     least = -(-sum(fill) // capacity)
     live = {b for b in range(len(bins)) if fill[b] < capacity}
     count = len(bins)
+    stuck: set[int] = set()  # bins that had no step since the last one was taken
     for _ in range(tries):
-        if count <= least or len(live) < 2:
+        if count <= least or len(live) < 2 or len(stuck) >= len(live):
             break
-        giver = min(live, key=lambda b: (fill[b], b))
-        takers = sorted((b for b in live if b != giver), key=lambda b: (-fill[b], b))
+        giver = min(live - stuck, key=lambda b: (fill[b], b))
+        takers = sorted((b for b in live if b != giver and fill[b] >= fill[giver]), key=lambda b: (-fill[b], b))  # any gain raises the squares
         step = _best_step(bins, sizes, fill, capacity, giver, takers)
         if step is None:
-            live.discard(giver)  # nothing can be done for this bin; the next one may still empty
+            stuck.add(giver)  # nothing can be done for this bin now; the next one may still empty
             continue
+        stuck.clear()
         out, taker, back = step
         for i in out:
             bins[giver].remove(i)

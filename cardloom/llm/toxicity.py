@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import bounded_rows
+from cardloom.llm.common import bounded_rows, with_small_batches
 
 SAMPLE_DOCS = 2000
 SAMPLE_CHARS = 30_000
@@ -234,4 +234,4 @@ def score_texts(docs: DataFrame, model: Model | None) -> DataFrame:
                 scores = model.score(np.array(x).reshape(-1, 3)) if model else np.zeros(some.num_rows)
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(scores, pa.float64()), pa.array(n, pa.int64()), pa.array(many, pa.int64())], ["doc_id", "score", "n_windows", "n_toxic_windows"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(score, "doc_id long, score double, n_windows long, n_toxic_windows long")
+    return with_small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(score, "doc_id long, score double, n_windows long, n_toxic_windows long")
