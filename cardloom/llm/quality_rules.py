@@ -5,7 +5,8 @@ enough rows that pass the base rules, the location and scatter with the smallest
 are found from three deterministic starts (coordinate-wise, spatial signs, hyperbolic tangents) by concentration steps: sort by
 distance, keep the nearest, estimate again.  All starts take each step together, as one grouped aggregation over a staged table
 of a few numbers per document.  A row is rejected if its squared Mahalanobis distance exceeds the cutoff.  Sources with too few rows
-share an estimate per language, and languages with too few share one for all; below that, only the base rules hold.
+are judged by an estimate from all sources of their language.  Where the whole language has too few for concentration steps, its
+estimate is the coordinate-wise start, medians and quartiles with the variance floors; languages are never judged by each other.
 
 Everything is DataFrame expressions.  The variance floors keep a statistic that is constant in clean text (no symbols at all)
 from rejecting the first document with one.
@@ -28,7 +29,9 @@ STATISTICS = 4
 FLOORS = (0.06, 0.4, 0.4, 0.5)
 SHARE = 0.75
 STEPS = 3
+#: Sound rows below which an estimate takes no concentration steps, and the first letter of the keys of such estimates.
 LEAST_ROWS = 100
+FEW = "q"
 #: Clean rows that a normal distribution would lose.
 TAIL = 1e-5
 STARTS = ("a", "b", "c")
@@ -171,36 +174,34 @@ def _first(rows: DataFrame) -> DataFrame:
 
 
 def _keys(rows: DataFrame) -> DataFrame:
-    """lang, source and the key of the estimate that judges them; no row where too few remain for any."""
+    """lang, source, the key of the estimate that judges them, and grounds: the keys of the estimates that are made from them."""
     own = rows.filter("not base_failed").groupBy("lang", "source").agg(F.count("*").alias("n"))
-    rare = own.filter(F.col("n") < LEAST_ROWS)
-    by_lang = rare.groupBy("lang").agg(F.sum("n").alias("nl"))
-    rest = by_lang.filter(F.col("nl") < LEAST_ROWS).agg(F.coalesce(F.sum("nl"), F.lit(0)).alias("ng"))
-    key = (
-        F.when(F.col("n") >= LEAST_ROWS, F.concat(F.lit("s"), F.to_json(F.struct("lang", "source"))))
-        .when(F.col("nl") >= LEAST_ROWS, F.concat(F.lit("l"), F.to_json(F.struct("lang"))))
-        .when(F.col("ng") >= LEAST_ROWS, F.lit("all"))
-    )
+    by_lang = own.groupBy("lang").agg(F.sum("n").alias("nl"), F.min("n").alias("least"))
+    source_key = F.when(F.col("n") >= LEAST_ROWS, F.concat(F.lit("s"), F.to_json(F.struct("lang", "source"))))
+    lang_key = F.concat(F.when(F.col("nl") >= LEAST_ROWS, F.lit("l")).otherwise(F.lit(FEW)), F.to_json(F.struct("lang")))
+    grounds = F.array_compact(F.array(source_key, F.when(F.col("least") < LEAST_ROWS, lang_key)))
     same = F.col("own.lang").eqNullSafe(F.col("by.lang"))
-    joined = own.alias("own").join(by_lang.alias("by"), same, "left").select("own.lang", "own.source", "n", "nl")
-    total = rest.first()["ng"]  # one number
-    return staged(joined.withColumn("ng", F.lit(total)).select("lang", "source", key.alias("key")).filter("key is not null"), "keys")
+    joined = own.alias("own").join(by_lang.alias("by"), same).select("own.lang", "own.source", "n", "nl", "least")
+    return staged(joined.select("lang", "source", F.coalesce(source_key, lang_key).alias("key"), grounds.alias("grounds")), "keys")
 
 
 def quality_verdicts(docs: DataFrame) -> DataFrame:
-    """doc_id, the five counts, base_failed, kept, and distance (the squared Mahalanobis distance; null without an estimate)."""
+    """doc_id, the five counts, base_failed, kept, and distance (the squared Mahalanobis distance; null if no row of the language and source passes the base rules)."""
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rows = text_statistics(docs).withColumn("base_failed", failed)
     rows = staged(rows.select("*", *[x.alias(f"x{i}") for i, x in enumerate(_vector())]), "statistics")
     keys = _keys(rows)
     same = F.col("r.lang").eqNullSafe(F.col("k.lang")) & F.col("r.source").eqNullSafe(F.col("k.source"))
-    keyed = staged(rows.alias("r").join(keys.alias("k"), same, "left").select("r.*", "key").drop("lang", "source"), "keyed")
-    sound = keyed.filter("key is not null and not base_failed").select("key", *[f"x{i}" for i in range(STATISTICS)])
-    params = _first(sound)
+    keyed = staged(rows.alias("r").join(keys.alias("k"), same, "left").select("r.*", "key", "grounds").drop("lang", "source"), "keyed")
+    sound = keyed.filter("key is not null and not base_failed").select(F.explode("grounds").alias("key"), *[f"x{i}" for i in range(STATISTICS)])
+    first = _first(sound)
+    few = F.col("key").startswith(FEW)
+    params = first.filter(~few)
     for _ in range(STEPS):
         params = _nearest(sound, params)
     least = F.least(*[f"det{s}" for s in STARTS])
     best = params.select("key", *[F.when(F.col("deta") == least, F.col(a)).when(F.col("detb") == least, F.col(b)).otherwise(F.col(c)).alias(a) for a, b, c in zip(*map(_parameters, STARTS))])
+    best = best.unionByName(first.filter(few).select("key", *_parameters("a")))
     distance = _distance("a")
     judged = keyed.join(best, "key", "left").withColumn("distance", distance)
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True))

@@ -107,6 +107,22 @@ def test_quality(spark):
     assert abs(Q.CUTOFF - 28.47) < 0.01
 
 
+def test_rare_sources_are_judged_by_their_language(spark):
+    rng = random.Random(9)
+    make = lambda tail="": " ".join(rng.choice(["ab", "cde", "fghi", "jk", "l"]) + str(rng.randrange(900)) + tail for _ in range(rng.randrange(60, 200)))
+    large = [(i, make(), "en", "large") for i in range(300)]
+    junk = [(1000 + i, make("###$$$"), "en", "new") for i in range(60)]
+    fair = [(2000 + i, make(), "en", "fair") for i in range(10)]
+    small = [(3000 + i, make("zzz"), "xx", f"s{i % 3}") for i in range(40)]
+    odd = [(4000 + i, make("zzz###$$$"), "xx", f"s{i}") for i in range(3)]
+    lone = [(5000, make("y" * 12), None, None), (5001, make("w" * 30), "yy", "a"), (5002, make(), "yy", "b")]
+    got = {r.doc_id: r for r in Q.quality_verdicts(frame(spark, [*large, *junk, *fair, *small, *odd, *lone])).collect()}
+    assert not any(got[r[0]].kept for r in [*junk, *odd])
+    assert all(got[r[0]].kept for r in [*large, *fair, *small, *lone])
+    few = {r.doc_id: r for r in Q.quality_verdicts(frame(spark, [*small, *odd])).collect()}
+    assert not any(few[r[0]].kept for r in odd) and all(few[r[0]].kept for r in small)
+
+
 # toxicity
 
 
