@@ -69,9 +69,6 @@ class WordEncoder:
                     self.parts[word] = self.whole(word)
 
     def learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > CACHE_WORDS:
-            self.words.clear()
-            self.parts.clear()
         split: list[tuple[str, str, str]] = []
         letters: dict[str, None] = {}
         for word in words:
@@ -94,10 +91,11 @@ class WordEncoder:
         cut = [[] if o else x.split() for x, o in zip(texts, odd)]
         known = self.words
         if new := {w for ws in cut for w in ws if w not in known}:
-            before = len(known)
+            if len(known) + len(new) > CACHE_WORDS:  # words met before are unknown once the table is emptied
+                known.clear()
+                self.parts.clear()
+                new = {w for ws in cut for w in ws}
             self.learn(new)
-            if len(known) < before:  # the table was emptied: words met before may be unknown now
-                self.learn({w for ws in cut for w in ws if w not in known})
         return [self.whole(x) if o else b"".join([known[w] for w in ws]) for x, ws, o in zip(texts, cut, odd)]
 
 

@@ -32,6 +32,14 @@ def test_pieces_hold_the_tokenizers_ids(spark):
         assert sorted(got[i]) == [(n, a, ids[a : a + 64]) for n, a in enumerate(range(0, len(ids), 64))]
 
 
+def test_words_met_before_survive_an_emptied_table(monkeypatch):
+    monkeypatch.setattr(P, "CACHE_WORDS", 20)
+    encoder = P.WordEncoder(tokenizer_path())
+    slices = [["the one, two three four five"], ["the " + " ".join(f"new{i}" for i in range(17)), "one, more"], ["the " + " ".join(f"more{i}" for i in range(60))], ["the one, two"]]
+    for texts in slices:  # as many new words as were known, or more than the table takes
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode_all(texts)] == [reference(x)[:-1] for x in texts]
+
+
 def test_packing_is_gapless_and_tight(spark, monkeypatch):
     monkeypatch.setattr(P, "GROUP_PIECES", 40)
     rng = random.Random(3)
