@@ -40,7 +40,8 @@ HINT = re.compile(
 KEEP = re.compile(r"(?:^|[\s_-])(?:article|articlebody|post|entry|content|story|body|main|text|markdown)(?:$|[\s_-])")
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)(?:>|\Z)", re.S)
-_NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden|itemprop)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+#: Every attribute with its value, so that a value is never taken for a name.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>"']\S*)))?|"[^"]*(?:"|\Z)|'[^']*(?:'|\Z)""")
 _SPACE = re.compile(r"\s+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -60,8 +61,8 @@ def _hints(attributes: str) -> tuple[bool, bool]:
     if not attributes:
         return False, False
     chrome = keep = False
-    for found in _NAMES.finditer(attributes):
-        name = found[1].lower()
+    for found in _ATTRIBUTE.finditer(attributes):
+        name = (found[1] or "").lower()
         value = (found[2] or found[3] or found[4] or "").strip()
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             chrome = True

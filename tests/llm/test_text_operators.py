@@ -229,6 +229,17 @@ def test_html(spark):
     assert H.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize(("attributes", "hidden"), [
+    ("style=\"overflow:hidden\"", False), ("style='overflow: hidden'", False), ("data-hidden=false", False), ("data-x=\"not hidden\"", False), ("title='class=\"sidebar\"'", False), ("data-class=sidebar", False), ("style=\"overflow: hidden", False),
+    ("hidden", True), ("HIDDEN", True), ("id=a hidden=\"\"", True), ("class=\"x\"hidden", True), ("style=\"a:b\" hidden", True), ("aria-hidden = 'true'", True), ("aria-hidden=false", False), ("class = sidebar", True),
+])
+def test_only_the_attribute_named_hidden_hides(attributes, hidden):
+    assert H._hints(" " + attributes)[0] == hidden
+    if attributes.count('"') % 2 == 0:
+        page = f"<body><div {attributes}><p>This paragraph is long enough to be the text of a page, one would say.</p></div></body>"
+        assert (H.main_text(page, H.grow(H.labelled_table())) == "") == hidden
+
+
 def test_articles_of_the_driver_pages(spark, sf):
     import html
     import re
