@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cardloom.functions import text as X
 from cardloom.operators import coverage as C
-from cardloom.plans.registry import query, table
+from cardloom.plans.registry import query, table, whole
 
 _BASE = """
 WITH regions AS (SELECT r_name AS "districtName", n_nationkey AS "asmblyNo", n_name AS name FROM nation JOIN region ON n_regionkey = r_regionkey),
@@ -61,10 +61,19 @@ SELECT "asmblyNo", "partNo", EXISTS (FROM scanned s WHERE s."asmblyNo" = c."asmb
   CASE WHEN EXISTS (FROM scanned s WHERE s."asmblyNo" = c."asmblyNo" AND s."partNo" = c."partNo") THEN CASE WHEN "partNo" % 2 = 0 THEN "partNo" + 1 ELSE 9 END ELSE 0 END AS "invalidCount",
   EXISTS (FROM downloaded d WHERE d."asmblyNo" = c."asmblyNo" AND d."partNo" = c."partNo") AS "hasPdf" FROM cells c""")
 def coverage_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _coverage_cells(spark, sf_dir, _totals(spark, sf_dir).filter("total < 700"))
+
+
+@query(whole("coverage_cells", " WHERE total < 700"))
+def coverage_cells_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _coverage_cells(spark, sf_dir, _totals(spark, sf_dir))
+
+
+def _coverage_cells(spark: SparkSession, sf_dir: str, totals: DataFrame) -> DataFrame:
     _, scanned, downloaded = _frames(spark, sf_dir)
     done = scanned.distinct()
     counts = done.filter("partNo % 2 = 0").withColumn("invalid", F.col("partNo") + 1)
-    return C.part_cells(_totals(spark, sf_dir).filter("total < 700").select("asmblyNo", "total"), scanned, downloaded, counts, done.withColumn("invalid", F.lit(9).cast("long")), ["asmblyNo"])
+    return C.part_cells(totals.select("asmblyNo", "total"), scanned, downloaded, counts, done.withColumn("invalid", F.lit(9).cast("long")), ["asmblyNo"])
 
 
 @query("""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cardloom.operators import assign as A
 from cardloom.operators import geometry as G
 from cardloom.operators import records as R
-from cardloom.plans.registry import query, table
+from cardloom.plans.registry import query, table, whole
 
 
 def _seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,15 +62,33 @@ f AS (SELECT user_id, n, cy, cy AS anchor, 1 AS line FROM t WHERE n = 1
 g AS (SELECT f.user_id, f.line, string_agg('e' || t.event_id, ' ' ORDER BY t.event_id % 50, t.n) AS text FROM f JOIN t ON t.user_id = f.user_id AND t.n = f.n GROUP BY ALL)
 SELECT user_id, string_agg(text, '|' ORDER BY line) AS lines FROM g GROUP BY user_id""")
 def anchor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _anchor_lines(table(spark, sf_dir, "events").filter("event_id < 3000"))
+
+
+@query(whole("anchor_lines", " WHERE event_id < 3000"))
+def anchor_lines_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _anchor_lines(table(spark, sf_dir, "events"))
+
+
+def _anchor_lines(events: DataFrame) -> DataFrame:
     cy = (F.col("event_id") * 7 % 97).cast("double")
     token = F.struct((cy - 6).alias("y0"), (F.col("event_id") % 50).cast("double").alias("x0"), cy.alias("cy"), F.lit(12.0).alias("height"), F.concat(F.lit("e"), "event_id").alias("text"))
-    tokens = table(spark, sf_dir, "events").filter("event_id < 3000").groupBy("user_id").agg(F.collect_list(token).alias("tokens"))
+    tokens = events.groupBy("user_id").agg(F.collect_list(token).alias("tokens"))
     return tokens.select("user_id", F.array_join(R.grouped_lines(F.col("tokens")), "|").alias("lines"))
 
 
 @query("SELECT page, r * 3 + c AS card_index, x + w * c // 3 + 6 AS cell_x, y + h * r // 10 + 6 AS cell_y, w * (c + 1) // 3 - w * c // 3 - 12 + (x + w * (c + 1) // 3) - (x + w * (c + 1) // 3) AS cell_w, h * (r + 1) // 10 - h * r // 10 - 12 AS cell_h FROM (SELECT p_partkey AS page, 40 + p_size AS x, 60 AS y, 1800 + p_size AS w, 2600 AS h FROM part WHERE p_partkey < 50), unnest(range(10)) a(r), unnest(range(3)) b(c)")
 def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "part").filter("p_partkey < 50").select(F.col("p_partkey").alias("page"), (F.col("p_size") + 40).alias("x"), F.lit(60).alias("y"), (F.col("p_size") + 1800).alias("w"), F.lit(2600).alias("h"))
+    return _grid_cells(table(spark, sf_dir, "part").filter("p_partkey < 50"))
+
+
+@query(whole("grid_cells", " WHERE p_partkey < 50"))
+def grid_cells_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _grid_cells(table(spark, sf_dir, "part"))
+
+
+def _grid_cells(parts: DataFrame) -> DataFrame:
+    pages = parts.select(F.col("p_partkey").alias("page"), (F.col("p_size") + 40).alias("x"), F.lit(60).alias("y"), (F.col("p_size") + 1800).alias("w"), F.lit(2600).alias("h"))
     return G.grid_cells(pages).withColumn("card_index", F.col("card_index").cast("long"))
 
 
@@ -127,9 +145,18 @@ f AS (SELECT user_id, 1 AS n, [{'x': x, 'y': y}] AS kept FROM o WHERE n = 1
   UNION ALL SELECT o.user_id, (f.n + 1)::INT, CASE WHEN len(list_filter(kept, lambda k: abs(k.x - o.x) < 18 AND abs(k.y - o.y) < 18)) > 0 THEN kept ELSE list_append(kept, {'x': o.x, 'y': o.y}) END FROM f JOIN o ON o.user_id = f.user_id AND o.n = f.n + 1)
 SELECT user_id, len(kept)::INT AS kept, list_sum(list_transform(kept, lambda k: k.x))::BIGINT AS sum_x FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC) AS r FROM f) WHERE r = 1""")
 def nms_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _nms_greedy(table(spark, sf_dir, "events").filter("event_id < 1500"))
+
+
+@query(whole("nms_greedy", " WHERE event_id < 1500"))
+def nms_greedy_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _nms_greedy(table(spark, sf_dir, "events"))
+
+
+def _nms_greedy(events: DataFrame) -> DataFrame:
     e = F.col("event_id")
     box = F.struct((e * 31 % 120).alias("x"), (e * 17 % 90).alias("y"), (200 + e % 7).alias("w"), (80 + e % 5).alias("h"))
-    boxes = table(spark, sf_dir, "events").filter("event_id < 1500").groupBy("user_id").agg(F.collect_list(box).alias("boxes"))
+    boxes = events.groupBy("user_id").agg(F.collect_list(box).alias("boxes"))
     kept = boxes.select("user_id", G.suppressed(F.col("boxes")).alias("kept"))
     return kept.select("user_id", F.size("kept").alias("kept"), F.aggregate("kept", F.lit(0).cast("long"), lambda a, b: a + b["x"]).alias("sum_x"))
 
