@@ -4,9 +4,9 @@ Each word has affix, character n-gram and lexicon features; transitions between
 with them.  A text's language is the one with the largest share of posterior label mass (forward-backward) over its words with letters.
 Training sequences are made by switching between whole labelled documents every few words.
 
-The model is fitted on the driver from a bounded sample: about SAMPLE_DOCS documents of each of the MAX_LANGUAGES most frequent
-labels, drawn by a hash of doc_id, of at most SAMPLE_CHARS characters each.  All counts behind the draw cover all rows, and
-predictions cover every whole text.
+The model is fitted on the driver from a bounded sample of every label: at most SAMPLE_DOCS documents of each, fewer where there are
+many labels, drawn by a hash of doc_id and text, and the first SAMPLE_CHARS characters of each at most, fewer where there are many
+labels.  All counts behind the draw cover all rows, and predictions cover every whole text.
 
 Defined results.  Null text, or one without a letter: `und`, score 0.  No labelled row at all: every text is `und`, score 0.  Ties
 go to the label first in alphabetical order.  Repeated rows are predicted each.  Empty table: no rows.  Further columns are ignored.
@@ -27,16 +27,23 @@ from cardloom.llm.common import bounded_rows, trim_memory, with_small_batches
 
 SAMPLE_DOCS = 150
 SAMPLE_CHARS = 20_000
-MAX_LANGUAGES = 64
+#: Documents and characters of the sample over all labels, as long as each label has LEAST_DOCS of LEAST_CHARS.  Beyond SOME_LANGUAGES
+#: labels the characters shrink in proportion, as each word then has that many more posteriors.
+SAMPLE_TOTAL = 64 * SAMPLE_DOCS
+SAMPLE_TOTAL_CHARS = 24_000_000
+SOME_LANGUAGES = 8
+LEAST_DOCS, LEAST_CHARS = 8, 200
 LEXICON_WORDS = 300
 WEIGHTS = 1 << 16
 EPOCHS = 50
 #: Words of a stretch of one language in a training sequence, and words of a sequence.
 STRETCH = (2, 12)
 SEQUENCE = 240
-#: Word types above which a worker starts anew (between batches), and padded words it handles at once.
+#: Word types above which a worker starts anew (between batches), and padded words it handles at once, of models of up to
+#: MANY_LANGUAGES labels; of larger models so many fewer that memory stays the same.
 CACHE_WORDS = 150_000
 PADDED = 400_000
+MANY_LANGUAGES = 64
 UNKNOWN = "und"
 
 
@@ -222,21 +229,28 @@ def train(texts: list[tuple[str, str]]) -> Model | None:
     return Model(languages, weights.astype(np.float32), trans, first, lexicon)
 
 
+def sample_sizes(languages: int) -> tuple[int, int]:
+    """Documents of each label in the sample, and characters of each document."""
+    each = max(LEAST_DOCS, min(SAMPLE_DOCS, SAMPLE_TOTAL // languages))
+    total = SAMPLE_TOTAL_CHARS * SOME_LANGUAGES // max(SOME_LANGUAGES, languages)
+    return each, max(LEAST_CHARS, min(SAMPLE_CHARS, total // (each * languages)))
+
+
 def fit(rows: DataFrame) -> Model | None:
     """rows: doc_id, text and lang of the documents to learn from.  See the module's text for the bounds of the sample."""
     rows = rows.filter("lang is not null and text is not null").select("doc_id", "text", "lang")
-    top = sorted(rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect())
-    if not top:
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()  # one row per label
+    if not counts:
         return None
-    chance = F.lit(0.0)
-    for r in top:
-        chance = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, 2.0 * SAMPLE_DOCS / r["n"]))).otherwise(chance)
+    each, chars = sample_sizes(len(counts))
+    chances = [(r["lang"], min(1.0, (2.0 * each + 16) / r["n"])) for r in counts]
+    drawn_by = F.broadcast(rows.sparkSession.createDataFrame(chances, "lang string, chance double"))
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    drawn = rows.filter((draw < chance * (1 << 30)) & (F.length("text") <= SAMPLE_CHARS)).withColumn("draw", draw)
+    drawn = rows.withColumn("draw", draw).join(drawn_by, "lang").filter(F.col("draw") < F.col("chance") * (1 << 30)).select("lang", "draw", F.substring("text", 1, chars).alias("text"))
     by: dict[str, list] = {}
-    for r in sorted(bounded_rows(drawn, 8 * SAMPLE_DOCS * len(top) + 1000, "the sample"), key=lambda r: (r["draw"], r["text"])):
+    for r in sorted(bounded_rows(drawn, 4 * (2 * each + 16) * len(counts) + 1000, "the sample"), key=lambda r: (r["draw"], r["text"])):
         by.setdefault(r["lang"], []).append((r["lang"], r["text"]))
-    return train([x for lang in sorted(by) for x in by[lang][:SAMPLE_DOCS]])
+    return train([x for lang in sorted(by) for x in by[lang][:each]])
 
 
 class Labeller:
@@ -246,6 +260,8 @@ class Labeller:
         self.model = model
         self.trans = np.exp(model.transitions).astype(np.float32)
         self.first = np.exp(model.first - model.first.max()).astype(np.float32)
+        many = max(MANY_LANGUAGES, len(model.languages))
+        self.cache_words, self.padded = CACHE_WORDS * MANY_LANGUAGES // many, PADDED * MANY_LANGUAGES // many
         self._clear()
 
     def _clear(self) -> None:
@@ -277,7 +293,7 @@ class Labeller:
 
     def shares(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Mean posteriors of each text's words with letters, and how many those are."""
-        if len(self.types) > CACHE_WORDS:
+        if len(self.types) > self.cache_words:
             self._clear()
         types, ids = self.types, []
         for at in range(0, len(texts), 250):  # words of few texts at a time: only their numbers are kept
@@ -289,7 +305,7 @@ class Labeller:
         at = 0
         while at < len(order):
             steps = len(ids[order[at]])
-            some = order[at : at + max(1, PADDED // steps)]
+            some = order[at : at + max(1, self.padded // steps)]
             grid = np.zeros((steps, len(some)), np.int32)
             lengths = np.array([len(ids[i]) for i in some])
             for j, i in enumerate(some):
@@ -303,7 +319,7 @@ class Labeller:
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, lang_pred, score and n_labelled (words with letters) of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most WEIGHTS x MAX_LANGUAGES numbers
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # WEIGHTS numbers per label
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(shared.value) if shared.value is not None else None

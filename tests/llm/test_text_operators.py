@@ -40,6 +40,23 @@ def test_languages_and_code_switching(spark):
     assert L.predict(docs.limit(2), None).first().lang_pred == "und"
 
 
+def test_every_label_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(L, "EPOCHS", 3)
+    rows = [(i, " ".join(f"{chr(97 + k // 26)}{chr(97 + k % 26)}{w}" for w in ("na", "bel", "tor", "is")), f"l{k:02}", "s") for k in range(70) for i in (2 * k, 2 * k + 1)]
+    assert L.fit(frame(spark, rows)).languages == [f"l{k:02}" for k in range(70)]
+    books = [(i, " ".join(ENGLISH) + " ", "en", "s") for i in range(40)] + [(100 + i, " ".join(SPANISH) + f" {i}" + " el niño está con las cosas" * 2000, "es", "s") for i in range(3)]
+    model = L.fit(frame(spark, books))
+    assert model.languages == ["en", "es"] and L.predict(frame(spark, [(1, "los que está para el niño")]), model).first().lang_pred == "es"
+
+
+def test_the_sample_is_bounded():
+    assert L.sample_sizes(4) == (L.SAMPLE_DOCS, L.SAMPLE_CHARS)
+    for k in (1, 8, 64, 65, 200, 1000):
+        each, chars = L.sample_sizes(k)
+        assert each >= L.LEAST_DOCS and chars >= L.LEAST_CHARS and each * k <= max(L.SAMPLE_TOTAL, L.LEAST_DOCS * k)
+        assert each * chars * k <= max(L.SAMPLE_TOTAL_CHARS, L.LEAST_CHARS * each * k)
+
+
 def test_forward_backward_against_enumeration():
     from itertools import product
 
