@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import functools
 import random
 import zlib
 from collections import defaultdict
@@ -15,11 +16,15 @@ from tests.llm.helpers import frame
 TEXTS = ["It's here.", "", None, " \n", "Ünïcode Straße İstanbul ﬁ é x̸", "a\x1cb \x85c d e", "<|endoftext|> and<|startoftext|>x", "12'34 don't ***'' we've!!", "名前 は 😀 :) " * 5, "word " * 5000, "x" * 9000, "It's here."]
 
 
-def reference(text):
+@functools.cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokenizer_path())
-    return t.encode(text or "", add_special_tokens=False).ids + [0]
+    return Tokenizer.from_file(tokenizer_path())
+
+
+def reference(text):
+    return tokenizer().encode(text or "", add_special_tokens=False).ids + [0]
 
 
 def test_pieces_hold_the_tokenizers_ids(spark):
@@ -32,12 +37,80 @@ def test_pieces_hold_the_tokenizers_ids(spark):
         assert sorted(got[i]) == [(n, a, ids[a : a + 64]) for n, a in enumerate(range(0, len(ids), 64))]
 
 
-def test_words_met_before_survive_an_emptied_table(monkeypatch):
-    monkeypatch.setattr(P, "CACHE_WORDS", 20)
+ODD = ["<|endoftext|>x (foo) [bar]; a.b x_y _z_", "각 각 한국어 조선말 가́", "नमस्ते हिन्दी ไทย ''s 's a's", "²³ x² Ⅷ ⅷa ªº ½½x", "ΑΣ ΟΔΟΣ. ǅ ŉ ẞ ﬀ", "w" * 70 + " end"]
+
+
+def test_encoder_against_the_tokenizer_in_any_slices(monkeypatch):
     encoder = P.WordEncoder(tokenizer_path())
-    slices = [["the one, two three four five"], ["the " + " ".join(f"new{i}" for i in range(17)), "one, more"], ["the " + " ".join(f"more{i}" for i in range(60))], ["the one, two"]]
-    for texts in slices:  # as many new words as were known, or more than the table takes
-        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode_all(texts)] == [reference(x)[:-1] for x in texts]
+    rng = random.Random(1)
+    alphabet = "abcdefgXYZ éÉßǅİıΣσς'.,-(!½²각가\u1100\u1161\u0301名 \t\nаБ"
+    texts = [*TEXTS, *ODD, *("".join(rng.choice(alphabet) for _ in range(rng.randrange(80))) for _ in range(300)), " ".join(f"new{i} word{chr(97 + i % 26)}x" for i in range(3_000))]
+    expected = [reference(x)[:-1] for x in texts]
+    for size, some in ((P.SLICE_CHARS, len(texts)), (500, len(texts)), (7, 60)):
+        monkeypatch.setattr(P, "SLICE_CHARS", size)
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode_all(texts[:some])] == expected[:some]
+
+
+def test_rows_without_a_doc_id_spread_over_the_groups(spark, monkeypatch):
+    monkeypatch.setattr(P, "GROUP_PIECES", 50)
+    keys: list[int] = []
+    packer = P._group_packer
+
+    def counted(level, capacity):
+        if level == 0:
+            keys.append(level)
+        return packer(level, capacity)
+
+    monkeypatch.setattr(P, "_group_packer", counted)
+    pieces = spark.range(400).selectExpr("cast(null as long) as doc_id", "0 as piece", "0L as start", "30L as length", "7L as ids_crc32")
+    out = P.pack(pieces, 100)
+    first = {(r.sequence_id >> 24) & 0xFFFFFFFF for r in out.collect()}
+    assert keys and len(first) > 1 and out.count() == 400 and 134 <= out.filter("offset = 0").count() <= 134 + 8  # no bin can be filled, so each group may hold one with room
+
+
+def fewest(sizes, capacity):
+    """Bins of an optimal packing, by trying every place of every item."""
+    best = len(sizes)
+
+    def place(n, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if n == len(sizes):
+            best = len(bins)
+            return
+        for i in sorted({b: k for k, b in enumerate(bins) if b + sizes[n] <= capacity}.values()):
+            place(n + 1, [*bins[:i], bins[i] + sizes[n], *bins[i + 1 :]])
+        place(n + 1, [*bins, sizes[n]])
+
+    place(0, [])
+    return best
+
+
+def test_search_against_exact_packings():
+    rng = random.Random(11)
+    exact = 0
+    for _ in range(60):
+        sizes = sorted((rng.randrange(5, 60) for _ in range(10)), reverse=True)
+        found = P.local_search(P.best_fit_decreasing(sizes, 100), sizes, 100)
+        best = fewest(sizes, 100)
+        assert P.least_bins(sizes, 100) <= best <= len(found) <= best + 1
+        exact += len(found) == best
+    assert exact >= 57
+
+
+def test_search_ends_where_no_step_is_left():
+    rng = random.Random(12)
+    sizes = [rng.randrange(20, 45) for _ in range(60)]
+    bins = P.local_search(P.best_fit_decreasing(sizes, 100), sizes, 100)
+    live = [P._Bin(b, sizes, 100) for b in bins if sum(sizes[i] for i in b) < 100]
+    if len(bins) > P.least_bins(sizes, 100):
+        for a in live:
+            for b in live:
+                if a is not b and b.fill >= a.fill:
+                    gains = [s - t for s in a.sizes for t in [0, *b.sizes]] + [sizes[i] - sizes[j] - sizes[k] for i in a.items for n, j in enumerate(b.items) for k in b.items[n + 1 :]]
+                    gains += [sizes[i] + sizes[j] - t for n, i in enumerate(a.items) for j in a.items[n + 1 :] for t in b.sizes]
+                    assert not any(0 < g <= 100 - b.fill for g in gains)
 
 
 def test_packing_is_gapless_and_tight(spark, monkeypatch):
