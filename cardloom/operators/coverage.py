@@ -88,9 +88,9 @@ def part_cells(assemblies: DataFrame, scanned: DataFrame, downloaded: DataFrame,
 
 
 def in_assembly(number: int, district: str | None, folder: str = "districtFolder") -> Column:
-    """Ledger rows of an assembly; an empty district matches any."""
-    same = F.lit(True) if not district else X.spaced(F.col(folder)) == district.replace("_", " ").strip().lower()
-    return (F.col("asmblyNo") == number) & same
+    """Ledger rows of an assembly; a row without a district belongs to any."""
+    held = X.spaced(F.coalesce(F.col(folder), F.lit("")))
+    return (F.col("asmblyNo") == number) & ((held == "") | (held == (district or "").replace("_", " ").strip().lower()))
 
 
 def first_known(value: str, order: str) -> Column:

@@ -13,20 +13,22 @@ def box_columns(x: str = "x", y: str = "y", w: str = "w", h: str = "h") -> dict[
 
 
 def clipped(width: Column, height: Column, x: str = "x", y: str = "y", w: str = "w", h: str = "h") -> dict[str, Column]:
-    """The box inside a page: corners moved to its edges."""
-    left, top = F.least(F.greatest(F.col(x), F.lit(0)), width), F.least(F.greatest(F.col(y), F.lit(0)), height)
-    right, bottom = F.least(F.greatest(F.col(x) + F.col(w), F.lit(0)), width), F.least(F.greatest(F.col(y) + F.col(h), F.lit(0)), height)
+    """The box inside a page: the near corner is moved to 0 at least, the far one to the page's far edges at most.  A box wholly
+    beyond the page keeps its near corner and is empty."""
+    left, top = F.greatest(F.col(x), F.lit(0)), F.greatest(F.col(y), F.lit(0))
+    right, bottom = F.least(F.col(x) + F.col(w), width), F.least(F.col(y) + F.col(h), height)
     return {"cx": left, "cy": top, "cw": F.greatest(right - left, F.lit(0)), "ch": F.greatest(bottom - top, F.lit(0))}
 
 
 def pixel_box(box: tuple[float, ...], width: Column, height: Column) -> Column:
-    """A relative box in pixels, rounded half to even and kept inside."""
+    """A relative box in pixels: place and extent are each rounded half to even, the extent is at least 1, and the box is cut at
+    the far edges of its parent."""
     bx, by, bw, bh = map(float, box)
-    left = F.least(F.greatest(F.bround(width * bx).cast("int"), F.lit(0)), width - 1)
-    top = F.least(F.greatest(F.bround(height * by).cast("int"), F.lit(0)), height - 1)
-    right = F.least(F.greatest(F.bround(width * (bx + bw)).cast("int"), left + 1), width)
-    bottom = F.least(F.greatest(F.bround(height * (by + bh)).cast("int"), top + 1), height)
-    return F.struct(left.alias("x"), top.alias("y"), (right - left).alias("w"), (bottom - top).alias("h"))
+    whole = lambda share, side: F.rint(F.lit(share) * side).cast("int")
+    left = F.greatest(F.lit(0), F.least(F.greatest(F.lit(0), width - 1), whole(bx, width)))
+    top = F.greatest(F.lit(0), F.least(F.greatest(F.lit(0), height - 1), whole(by, height)))
+    wide, high = F.greatest(F.lit(1), whole(bw, width)), F.greatest(F.lit(1), whole(bh, height))
+    return F.struct(left.alias("x"), top.alias("y"), F.least(wide, width - left).alias("w"), F.least(high, height - top).alias("h"))
 
 
 def token_centre(bbox: Column) -> dict[str, Column]:
@@ -64,42 +66,70 @@ def peaks(df: DataFrame, key: str, index: str, value: str, least: Column | float
 
 
 def runs(df: DataFrame, key: str, index: str, on: Column, least: int) -> DataFrame:
-    """key, low, high: maximal runs of consecutive indices that are on, at least so long."""
+    """key, low, high: maximal runs of consecutive indices that are on, at least so long; high is the first index after the run."""
     lit = df.filter(on)
     island = F.col(index) - F.row_number().over(Window.partitionBy(key).orderBy(index))
-    out = lit.withColumn("_island", island).groupBy(key, "_island").agg(F.min(index).alias("low"), F.max(index).alias("high")).drop("_island")
-    return out.filter(F.col("high") - F.col("low") + 1 >= least)
+    out = lit.withColumn("_island", island).groupBy(key, "_island").agg(F.min(index).alias("low"), (F.max(index) + 1).alias("high")).drop("_island")
+    return out.filter(F.col("high") - F.col("low") >= least)
 
 
-def padded_bands(bands: DataFrame, key: str, pad: Column | int, limit: Column | int) -> DataFrame:
-    """Bands widened by pad, but not into their neighbours or over the limit; what would be empty keeps its own bounds."""
+def body_runs(bands: DataFrame, top: Column | int) -> DataFrame:
+    """Runs whose centre is not above the top of the body."""
+    return bands.filter((F.col("low") + F.col("high")) / 2 >= top)
+
+
+def padded_bands(bands: DataFrame, key: str, pad: Column | int, top: Column | int, bottom: Column | int) -> DataFrame:
+    """Bands widened by pad, but not into their neighbours: the first one not above top, the last one not below bottom; what would
+    be empty keeps its own bounds."""
     w = Window.partitionBy(key).orderBy("low")
-    start = F.greatest(F.coalesce(F.lag("high").over(w), F.lit(0)), F.col("low") - pad)
-    stop = F.least(F.coalesce(F.lead("low").over(w), F.lit(limit)), F.col("high") + pad)
+    whole = lambda c: c if isinstance(c, Column) else F.lit(c)
+    start = F.greatest(F.coalesce(F.lag("high").over(w), whole(top)), F.col("low") - pad)
+    stop = F.least(F.coalesce(F.lead("low").over(w), whole(bottom)), F.col("high") + pad)
     out = bands.withColumns({"_a": start, "_b": stop})
     return out.withColumns({"padLow": F.when(F.col("_b") > F.col("_a"), F.col("_a")).otherwise(F.col("low")), "padHigh": F.when(F.col("_b") > F.col("_a"), F.col("_b")).otherwise(F.col("high"))}).drop("_a", "_b")
 
 
 def grid_cells(pages: DataFrame, layout: Layout = LAYOUT) -> DataFrame:
-    """Cells of the card grid of each page (page, x, y, w, h of its content frame), inset on all sides."""
+    """Cells of the card grid of each page, inset on all sides, at least one pixel large, and cut at the page.  pages: page, x, w (its content
+    frame), dividers (of rows, see row_dividers), page_w and page_h."""
     cells = pages.withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(layout.rows - 1)))).withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(layout.columns - 1))))
-    left = F.expr(f"x + w * col div {layout.columns}") + layout.inset
-    top = F.expr(f"y + h * row div {layout.rows}") + layout.inset
-    right = F.expr(f"x + w * (col + 1) div {layout.columns}") - layout.inset
-    bottom = F.expr(f"y + h * (row + 1) div {layout.rows}") - layout.inset
-    return cells.select("page", (F.col("row") * layout.columns + F.col("col")).alias("card_index"), left.alias("cell_x"), top.alias("cell_y"), (right - left).alias("cell_w"), (bottom - top).alias("cell_h"))
+    edge = lambda n: F.rint(F.col("x") + n * (F.col("w") / layout.columns)).cast("long")
+    x0, x1 = edge(F.col("col")) + layout.inset, edge(F.col("col") + 1) - layout.inset
+    y0, y1 = F.get("dividers", F.col("row")) + layout.inset, F.get("dividers", F.col("row") + 1) - layout.inset
+    boxed = cells.select("page", "page_w", "page_h", (F.col("row") * layout.columns + F.col("col")).alias("card_index"), x0.alias("x"), y0.alias("y"), F.greatest(x1 - x0, F.lit(1)).alias("w"), F.greatest(y1 - y0, F.lit(1)).alias("h"))
+    cut = clipped(F.col("page_w"), F.col("page_h"))
+    return boxed.select("page", "card_index", *[cut[a].cast("long").alias(b) for a, b in (("cx", "cell_x"), ("cy", "cell_y"), ("cw", "cell_w"), ("ch", "cell_h"))])
 
 
 def row_dividers(lines: Column, top: Column, height: Column, rows: int = LAYOUT.rows) -> Column:
-    """The first rows + 1 of the clustered lines if there are so many, else equal steps."""
-    steps = F.transform(F.sequence(F.lit(0), F.lit(rows)), lambda i: F.floor(top + height * i / rows).cast("long"))
-    return F.when(F.size(lines) >= rows + 1, F.slice(lines, 1, rows + 1)).otherwise(steps)
-
-
-def content_frame(page_size: Column, low_peak: Column, high_peak: Column, low_share: float, high_share: float) -> Column:
-    """One side of the content frame: the outer peaks where found, else fixed shares of the page."""
-    low = F.coalesce(low_peak, F.floor(page_size * low_share))
-    return F.struct(low.alias("low"), F.coalesce(high_peak, F.floor(page_size * high_share)).alias("high"))
+    """The first rows + 1 of the clustered lines if there are so many, else equal steps, rounded half to even."""
+    steps = F.transform(F.sequence(F.lit(0), F.lit(rows)), lambda i: F.rint(top + i * (height / rows)).cast("long"))
+    return F.when(F.size(lines) >= rows + 1, F.slice(lines, 1, rows + 1).cast("array<long>")).otherwise(steps)
+
+
+def content_frame(vertical: Column, horizontal: Column, width: Column, height: Column, layout: Layout = LAYOUT) -> Column:
+    """struct<x, y, w, h> of the printable table, from the peaks of dark columns and rows (arrays): the outermost peaks in the
+    margins where such lines are expected, else fixed shares of the page; those also if the two horizontal ones are not 50 apart."""
+    left_share, right_share, top_share, bottom_share = layout.frame
+    share = lambda side, part: F.floor(side * part).cast("long")
+    left = F.coalesce(F.array_min(F.filter(vertical, lambda p: p < width * 0.08)), share(width, left_share))
+    right = F.coalesce(F.array_max(F.filter(vertical, lambda p: p > width * 0.92)), share(width, right_share))
+    top = F.coalesce(F.array_min(F.filter(horizontal, lambda p: (p > height * 0.015) & (p < height * 0.12))), share(height, top_share))
+    bottom = F.coalesce(F.array_max(F.filter(horizontal, lambda p: p > height * 0.85)), share(height, bottom_share))
+    near = bottom <= top + 50
+    top, bottom = F.when(near, share(height, top_share)).otherwise(top), F.when(near, share(height, bottom_share)).otherwise(bottom)
+    return F.struct(left.alias("x"), top.alias("y"), F.greatest(right - left, F.lit(1)).alias("w"), F.greatest(bottom - top, F.lit(1)).alias("h"))
+
+
+def dark_profile(pixels: DataFrame, key: str, axis: str, value: str = "grey", limit: int = 120) -> DataFrame:
+    """key, axis, dark: how many pixels of each column (axis x) or row (axis y) are darker than the limit."""
+    return pixels.groupBy(key, axis).agg(F.count_if(F.col(value) < limit).alias("dark"))
+
+
+def crop_rectangle(box: tuple[float, ...], x: Column, y: Column, w: Column, h: Column) -> Column:
+    """A relative box of a card in pixels of its page."""
+    inner = pixel_box(box, w, h)
+    return F.struct((x + inner["x"]).alias("x"), (y + inner["y"]).alias("y"), inner["w"].alias("w"), inner["h"].alias("h"))
 
 
 def card_shaped(w: Column, h: Column, page_w: Column, page_h: Column, layout: Layout = LAYOUT) -> Column:

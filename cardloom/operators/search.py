@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -23,17 +24,27 @@ def matches(query: str | None, fields: tuple[str, ...] = SEARCH_FIELDS) -> Colum
     return reduce(lambda a, b: a & b, [F.contains(haystack, F.lit(w)) for w in query_words(query)], F.lit(True))
 
 
-def district_filter(folder: str, constituency: str = "constituency", path: str = SOURCE_KEY) -> Column:
-    spaced, p = folder.replace("_", " "), F.coalesce(F.col(path), F.lit(""))
-    starts = p.startswith(f"{folder}/") | p.startswith(f"{folder.replace(' ', '_')}/") | p.startswith(f"{spaced}/")
-    return starts | (~p.contains("/") & F.lower(F.coalesce(F.col(constituency), F.lit(""))).contains(spaced.lower()))
+def _assembly_name(ac: str | None, constituency: str) -> Column:
+    """Whether the constituency holds the name of an assembly given as number and name; false if it is not given so."""
+    found = re.match(r"\d+_(.*\S.*)", (ac or "").strip().replace(" ", "_"))
+    if not found:
+        return F.lit(False)
+    name, held = found[1].strip().lower(), F.lower(F.coalesce(F.col(constituency), F.lit("")))
+    return held.contains(name.replace("_", " ").strip()) | held.contains(name)
 
 
-def assembly_filter(folder: str, constituency: str = "constituency", path: str = SOURCE_KEY) -> Column:
-    """folder: number_Name."""
-    name = folder.split("_", 1)[1] if "_" in folder else folder
-    held = F.lower(F.coalesce(F.col(constituency), F.lit("")))
-    return F.coalesce(F.col(path), F.lit("")).contains(f"/{folder}/") | held.contains(name.replace("_", " ").lower()) | held.contains(name.lower())
+def district_filter(district: str, ac: str | None = None, constituency: str = "constituency", path: str = SOURCE_KEY) -> Column:
+    """Paths that start with the district, as given, with spaces or with underscores.  A bare file name has no district in it: it
+    passes only if the assembly asked for is that of its constituency, so never without one."""
+    given, p = district.strip(), F.coalesce(F.col(path), F.lit(""))
+    starts = p.startswith(f"{given}/") | p.startswith(f"{given.replace(' ', '_')}/") | p.startswith(f"{given.replace('_', ' ')}/")
+    return starts | (~p.contains("/") & _assembly_name(ac, constituency))
+
+
+def assembly_filter(ac: str, constituency: str = "constituency", path: str = SOURCE_KEY) -> Column:
+    """ac: number and name, with underscores or spaces."""
+    folder = ac.strip().replace(" ", "_")
+    return F.coalesce(F.col(path), F.lit("")).contains(f"/{folder}/") | _assembly_name(ac, constituency)
 
 
 def assembly_number_filter(number: int, path: str = SOURCE_KEY) -> Column:
@@ -45,11 +56,16 @@ def part_filter(number: int, part: str = "partNo", path: str = SOURCE_KEY) -> Co
     return p.endswith(f"/part_{number}.pdf") | (p == f"part_{number}.pdf") | F.coalesce(F.col(part) == number, F.lit(False))
 
 
+def worth_asking(query: str | None, *filters: object) -> bool:
+    """An interactive search asks only with a filter or with two characters at least."""
+    return any(f is not None and f != "" for f in filters) or len((query or "").strip()) >= 2
+
+
 def search(registry: DataFrame, query: str | None = "", district: str | None = None, ac: str | None = None, assembly: int | None = None, part: int | None = None, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(all matches, their first page in a fixed order).  No query and no filter match nothing; a filter alone is enough."""
     filters = []
     if district:
-        filters.append(district_filter(district))
+        filters.append(district_filter(district, ac))
     if ac:
         filters.append(assembly_filter(ac))
     elif assembly is not None:

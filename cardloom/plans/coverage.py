@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cardloom.functions import text as X
 from cardloom.operators import coverage as C
-from cardloom.plans.registry import query, table, whole
+from cardloom.plans.registry import query, table
 
 _BASE = """
 WITH regions AS (SELECT r_name AS "districtName", n_nationkey AS "asmblyNo", n_name AS name FROM nation JOIN region ON n_regionkey = r_regionkey),
@@ -52,7 +52,7 @@ def coverage_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree.select("districtName", "scanned", "total", F.array_join(shown, ",").alias("assemblies"))
 
 
-@query(_BASE + """, marked AS (SELECT t.*, EXISTS (FROM downloaded d WHERE d."asmblyNo" = t."asmblyNo") AS has_any FROM totals t WHERE total < 700),
+@query(_BASE + """, marked AS (SELECT t.*, EXISTS (FROM downloaded d WHERE d."asmblyNo" = t."asmblyNo") AS has_any FROM totals t),
 cells AS (
   SELECT "asmblyNo", unnest(range(1, total + 1)) AS "partNo" FROM marked WHERE NOT has_any
   UNION ALL SELECT * FROM (SELECT "asmblyNo", "partNo" FROM downloaded UNION SELECT "asmblyNo", "partNo" FROM scanned) WHERE "asmblyNo" IN (SELECT "asmblyNo" FROM marked WHERE has_any)
@@ -61,15 +61,7 @@ SELECT "asmblyNo", "partNo", EXISTS (FROM scanned s WHERE s."asmblyNo" = c."asmb
   CASE WHEN EXISTS (FROM scanned s WHERE s."asmblyNo" = c."asmblyNo" AND s."partNo" = c."partNo") THEN CASE WHEN "partNo" % 2 = 0 THEN "partNo" + 1 ELSE 9 END ELSE 0 END AS "invalidCount",
   EXISTS (FROM downloaded d WHERE d."asmblyNo" = c."asmblyNo" AND d."partNo" = c."partNo") AS "hasPdf" FROM cells c""")
 def coverage_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _coverage_cells(spark, sf_dir, _totals(spark, sf_dir).filter("total < 700"))
-
-
-@query(whole("coverage_cells", " WHERE total < 700"))
-def coverage_cells_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _coverage_cells(spark, sf_dir, _totals(spark, sf_dir))
-
-
-def _coverage_cells(spark: SparkSession, sf_dir: str, totals: DataFrame) -> DataFrame:
+    totals = _totals(spark, sf_dir)
     _, scanned, downloaded = _frames(spark, sf_dir)
     done = scanned.distinct()
     counts = done.filter("partNo % 2 = 0").withColumn("invalid", F.col("partNo") + 1)
@@ -88,7 +80,7 @@ def lookup_two_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.two_tier(left, right, ["folder"], [(X.spaced(F.col("folder")), "trim(lower(translate(folder, '_', ' ')))")], "code").select("c_custkey", "code")
 
 
-@query("""SELECT s_suppkey, s_nationkey FROM supplier WHERE s_nationkey = 7 AND lower(replace('Far_East', '_', ' ')) = CASE WHEN s_suppkey % 2 = 0 THEN 'far east' ELSE 'west' END""")
+@query("SELECT s_suppkey, s_nationkey FROM supplier WHERE s_nationkey = 7 AND s_suppkey % 4 <> 1")
 def ledger_of_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", F.col("s_nationkey").alias("asmblyNo"), F.when(F.col("s_suppkey") % 2 == 0, "FAR_East").otherwise("West").alias("districtFolder"))
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", F.col("s_nationkey").alias("asmblyNo"), F.when(F.col("s_suppkey") % 4 == 0, "FAR_East").when(F.col("s_suppkey") % 4 == 1, "West").when(F.col("s_suppkey") % 4 == 2, " ").alias("districtFolder"))
     return rows.filter(C.in_assembly(7, "Far_East")).select("s_suppkey", "s_nationkey")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cardloom.operators import assign as A
 from cardloom.operators import geometry as G
 from cardloom.operators import records as R
-from cardloom.plans.registry import query, table, whole
+from cardloom.plans.registry import query, table
 
 
 def _seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def line_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _RUNS = """WITH h AS (SELECT event_type, (hour(ts) + 24 * (day(ts) - 1))::BIGINT AS i, count(*) AS n FROM events GROUP BY ALL),
 g AS (SELECT *, i - row_number() OVER (PARTITION BY event_type ORDER BY i) AS island FROM h WHERE n >= 3),
-r AS (SELECT event_type, min(i) AS low, max(i) AS high FROM g GROUP BY event_type, island HAVING max(i) - min(i) + 1 >= 2) """
+r AS (SELECT event_type, min(i) AS low, max(i) + 1 AS high FROM g GROUP BY event_type, island HAVING count(*) >= 2) """
 
 
 def _bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,47 +49,56 @@ def ink_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bands(spark, sf_dir)
 
 
-@query(_RUNS + """, p AS (SELECT *, greatest(coalesce(lag(high) OVER w, 0), low - 2) AS a, least(coalesce(lead(low) OVER w, 750), high + 2) AS b FROM r WINDOW w AS (PARTITION BY event_type ORDER BY low))
-SELECT event_type, low, high, CASE WHEN b > a THEN a ELSE low END AS "padLow", CASE WHEN b > a THEN b ELSE high END AS "padHigh" FROM p""")
+@query(_RUNS + """, body AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY low) AS k FROM r WHERE low + high >= 240),
+p AS (SELECT b.*, CASE WHEN before.high IS NULL THEN 120 ELSE before.high END AS floor_, CASE WHEN after.low IS NULL THEN 700 ELSE after.low END AS ceiling_
+  FROM body b LEFT JOIN body before ON before.event_type = b.event_type AND before.k = b.k - 1 LEFT JOIN body after ON after.event_type = b.event_type AND after.k = b.k + 1),
+q AS (SELECT *, CASE WHEN low - 2 < floor_ THEN floor_ ELSE low - 2 END AS a, CASE WHEN high + 2 > ceiling_ THEN ceiling_ ELSE high + 2 END AS b FROM p)
+SELECT event_type, low, high, CASE WHEN b <= a THEN low ELSE a END AS "padLow", CASE WHEN b <= a THEN high ELSE b END AS "padHigh" FROM q""")
 def band_padding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.padded_bands(_bands(spark, sf_dir), "event_type", 2, 750)
+    return G.padded_bands(G.body_runs(_bands(spark, sf_dir), 120), "event_type", 2, 120, 700)
 
 
 @query("""
-WITH RECURSIVE t AS (SELECT user_id, event_id, (event_id * 7 % 97)::DOUBLE AS cy, row_number() OVER (PARTITION BY user_id ORDER BY event_id * 7 % 97 - 6, event_id % 50, event_id * 7 % 97, 'e' || event_id) AS n FROM events WHERE event_id < 3000),
-f AS (SELECT user_id, n, cy, cy AS anchor, 1 AS line FROM t WHERE n = 1
-  UNION ALL SELECT t.user_id, t.n, t.cy, CASE WHEN abs(t.cy - f.anchor) <= 8 THEN f.anchor ELSE t.cy END, CASE WHEN abs(t.cy - f.anchor) <= 8 THEN f.line ELSE f.line + 1 END FROM f JOIN t ON t.user_id = f.user_id AND t.n = f.n + 1),
-g AS (SELECT f.user_id, f.line, string_agg('e' || t.event_id, ' ' ORDER BY t.event_id % 50, t.n) AS text FROM f JOIN t ON t.user_id = f.user_id AND t.n = f.n GROUP BY ALL)
-SELECT user_id, string_agg(text, '|' ORDER BY line) AS lines FROM g GROUP BY user_id""")
+WITH RECURSIVE t AS (SELECT user_id, floor(epoch(ts) / 86400)::BIGINT AS day, event_id, (event_id * 7 % 97)::DOUBLE AS cy, row_number() OVER (PARTITION BY user_id, floor(epoch(ts) / 86400) ORDER BY event_id * 7 % 97 - 6, event_id % 50, event_id * 7 % 97, 'e' || event_id) AS n FROM events),
+f AS (SELECT user_id, day, n, cy, cy AS anchor, 1 AS line FROM t WHERE n = 1
+  UNION ALL SELECT t.user_id, t.day, t.n, t.cy, CASE WHEN abs(t.cy - f.anchor) <= 8 THEN f.anchor ELSE t.cy END, CASE WHEN abs(t.cy - f.anchor) <= 8 THEN f.line ELSE f.line + 1 END FROM f JOIN t ON t.user_id = f.user_id AND t.day = f.day AND t.n = f.n + 1),
+g AS (SELECT f.user_id, f.day, f.line, string_agg('e' || t.event_id, ' ' ORDER BY t.event_id % 50, t.n) AS text FROM f JOIN t ON t.user_id = f.user_id AND t.day = f.day AND t.n = f.n GROUP BY ALL)
+SELECT user_id, day, string_agg(text, '|' ORDER BY line) AS lines FROM g GROUP BY user_id, day""")
 def anchor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _anchor_lines(table(spark, sf_dir, "events").filter("event_id < 3000"))
-
-
-@query(whole("anchor_lines", " WHERE event_id < 3000"))
-def anchor_lines_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _anchor_lines(table(spark, sf_dir, "events"))
-
-
-def _anchor_lines(events: DataFrame) -> DataFrame:
+    """A user's day is a page, so that an array holds one page's tokens, however many rows a user has."""
     cy = (F.col("event_id") * 7 % 97).cast("double")
     token = F.struct((cy - 6).alias("y0"), (F.col("event_id") % 50).cast("double").alias("x0"), cy.alias("cy"), F.lit(12.0).alias("height"), F.concat(F.lit("e"), "event_id").alias("text"))
-    tokens = events.groupBy("user_id").agg(F.collect_list(token).alias("tokens"))
-    return tokens.select("user_id", F.array_join(R.grouped_lines(F.col("tokens")), "|").alias("lines"))
+    tokens = _days(spark, sf_dir).groupBy("user_id", "day").agg(F.collect_list(token).alias("tokens"))
+    return tokens.select("user_id", "day", F.array_join(R.grouped_lines(F.col("tokens")), "|").alias("lines"))
 
 
-@query("SELECT page, r * 3 + c AS card_index, x + w * c // 3 + 6 AS cell_x, y + h * r // 10 + 6 AS cell_y, w * (c + 1) // 3 - w * c // 3 - 12 + (x + w * (c + 1) // 3) - (x + w * (c + 1) // 3) AS cell_w, h * (r + 1) // 10 - h * r // 10 - 12 AS cell_h FROM (SELECT p_partkey AS page, 40 + p_size AS x, 60 AS y, 1800 + p_size AS w, 2600 AS h FROM part WHERE p_partkey < 50), unnest(range(10)) a(r), unnest(range(3)) b(c)")
-def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _grid_cells(table(spark, sf_dir, "part").filter("p_partkey < 50"))
+def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").withColumn("day", F.unix_date(F.to_date("ts")).cast("long"))
 
 
-@query(whole("grid_cells", " WHERE p_partkey < 50"))
-def grid_cells_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _grid_cells(table(spark, sf_dir, "part"))
+@query("""WITH p AS (SELECT p_partkey, 40 + p_size AS fx, 60 AS fy, 1800 + p_size AS fw, 2600 + p_size % 7 AS fh FROM part),
+d AS (SELECT *, CASE WHEN p_partkey % 4 = 0 THEN list_transform(range(11), lambda i: 62 + i * 259) ELSE list_transform(range(11), lambda i: round_even(fy + i * (fh / 10::DOUBLE), 0)::BIGINT) END AS ys FROM p),
+e AS (SELECT p_partkey AS page, r * 3 + c AS card_index, round_even(fx + c * (fw / 3::DOUBLE), 0)::BIGINT + 6 AS x0, round_even(fx + (c + 1) * (fw / 3::DOUBLE), 0)::BIGINT - 6 AS x1, ys[r + 1] + 6 AS y0, ys[r + 2] - 6 AS y1 FROM d, unnest(range(10)) a(r), unnest(range(3)) b(c))
+SELECT page, card_index, x0 AS cell_x, y0 AS cell_y, CASE WHEN x1 > 1900 THEN 1900 ELSE x1 END - x0 AS cell_w, CASE WHEN y1 > 2655 THEN 2655 ELSE y1 END - y0 AS cell_h FROM e""")
+def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = F.when(F.col("p_partkey") % 4 == 0, F.transform(F.sequence(F.lit(0), F.lit(11)), lambda i: 62 + i * 259)).otherwise(F.array(F.lit(1), F.lit(2)))
+    top, height = F.lit(60), 2600 + F.col("p_size") % 7
+    pages = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page"), (F.col("p_size") + 40).alias("x"), (F.col("p_size") + 1800).alias("w"), G.row_dividers(lines, top, height).alias("dividers"), F.lit(1900).alias("page_w"), F.lit(2655).alias("page_h"))
+    return G.grid_cells(pages).withColumn("card_index", F.col("card_index").cast("long"))
 
 
-def _grid_cells(parts: DataFrame) -> DataFrame:
-    pages = parts.select(F.col("p_partkey").alias("page"), (F.col("p_size") + 40).alias("x"), F.lit(60).alias("y"), (F.col("p_size") + 1800).alias("w"), F.lit(2600).alias("h"))
-    return G.grid_cells(pages).withColumn("card_index", F.col("card_index").cast("long"))
+@query("""WITH p AS (SELECT p_partkey AS k, 1900 + p_size AS w, 2800 + p_size % 9 AS h FROM part),
+v AS (SELECT *, CASE WHEN k % 3 = 0 THEN NULL ELSE 10 + k % 400 END AS l, CASE WHEN k % 5 = 0 THEN NULL ELSE w - k % 300 END AS r, CASE WHEN k % 7 = 0 THEN NULL ELSE 20 + k % 500 END AS t, CASE WHEN k % 2 = 0 THEN NULL ELSE h - k % 900 END AS b FROM p),
+c AS (SELECT *, CASE WHEN l < 0.08::DOUBLE * w THEN l ELSE floor(0.0237::DOUBLE * w) END::BIGINT AS x, CASE WHEN r > 0.92::DOUBLE * w THEN r ELSE floor(0.9743::DOUBLE * w) END::BIGINT AS x2,
+  CASE WHEN t > 0.015::DOUBLE * h AND t < 0.12::DOUBLE * h THEN t ELSE floor(0.0335::DOUBLE * h) END::BIGINT AS y, CASE WHEN b > 0.85::DOUBLE * h THEN b ELSE floor(0.9701::DOUBLE * h) END::BIGINT AS y2 FROM v)
+SELECT k AS p_partkey, x, y, x2 - x AS w, y2 - y AS h FROM c""")
+def content_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, w, h = F.col("p_partkey"), F.col("p_size") + 1900, 2800 + F.col("p_size") % 9
+    some = lambda *xs: F.array_compact(F.array(*xs))
+    vertical = some(F.when(k % 3 != 0, 10 + k % 400), w / 2, F.when(k % 5 != 0, w - k % 300))
+    horizontal = some(F.when(k % 7 != 0, 20 + k % 500), h / 2, F.when(k % 2 != 0, h - k % 900))
+    frame = G.content_frame(vertical.cast("array<long>"), horizontal.cast("array<long>"), w, h)
+    return table(spark, sf_dir, "part").select("p_partkey", frame.alias("f")).select("p_partkey", "f.*")
 
 
 _BOXES = """WITH l AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) - 1 AS i, l_quantity::BIGINT AS q, l_partkey AS p FROM lineitem),
@@ -139,33 +148,53 @@ def median_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH RECURSIVE b AS (SELECT user_id, (event_id * 31 % 120) AS x, (event_id * 17 % 90) AS y, 200 + event_id % 7 AS w, 80 + event_id % 5 AS h, event_id FROM events WHERE event_id < 1500),
-o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY -w * h, x, y, w, h) AS n FROM b),
-f AS (SELECT user_id, 1 AS n, [{'x': x, 'y': y}] AS kept FROM o WHERE n = 1
-  UNION ALL SELECT o.user_id, (f.n + 1)::INT, CASE WHEN len(list_filter(kept, lambda k: abs(k.x - o.x) < 18 AND abs(k.y - o.y) < 18)) > 0 THEN kept ELSE list_append(kept, {'x': o.x, 'y': o.y}) END FROM f JOIN o ON o.user_id = f.user_id AND o.n = f.n + 1)
-SELECT user_id, len(kept)::INT AS kept, list_sum(list_transform(kept, lambda k: k.x))::BIGINT AS sum_x FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC) AS r FROM f) WHERE r = 1""")
+WITH RECURSIVE b AS (SELECT user_id, floor(epoch(ts) / 86400)::BIGINT AS day, (event_id * 31 % 120) AS x, (event_id * 17 % 90) AS y, 200 + event_id % 7 AS w, 80 + event_id % 5 AS h, event_id FROM events),
+o AS (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY -w * h, x, y, w, h) AS n FROM b),
+f AS (SELECT user_id, day, 1 AS n, [{'x': x, 'y': y}] AS kept FROM o WHERE n = 1
+  UNION ALL SELECT o.user_id, o.day, (f.n + 1)::INT, CASE WHEN len(list_filter(kept, lambda k: abs(k.x - o.x) < 18 AND abs(k.y - o.y) < 18)) > 0 THEN kept ELSE list_append(kept, {'x': o.x, 'y': o.y}) END FROM f JOIN o ON o.user_id = f.user_id AND o.day = f.day AND o.n = f.n + 1)
+SELECT user_id, day, len(kept)::INT AS kept, list_sum(list_transform(kept, lambda k: k.x))::BIGINT AS sum_x FROM (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY n DESC) AS r FROM f) WHERE r = 1""")
 def nms_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _nms_greedy(table(spark, sf_dir, "events").filter("event_id < 1500"))
-
-
-@query(whole("nms_greedy", " WHERE event_id < 1500"))
-def nms_greedy_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _nms_greedy(table(spark, sf_dir, "events"))
-
-
-def _nms_greedy(events: DataFrame) -> DataFrame:
+    """A user's day is a page, so that an array holds one page's boxes."""
     e = F.col("event_id")
     box = F.struct((e * 31 % 120).alias("x"), (e * 17 % 90).alias("y"), (200 + e % 7).alias("w"), (80 + e % 5).alias("h"))
-    boxes = events.groupBy("user_id").agg(F.collect_list(box).alias("boxes"))
-    kept = boxes.select("user_id", G.suppressed(F.col("boxes")).alias("kept"))
-    return kept.select("user_id", F.size("kept").alias("kept"), F.aggregate("kept", F.lit(0).cast("long"), lambda a, b: a + b["x"]).alias("sum_x"))
+    boxes = _days(spark, sf_dir).groupBy("user_id", "day").agg(F.collect_list(box).alias("boxes"))
+    kept = boxes.select("user_id", "day", G.suppressed(F.col("boxes")).alias("kept"))
+    return kept.select("user_id", "day", F.size("kept").alias("kept"), F.aggregate("kept", F.lit(0).cast("long"), lambda a, b: a + b["x"]).alias("sum_x"))
 
 
-@query("""SELECT p_partkey, x + w AS x2, y + h AS y2, w * h AS area, least(greatest(x, 0), 40) AS cx, greatest(least(greatest(x + w, 0), 40) - least(greatest(x, 0), 40), 0) AS cw FROM (SELECT p_partkey, p_size - 10 AS x, 5 AS y, p_size AS w, 7 AS h FROM part)""")
+@query("""WITH b AS (SELECT p_partkey, p_size - 5 AS x, p_partkey % 100 - 4 AS y, p_size AS w, 7 AS h FROM part), n AS (SELECT *, CASE WHEN x < 0 THEN 0 ELSE x END AS cx, CASE WHEN y < 0 THEN 0 ELSE y END AS cy FROM b),
+f AS (SELECT *, CASE WHEN x + w > 40 THEN 40 ELSE x + w END - cx AS cw, CASE WHEN y + h > 90 THEN 90 ELSE y + h END - cy AS ch FROM n)
+SELECT p_partkey, x + w AS x2, y + h AS y2, w * h AS area, cx, cy, CASE WHEN cw < 0 THEN 0 ELSE cw END AS cw, CASE WHEN ch < 0 THEN 0 ELSE ch END AS ch FROM f""")
 def box_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") - 10).alias("x"), F.lit(5).alias("y"), F.col("p_size").alias("w"), F.lit(7).alias("h"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") - 5).alias("x"), (F.col("p_partkey") % 100 - 4).alias("y"), F.col("p_size").alias("w"), F.lit(7).alias("h"))
     out = rows.withColumns(G.box_columns()).withColumns(G.clipped(F.lit(40), F.lit(90)))
-    return out.select("p_partkey", "x2", "y2", "area", "cx", "cw")
+    return out.select("p_partkey", "x2", "y2", "area", "cx", "cy", "cw", "ch")
+
+
+@query("SELECT user_id, floor(hour(ts) / 4)::BIGINT AS band, count(*) FILTER (value < 30) AS dark, avg((value < 30)::INT) AS share, avg((value < 30)::INT) >= 0.03 AS occupied FROM events GROUP BY ALL")
+def dark_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pixels = table(spark, sf_dir, "events").withColumn("band", F.floor(F.hour("ts") / 4).cast("long"))
+    ink = pixels.groupBy("user_id", "band").agg(G.ink_share(F.col("value") < 30).alias("share"))
+    return G.dark_profile(pixels, "user_id", "band", "value", 30).join(ink, ["user_id", "band"]).withColumn("occupied", G.occupied(F.col("share")))
+
+
+@query("""WITH e AS (SELECT event_id, event_id % 300 AS x, event_id % 70 AS y FROM events)
+SELECT event_id, x + 20.0::DOUBLE AS tcx, y + 6.0::DOUBLE AS tcy, x::DOUBLE AS tx0, y::DOUBLE AS ty0, x / 2.0::DOUBLE + 11 AS moved_x, y / 2.0::DOUBLE + 7 AS moved_y FROM e""")
+def token_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x, y = (F.col("event_id") % 300).cast("double"), (F.col("event_id") % 70).cast("double")
+    box = F.array(F.array(x, y), F.array(x + 40, y), F.array(x + 40, y + 12), F.array(x, y + 12))
+    rows = table(spark, sf_dir, "events").select("event_id", box.alias("bbox")).withColumn("moved", G.rescaled(F.col("bbox"), F.lit(2.0), F.lit(11), F.lit(7)))
+    return rows.withColumns(G.token_centre(F.col("bbox"))).select("event_id", "tcx", "tcy", "tx0", "ty0", F.col("moved")[0][0].alias("moved_x"), F.col("moved")[0][1].alias("moved_y"))
+
+
+@query("""WITH c AS (SELECT p_partkey, 100 + p_size AS x, 50 AS y, 500 + p_size AS w, 200 + p_size % 20 AS h FROM part)
+SELECT p_partkey, x + round_even(0.5::DOUBLE * w, 0)::INT AS cx, y AS cy, round_even(0.48::DOUBLE * w, 0)::INT AS cw, round_even(0.18::DOUBLE * h, 0)::INT AS ch FROM c""")
+def crop_rectangles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardloom.schema import LAYOUT
+
+    s = F.col("p_size")
+    crop = G.crop_rectangle(LAYOUT.boxes["epic"], 100 + s, F.lit(50), 500 + s, 200 + s % 20)
+    return table(spark, sf_dir, "part").select("p_partkey", crop.alias("b")).select("p_partkey", *[F.col(f"b.{c}").alias(f"c{c}") for c in "xywh"])
 
 
 @query("""WITH f AS (SELECT p_partkey, p_size / 5000.0 AS ink, p_size % 3 // 2 AS cards, p_size % 11 AS v, p_size % 23 AS h, p_partkey % 31 AS cells FROM part)

@@ -51,11 +51,12 @@ def skip_done(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.not_done(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), done, ["o_custkey"])
 
 
-@query("""WITH s AS (SELECT p_partkey, 600 + p_size AS w, 250 + p_size AS h FROM part),
-c AS (SELECT p_partkey, w, h, least(greatest(round_even(w * 0.01::DOUBLE, 0)::INT, 0), w - 1) AS x, least(greatest(round_even(h * 0.415::DOUBLE, 0)::INT, 0), h - 1) AS y FROM s)
-SELECT p_partkey, x, y, least(greatest(round_even(w * (0.01::DOUBLE + 0.74::DOUBLE), 0)::INT, x + 1), w) - x AS w, least(greatest(round_even(h * (0.415::DOUBLE + 0.125::DOUBLE), 0)::INT, y + 1), h) - y AS h FROM c""")
+@query("""WITH s AS (SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN p_size % 5 + 1 ELSE 600 + p_size END AS w, CASE WHEN p_partkey % 4 = 0 THEN p_size % 3 + 1 ELSE 250 + p_size END AS h FROM part),
+r AS (SELECT *, round_even(0.01::DOUBLE * w, 0)::INT AS x, round_even(0.415::DOUBLE * h, 0)::INT AS y, round_even(0.74::DOUBLE * w, 0)::INT AS bw, round_even(0.125::DOUBLE * h, 0)::INT AS bh FROM s)
+SELECT p_partkey, x, y, CASE WHEN bw = 0 THEN 1 WHEN x + bw > w THEN w - x ELSE bw END AS w, CASE WHEN bh = 0 THEN 1 WHEN y + bh > h THEN h - y ELSE bh END AS h FROM r""")
 def pixel_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    box = G.pixel_box(LAYOUT.boxes["house"], F.col("p_size") + 600, F.col("p_size") + 250)
+    small = F.col("p_partkey") % 4 == 0
+    box = G.pixel_box(LAYOUT.boxes["house"], F.when(small, F.col("p_size") % 5 + 1).otherwise(F.col("p_size") + 600), F.when(small, F.col("p_size") % 3 + 1).otherwise(F.col("p_size") + 250))
     return table(spark, sf_dir, "part").select("p_partkey", box.alias("b")).select("p_partkey", "b.*")
 
 

@@ -24,19 +24,12 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
-def whole(name: str, cut: str) -> str:
-    """The SQL of a registered query without its row filter."""
-    if cut not in _sql[name]:
-        raise ValueError(f"{name} has no {cut!r}")
-    return _sql[name].replace(cut, "")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _load() -> None:
-    from cardloom.plans import coverage, geometry, pages, records, search, store  # noqa: F401
+    from cardloom.plans import coverage, geometry, jobs, pages, records, search, store  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

@@ -53,11 +53,17 @@ WITH reg AS (
 ) """
 
 
-@query(_REGISTRY_SQL + """SELECT "serialNo", name, "sourcePdf" FROM reg WHERE starts_with("sourcePdf", 'Asia/') OR (NOT contains("sourcePdf", '/') AND contains(lower(constituency), 'asia'))""")
+@query(_REGISTRY_SQL + """SELECT "serialNo", name, "sourcePdf" FROM reg WHERE "sourcePdf" LIKE 'Asia/%'""")
 def search_district(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.search(_registry(spark, sf_dir), "", district="Asia")[0].select("serialNo", "name", "sourcePdf")
 
 
+@query(_REGISTRY_SQL + """SELECT "serialNo", name, "sourcePdf" FROM reg WHERE constituency = 'Nation 7' AND (regexp_matches("sourcePdf", '^Asia/') OR "sourcePdf" NOT LIKE '%/%')""")
+def search_district_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bare file names pass the district, as the assembly - given with spaces here - is theirs."""
+    return S.search(_registry(spark, sf_dir), "", district="Asia", ac="7 Nation 7")[0].select("serialNo", "name", "sourcePdf")
+
+
 @query(_REGISTRY_SQL + """SELECT "serialNo", name, "sourcePdf" FROM reg WHERE (contains("sourcePdf", '/7_Nation_7/') OR contains(lower(constituency), 'nation 7')) AND contains(lower(name || ' ' || "sourcePdf"), 'supplier')""")
 def search_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.search(_registry(spark, sf_dir), "supplier", ac="7_Nation_7")[0].select("serialNo", "name", "sourcePdf")
@@ -124,15 +130,15 @@ def safe_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH f AS (SELECT s_suppkey, CASE WHEN s_suppkey % 9 = 0 THEN 'cover' || s_suppkey WHEN s_suppkey % 2 = 0 THEN 'Part-' || s_suppkey ELSE 'part_' || s_suppkey END || '.pdf' AS file FROM supplier)
-SELECT file, row_number() OVER (ORDER BY coalesce(try_cast(nullif(regexp_extract(file, '(?i)part[_\\-]?(\\d+)', 1), '') AS BIGINT), 1000000000), lower(file), file) AS place FROM f""")
+WITH f AS (SELECT s_suppkey, s_suppkey // 700 AS folder, CASE WHEN s_suppkey % 9 = 0 THEN 'cover' || s_suppkey WHEN s_suppkey % 2 = 0 THEN 'Part-' || s_suppkey ELSE 'part_' || s_suppkey END || '.pdf' AS file FROM supplier)
+SELECT file, folder, row_number() OVER (PARTITION BY folder ORDER BY coalesce(try_cast(nullif(regexp_extract(file, '(?i)part[_\\-]?(\\d+)', 1), '') AS BIGINT), 1000000000), lower(file), file) AS place FROM f""")
 def natural_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
     k = F.col("s_suppkey")
     file = F.concat(F.when(F.pmod(k, F.lit(9)) == 0, F.concat(F.lit("cover"), k)).when(F.pmod(k, F.lit(2)) == 0, F.concat(F.lit("Part-"), k)).otherwise(F.concat(F.lit("part_"), k)), F.lit(".pdf"))
-    files = table(spark, sf_dir, "supplier").select(file.alias("file"))
-    return files.withColumn("place", F.row_number().over(Window.orderBy(part_number(F.col("file")), F.lower("file"), "file")).cast("long"))
+    files = table(spark, sf_dir, "supplier").select(file.alias("file"), F.expr("s_suppkey div 700").alias("folder"))
+    return files.withColumn("place", F.row_number().over(Window.partitionBy("folder").orderBy(part_number(F.col("file")), F.lower("file"), "file")).cast("long"))
 
 
 @query("""

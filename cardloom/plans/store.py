@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +9,7 @@ from cardloom.functions import text as X
 from cardloom.operators import quality as Q
 from cardloom.operators import store as R
 from cardloom.plans.registry import query, table
+from cardloom.sources.staging import shared_root
 
 
 @query("""
@@ -76,12 +75,12 @@ def conform_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.conformed(rows).select("serialNo", "epic", "name", "partNo", "sourcePdf")
 
 
-@query("""SELECT o_orderkey, row_number() OVER (ORDER BY nullif(o_custkey % 7, 0) IS NULL, coalesce(nullif(o_custkey % 7, 0), 0), year(o_orderdate), o_orderkey) AS place FROM orders""")
+@query("""SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY nullif(o_orderkey % 7, 0) IS NULL, coalesce(nullif(o_orderkey % 7, 0), 0), year(o_orderdate), o_orderkey) AS place FROM orders""")
 def record_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.nullif(F.col("o_custkey") % 7, F.lit(0)).alias("serialNo"), F.year("o_orderdate").alias("page"))
-    return rows.select("o_orderkey", F.row_number().over(Window.orderBy(*R.record_order("serialNo", "page", "o_orderkey"))).cast("long").alias("place"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.nullif(F.col("o_orderkey") % 7, F.lit(0)).alias("serialNo"), F.year("o_orderdate").alias("page"))
+    return rows.select("o_orderkey", "o_custkey", F.row_number().over(Window.partitionBy("o_custkey").orderBy(*R.record_order("serialNo", "page", "o_orderkey"))).cast("long").alias("place"))
 
 
 @query("""
@@ -161,18 +160,22 @@ def mode_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy("user_id").agg(card.alias("card"), row.alias("row_"), F.round(F.try_divide(card, row), 4).alias("ratio"))
 
 
-@query("SELECT o_orderpriority, array_to_string(list_sort(list(DISTINCT o_custkey)), ',') AS pages FROM orders WHERE o_totalprice < 9000 GROUP BY ALL")
+@query("SELECT o_custkey, array_to_string(list_sort(list(DISTINCT o_orderkey % 40)), ',') AS pages FROM orders WHERE o_totalprice < 90000 GROUP BY ALL")
 def invalid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bad = table(spark, sf_dir, "orders").filter("o_totalprice < 9000")
-    return bad.groupBy("o_orderpriority").agg(F.array_join(F.array_sort(F.collect_set("o_custkey")).cast("array<string>"), ",").alias("pages"))
+    bad = table(spark, sf_dir, "orders").filter("o_totalprice < 90000").withColumn("page", F.col("o_orderkey") % 40)
+    return bad.groupBy("o_custkey").agg(F.array_join(F.array_sort(F.collect_set("page")).cast("array<string>"), ",").alias("pages"))
 
 
-@query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id")
+@query("""WITH e AS (SELECT *, event_id % 3 = 0 AND user_id % 4 <> 1 AS late FROM events), k AS (SELECT user_id, bool_or(late) AS again FROM e GROUP BY user_id)
+SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM e JOIN k USING (user_id) WHERE late = again GROUP BY user_id""")
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams into one table: what the second one holds of a user replaces what the first one left, also where it is older.
+    The second one starts without the first one's checkpoint, so its batches count from 0 again."""
     from cardloom.streaming.ingest import ingest
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='cardloom-')}"
-    at = f"{root.rstrip('/')}/ingest-{spark.sparkContext.applicationId}-{abs(hash(sf_dir)) % 10**8}-{spark._jvm.System.nanoTime()}"
+    at = f"{shared_root(spark)}/ingest-{spark.sparkContext.applicationId}-{spark._jvm.System.nanoTime()}"
     schema = table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{sf_dir}/events.parque[t]").select("user_id", "event_id", "event_type", "value")
-    return ingest(stream, f"{at}/table", f"{at}/log", "user_id", ["event_id"])
+    late = F.expr("event_id % 3 = 0 and user_id % 4 <> 1")
+    ingest(stream.filter(~late), f"{at}/table", f"{at}/log1", "user_id", ["event_id"])
+    return ingest(stream.filter(late), f"{at}/table", f"{at}/log2", "user_id", ["event_id"])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardloom.operators.coverage import roll_location
+from cardloom.operators.store import conformed
 from cardloom.schema import LEDGER, PAYLOAD, PUBLIC, REGIONS, REGISTRY
 
 
@@ -33,6 +34,88 @@ def saved_records(payloads: DataFrame) -> DataFrame:
     })
 
 
+#: Bytes up to which a part table is a header at most.
+EMPTY_CSV = 20
+
+
+def _bytes(spark: SparkSession, path: str) -> int | None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getFileStatus(p).getLen() if fs.exists(p) and fs.getFileStatus(p).isFile() else None
+
+
+def read_registry_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The registry as CSV files hold it: the combined file if there is one, else every part table below the folder, without those of
+    at most EMPTY_CSV bytes.  One listing, no loop over files."""
+    combined = f"{folder.rstrip('/')}/csv/all_voters.csv"
+    size = _bytes(spark, combined)
+    if size is not None:
+        return conformed(read_parts_csv(spark, combined, combined=True)) if size > EMPTY_CSV else spark.createDataFrame([], REGISTRY)
+    schema = T.StructType([T.StructField(f.name, T.StringType()) for f in PUBLIC.fields])
+    rows = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", "voters.csv").csv(folder)
+    return conformed(rows.filter(F.col("_metadata.file_size") > EMPTY_CSV))
+
+
+def import_registry(spark: SparkSession, csv: str, table: str, only_if_empty: bool = False) -> DataFrame:
+    """Write a combined CSV file as the registry table and read that.  It replaces the table, or (only_if_empty) is written only where
+    the table is missing or empty and the file holds rows."""
+    size = _bytes(spark, csv)
+    if only_if_empty and _bytes(spark, f"{table}/_SUCCESS") is not None:
+        now = spark.read.schema(REGISTRY).parquet(table)
+        if not now.isEmpty() or size is None or size <= EMPTY_CSV:
+            return now
+    if only_if_empty and (size is None or size <= EMPTY_CSV):
+        return spark.createDataFrame([], REGISTRY)
+    conformed(read_parts_csv(spark, csv, combined=True)).write.mode("overwrite").parquet(table)
+    return spark.read.schema(REGISTRY).parquet(table)
+
+
+def part_folders(spark: SparkSession, root: str) -> DataFrame:
+    """part, path: the part folders below a root that hold saved records, or the root itself."""
+    files = listing(spark, root, "voters.json").select(F.regexp_extract("path", r"^(.*)/json/voters\.json$", 1).alias("path")).filter("path <> ''")
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("part"), "path").distinct()
+
+
+def page_files(spark: SparkSession, folder: str, wanted: DataFrame | None = None, glob: str = "page*.png") -> tuple[DataFrame, DataFrame]:
+    """(doc, page, path, content of the page files below a folder; the wanted pages that have none).  wanted: doc, page; without
+    it every page is read.  Contents are read after the files are filtered."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(folder)
+    cut = F.split("path", "/")
+    pages = files.select(F.try_element_at(cut, F.lit(-2)).alias("doc"), F.regexp_extract(F.element_at(cut, -1), r"page(\d+)", 1).try_cast("int").alias("page"), "path", "content").filter("page is not null")
+    if wanted is None:
+        return pages, pages.limit(0).select("doc", "page")
+    wanted = wanted.select("doc", F.col("page").cast("int").alias("page")).distinct()
+    return pages.join(wanted, ["doc", "page"], "left_semi"), wanted.join(pages.select("doc", "page"), ["doc", "page"], "left_anti")
+
+
+def crop_files(records: DataFrame, files: DataFrame, path: str = "cropPath") -> DataFrame:
+    """records with cropFile: the listed file of their crop's whole path, else the only one of its name; null if there is none."""
+    name = lambda c: F.element_at(F.split(c, "/"), -1)
+    whole = files.select(F.regexp_replace("path", "^file:/*", "/").alias("_whole")).distinct()
+    named = files.groupBy(name(F.col("path")).alias("_name")).agg(F.min("path").alias("_any"), F.count("*").alias("_n")).filter("_n = 1").drop("_n")
+    keyed = records.withColumns({"_path": F.regexp_replace(path, "^file:/*", "/"), "_name": name(F.col(path))})
+    out = keyed.join(whole, F.col("_path") == F.col("_whole"), "left").join(named, "_name", "left")
+    return out.select(*records.columns, F.coalesce("_whole", F.regexp_replace("_any", "^file:/*", "/")).alias("cropFile"))
+
+
+def downloads_of(files: DataFrame, assemblies: DataFrame) -> DataFrame:
+    """districtFolder, asmblyNo, partNo of the downloaded parts of assemblies (districtFolder, asmblyNo, name).  The district's folder
+    is the one of its name, or with underscores; the assembly's is number_Name, else the only one that begins with its number."""
+    cut = F.split("path", "/")
+    have = files.select(F.try_element_at(cut, F.lit(-3)).alias("_district"), F.try_element_at(cut, F.lit(-2)).alias("_folder"), F.regexp_extract(F.element_at(cut, -1), r"^part_(\d+)\.pdf$", 1).try_cast("long").alias("partNo")).filter("partNo is not null").distinct()
+    folders = have.select("_district", "_folder").distinct()
+    numbered = folders.groupBy("_district", F.regexp_extract("_folder", r"^(\d+)_", 1).try_cast("long").alias("_no")).agg(F.min("_folder").alias("_only"), F.count("*").alias("_n")).filter("_n = 1 and _no is not null").drop("_n")
+    want = F.concat(F.col("asmblyNo").cast("string"), F.lit("_"), F.translate("name", " ", "_"))
+    asked = assemblies.select("districtFolder", F.col("asmblyNo").cast("long").alias("asmblyNo"), want.alias("_want"))
+    districts = folders.select("_district").distinct()
+    at = asked.join(districts.select(F.col("_district").alias("_given")), F.col("districtFolder") == F.col("_given"), "left")
+    at = at.withColumn("_district", F.coalesce("_given", F.translate("districtFolder", " ", "_"))).drop("_given")
+    named = folders.withColumn("_named", F.col("_folder"))
+    found = at.join(named, (at["_district"] == named["_district"]) & (at["_want"] == named["_folder"]), "left").select(at["districtFolder"], at["asmblyNo"], at["_district"], "_named")
+    found = found.join(numbered, (found["_district"] == numbered["_district"]) & (found["asmblyNo"] == numbered["_no"]), "left").select("districtFolder", "asmblyNo", found["_district"].alias("_d"), F.coalesce("_named", "_only").alias("_f"))
+    return found.join(have, (F.col("_d") == F.col("_district")) & (F.col("_f") == F.col("_folder"))).select("districtFolder", "asmblyNo", "partNo").distinct()
+
+
 def write_payload(records: DataFrame, path: str) -> None:
     """Full records, confidence to four places."""
     records.withColumn("confidence", F.bround("confidence", 4)).write.mode("overwrite").json(path)

@@ -8,13 +8,13 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-TOKEN_TABLE = "doc string, page int, seq int, text string, confidence double, bbox array<array<double>>"
+TOKEN_TABLE = "doc string, page int, seq int, text string, confidence double, bbox array<array<double>>, error string"
 Source = Callable[[pd.DataFrame], pd.DataFrame]
 
 
 def tokens_from(pages: DataFrame, make_source: Callable[[], Source]) -> DataFrame:
     """The token table of pages (doc, page, content).  make_source builds the reader once per task; a page that it fails on has
-    one token without text, whose bbox is null, so that no file stops the job."""
+    one token without text, with the error beside it, so that no file stops the job."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         source = make_source()
@@ -22,9 +22,9 @@ def tokens_from(pages: DataFrame, make_source: Callable[[], Source]) -> DataFram
             for i in range(len(batch)):
                 one = batch.iloc[i : i + 1]
                 try:
-                    yield source(one)
-                except Exception:  # noqa: BLE001  whatever a reader raises concerns one page
-                    yield pd.DataFrame({"doc": one["doc"].tolist(), "page": one["page"].tolist(), "seq": [0], "text": [None], "confidence": [0.0], "bbox": [None]})
+                    yield source(one).assign(error=None)
+                except Exception as e:  # noqa: BLE001  whatever a reader raises concerns one page
+                    yield pd.DataFrame({"doc": one["doc"].tolist(), "page": one["page"].tolist(), "seq": [0], "text": [None], "confidence": [0.0], "bbox": [None], "error": [f"{type(e).__name__}: {e}"]})
 
     return pages.mapInPandas(read, TOKEN_TABLE)
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cardloom.operators.store import replaced
 
@@ -13,32 +17,48 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def _current(spark: SparkSession, table: str) -> tuple[int, str] | None:
+def _versions(spark: SparkSession, table: str) -> list[tuple[int, str, int]]:
+    """(number, stream, batch) of the finished versions of a table, in order."""
     p = spark._jvm.org.apache.hadoop.fs.Path(table)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(p):
-        return None
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    done = [int(n[1:]) for n in names if n.startswith("v") and _exists(spark, f"{table}/{n}/_SUCCESS")]
-    return (max(done), f"{table}/v{max(done)}") if done else None
+        return []
+    names = [re.fullmatch(r"v(\d+)_([^_]+)_(\d+)", s.getPath().getName()) for s in fs.listStatus(p)]
+    return sorted((int(n[1]), n[2], int(n[3])) for n in names if n and _exists(spark, f"{table}/{n[0]}/_SUCCESS"))
+
+
+def _path(table: str, version: tuple[int, str, int]) -> str:
+    return f"{table}/v{version[0]}_{version[1]}_{version[2]}"
 
 
-def replace_batch(batch: DataFrame, batch_id: int, table: str, key: str, order: list[str]) -> None:
-    """Version batch_id of the table: the version before without the batch's keys, and of each key in the batch its last rows by
-    order.  A batch that runs again writes the same version again, so a lost driver loses and doubles nothing."""
+def replace_batch(batch: DataFrame, batch_id: int, table: str, key: str, order: list[str], stream: str = "batch") -> None:
+    """The next version of the table: the one before without the batch's keys, and of each key in the batch its last rows by order.
+    A version is named by its number, the stream (the id in its checkpoint) and the batch.  A batch of a stream that runs again
+    replaces its own version; a stream that starts anew, as its checkpoint was lost, goes on after the last version of all.  So a
+    lost driver or checkpoint loses and doubles nothing."""
     spark = batch.sparkSession
     last = batch.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*[F.desc(c) for c in order]))).filter("_n = 1").drop("_n")
-    at = _current(spark, table)
-    if at is not None and at[0] >= batch_id:
-        at = (batch_id - 1, f"{table}/v{batch_id - 1}") if _exists(spark, f"{table}/v{batch_id - 1}/_SUCCESS") else None
-    out = last if at is None else replaced(spark.read.schema(batch.schema).parquet(at[1]), last, last, key)
-    out.write.mode("overwrite").parquet(f"{table}/v{batch_id}")
+    known = _versions(spark, table)
+    own = next((v for v in known if v[1:] == (stream, batch_id)), None)
+    before = [v for v in known if own is None or v[0] < own[0]]
+    out = replaced(spark.read.schema(batch.schema).parquet(_path(table, before[-1])), last, last, key) if before else last
+    number = own[0] if own else (known[-1][0] + 1 if known else 0)
+    out.write.mode("overwrite").parquet(_path(table, (number, stream, batch_id)))
+
+
+def read_table(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
+    known = _versions(spark, table)
+    return spark.read.schema(schema).parquet(_path(table, known[-1])) if known else spark.createDataFrame([], schema)
 
 
 def ingest(files: DataFrame, table: str, checkpoint: str, key: str, order: list[str]) -> DataFrame:
     """Run a streaming frame to its end into the table, and read the table."""
-    query = files.writeStream.foreachBatch(lambda df, n: replace_batch(df, n, table, key, order)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    at = _current(files.sparkSession, table)
     spark = files.sparkSession
-    return spark.read.schema(files.schema).parquet(at[1]) if at else spark.createDataFrame([], files.schema)
+
+    def batch(df: DataFrame, n: int) -> None:
+        stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]  # one line, written when the stream began
+        replace_batch(df, n, table, key, order, stream)
+
+    query = files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return read_table(spark, table, files.schema)

@@ -1,7 +1,9 @@
-"""The queries without row filters cover every row, on tables that the filters would cut."""
+"""Queries cover whole tables."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cardloom.plans import registry
 from tests.conftest import SF
 
@@ -11,28 +13,28 @@ SF = SF.replace("sf0.001", "sf0.01")
 def test_every_event_is_in_a_line_and_boxes_match_brute_force(spark):
     q = registry.queries()
     events: dict = {}
-    for r in spark.read.parquet(f"{SF}/events.parquet").select("user_id", "event_id").collect():
-        events.setdefault(r.user_id, []).append(r.event_id)
+    for r in spark.read.parquet(f"{SF}/events.parquet").select("user_id", "event_id", F.unix_date(F.to_date("ts")).alias("day")).collect():
+        events.setdefault((r.user_id, r.day), []).append(r.event_id)
     assert sum(map(len, events.values())) > 3000
-    lines = {r.user_id: r.lines for r in q["anchor_lines_all"](spark, SF).collect()}
+    lines = {(r.user_id, r.day): r.lines for r in q["anchor_lines"](spark, SF).collect()}
     assert {u: sorted(x.replace("|", " ").split()) for u, x in lines.items()} == {u: sorted(f"e{e}" for e in es) for u, es in events.items()}
     expected = {}
-    for user, es in events.items():
+    for page, es in events.items():
         boxes = sorted((-(200 + e % 7) * (80 + e % 5), e * 31 % 120, e * 17 % 90, 200 + e % 7, 80 + e % 5) for e in es)
         kept: list = []
         for _, x, y, _, _ in boxes:
             if not any(abs(x - a) < 18 and abs(y - b) < 18 for a, b in kept):
                 kept.append((x, y))
-        expected[user] = (len(kept), sum(x for x, _ in kept))
-    assert {r.user_id: (r.kept, r.sum_x) for r in q["nms_greedy_all"](spark, SF).collect()} == expected
+        expected[page] = (len(kept), sum(x for x, _ in kept))
+    assert {(r.user_id, r.day): (r.kept, r.sum_x) for r in q["nms_greedy"](spark, SF).collect()} == expected
 
 
 def test_every_part_and_every_assembly_has_its_cells(spark):
     q = registry.queries()
     parts = spark.read.parquet(f"{SF}/part.parquet").count()
-    cells = q["grid_cells_all"](spark, SF)
+    cells = q["grid_cells"](spark, SF)
     assert parts > 50 and cells.count() == 30 * parts and cells.select("page").distinct().count() == parts
     empty = {r.asmblyNo for r in q["coverage_ac"](spark, SF).collect() if r.scanned == r.downloaded == 0}
-    counts = {r.asmblyNo: r["count"] for r in q["coverage_cells_all"](spark, SF).groupBy("asmblyNo").count().collect()}
+    counts = {r.asmblyNo: r["count"] for r in q["coverage_cells"](spark, SF).groupBy("asmblyNo").count().collect()}
     assert empty and all(counts[a] == 700 for a in empty)
     assert counts.keys() == {r.asmblyNo for r in q["coverage_ac"](spark, SF).collect()}
