@@ -5,10 +5,12 @@ How it works.  (1) Blocks of documents hash their shingles and send the distinct
 how many documents have each; a block sends a shingle once however many of its documents hold it.  (2) What more than one
 document holds goes back to the blocks with its frequency.  As shingles of one document alone come first in rare-first order
 and match nothing, a text with fewer repeated shingles than any partner would need is done.  (3) The rest are reduced to one
-per word sequence; their prefixes, rarest first, join texts into candidate clusters.  (4) In each cluster, prefix postings
-give candidate pairs; the length, positional and suffix bounds prune them; what is left is verified once per pair by exact
-overlap, unless both texts are already known to be linked.  Clusters above CLUSTER_TEXTS are verified in pairs of blocks,
-so no task holds more.  (5) Links become components.
+per word sequence; their prefixes, rarest first, join texts into candidate clusters, whose texts are dealt to sides of about
+CLUSTER_TEXTS.  (4) In each side, prefix postings give candidate pairs; the length, positional and suffix bounds prune them; what
+is left is verified once per pair by exact overlap, unless both texts are already known to be linked.  (5) Clusters of several
+sides: the links so far give components.  A prefix shingle whose texts lie in one component needs nothing more.  Of any other, the texts
+outside its largest component visit the sides where a text of another component holds that shingle, and are verified against the
+texts there.  So a text travels only to where it has candidates, and a large group of copies stays where it is.  (6) Links become components.
 
 Defined results.  Null, empty and white-space texts: empty set, linked with nothing, a component of their own.  Fewer than
 five words: the whole sequence is the one shingle.  Repeated rows fall in one component.  Empty table: no rows.  Further
@@ -27,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import staged, trim_memory, with_small_batches
+from cardloom.llm.common import spread_join, staged, trim_memory, with_small_batches
 from cardloom.llm.graph import connected_components
 from cardloom.llm.shingles import hashed_texts
 
@@ -37,8 +39,8 @@ SHINGLE_BYTES = 6
 LEAST_BUCKETS = 32
 #: Rows (their numbers have 16 bits) and bytes of text of a block.
 BLOCK_ROWS = 10_000
-BLOCK_BYTES = 32 << 20
-#: Texts of a candidate cluster that one task verifies against as many others.
+BLOCK_BYTES = 16 << 20
+#: Texts of a side of a candidate cluster, about, and visitors that a task verifies against those of a side.
 CLUSTER_TEXTS = 1024
 
 _TOKEN_BITS = 48
@@ -252,8 +254,11 @@ def _prefix(n: int, repeated: int, percent: int) -> int:
 class _Sets:
     """Union-find over the texts of a cluster."""
 
-    def __init__(self, n: int) -> None:
+    def __init__(self, n: int, known: np.ndarray | None = None) -> None:
         self.up = np.arange(n)
+        if known is not None:
+            _, first, of = np.unique(known, return_index=True, return_inverse=True)
+            self.up = first[of]
 
     def root(self, x: int) -> int:
         while self.up[x] != x:
@@ -270,8 +275,13 @@ class _Sets:
             found = above
 
 
-def verified_links(sizes: np.ndarray, ranked: list[np.ndarray], side: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
-    """Links that span the components of a cluster's link graph.  With side, only pairs of two sides are compared."""
+def _overlap(a: np.ndarray, b: np.ndarray) -> int:
+    return len(np.intersect1d(a, b, assume_unique=True))
+
+
+def verified_links(sizes: np.ndarray, ranked: list[np.ndarray], side: np.ndarray | None, percent: int, known: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that span the components of the texts' link graph.  With side, only pairs of two sides are compared; with known, texts
+    of one component are taken as linked."""
     k = len(ranked)
     order = np.lexsort((np.arange(k), sizes))  # short before long: a text looks back at those at least 3/4 as long
     rank = np.empty(k, np.int64)
@@ -292,7 +302,7 @@ def verified_links(sizes: np.ndarray, ranked: list[np.ndarray], side: np.ndarray
     parts = np.zeros((k, len(cuts) + 1), np.int64)
     np.add.at(parts, (owner, np.searchsorted(cuts, id_of, "right")), 1)
     sides = side[order] if side is not None else None
-    groups, links = _Sets(k), []
+    groups, links = _Sets(k, known[order] if known is not None else None), []
     first = np.cumsum(lengths) - lengths
     for a in range(1, k):
         own = id_of[first[a] : first[a] + lengths[a]]
@@ -322,7 +332,7 @@ def verified_links(sizes: np.ndarray, ranked: list[np.ndarray], side: np.ndarray
         if not len(b):
             continue
         if len(b) <= 6:
-            common = np.array([len(np.intersect1d(sets[a], sets[x], assume_unique=True)) for x in b])
+            common = np.array([_overlap(sets[a], sets[x]) for x in b])
         else:
             common = np.bincount(np.concatenate([posted[starts[t] : stops[t]] for t in own.tolist()]), minlength=k)[b]
         for x in b[100 * common >= percent * (n[a] + n[b] - common)].tolist():
@@ -335,17 +345,22 @@ def verified_links(sizes: np.ndarray, ranked: list[np.ndarray], side: np.ndarray
 
 def _verifier(percent: int):
     def verify(rows):
-        root, low, high = (rows.column(c).to_numpy() for c in ("root", "low", "high"))
-        node, n, side = (rows.column(c).to_numpy() for c in ("node", "n", "side"))
+        keys = [rows.column(c).to_numpy() for c in ("root", "side", "chunk")]
+        node, n, visits, known = (rows.column(c).to_numpy() for c in ("node", "n", "visits", "known"))
         blobs = rows.column("ranked").combine_chunks()
-        order = np.lexsort((node, high, low, root))
-        cut = np.flatnonzero(np.concatenate([[True], np.diff(root[order]) != 0]) | np.concatenate([[True], np.diff(low[order]) != 0]) | np.concatenate([[True], np.diff(high[order]) != 0]))
+        order = np.lexsort((node, *keys))
+        change = np.zeros(len(order), dtype=bool)
+        change[:1] = True
+        for key in keys:
+            change[1:] |= np.diff(key[order]) != 0
+        cut = np.flatnonzero(change)
         us, vs = [], []
         for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(order)]):
             own = order[s:e]
             if len(own) > 1:
                 sets = [np.frombuffer(blobs[int(i)].as_py(), dtype=_U) for i in own]
-                for a, b in verified_links(n[own], sets, side[own] if low[own[0]] != high[own[0]] else None, percent):
+                crossing = keys[2][own[0]] >= 0  # visitors against residents; else all against all
+                for a, b in verified_links(n[own], sets, visits[own] if crossing else None, percent, known[own] if crossing else None):
                     us.append(int(node[own[a]]))
                     vs.append(int(node[own[b]]))
         return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
@@ -353,24 +368,53 @@ def _verifier(percent: int):
     return verify
 
 
+_TASK_COLUMNS = ("root", "side", "chunk", "node", "n", "visits", "known", "ranked")
+
+
+def _links(rows: DataFrame, tasks: int, percent: int, tag: str) -> DataFrame:
+    dealt = rows.select(*_TASK_COLUMNS).withColumn("task", F.pmod(F.xxhash64("root", "side", "chunk"), F.lit(tasks)))
+    return staged(dealt.groupBy("task").applyInArrow(_verifier(percent), "u long, v long"), tag)
+
+
+def _visits(postings: DataFrame, sided: DataFrame, roots: DataFrame) -> DataFrame:
+    """node, root and side of the texts that have candidates in a side that is not theirs; see (5) above."""
+    where = sided.filter("sides > 1").join(roots.select("node", F.col("root").alias("known")), "node", "left").withColumn("known", F.coalesce("known", "node"))
+    members = staged(postings.join(where.select("node", "root", "side", "known"), "node"), "members")
+    by_known = members.groupBy("token", "known").agg(F.count("*").alias("c"))
+    tokens = by_known.groupBy("token").agg(F.max_by("known", F.struct("c", "known")).alias("largest"), F.count("*").alias("components"), F.sum("c").alias("k")).filter("components > 1").drop("components")
+    moving = spread_join(members, tokens, "token", members.count()).filter("known <> largest").select("token", "node", "root", F.col("side").alias("own"), "known")
+    sides = members.groupBy("token", "side").agg(F.min("known").alias("low"), F.max("known").alias("high"))
+    return moving.join(sides, "token").filter("side <> own and not (low = known and high = known)").select("node", "root", "side", "known").distinct()
+
+
 def link_components(ranked: DataFrame, percent: int = 75) -> DataFrame:
     """node (the smallest doc_id of a word sequence) and root (the smallest of its component) of all texts that have links."""
-    spark = ranked.sparkSession
     texts = staged(
         ranked.filter("n > 0").groupBy("key1", "key2").agg(F.min("doc_id").alias("node"), F.max("n").alias("n"), F.first("ranked", ignorenulls=True).alias("ranked")).filter("ranked is not null and node is not null").select("node", "n", "ranked"),
         "texts",
     )
-    postings = texts.mapInArrow(_prefix_sender(percent), "token long, node long")
-    leaders = postings.groupBy("token").agg(F.min("node").alias("leader"), F.count("*").alias("k")).filter("k > 1").drop("k")
-    near = postings.join(leaders, "token").filter("node <> leader").select(F.col("node").alias("u"), F.col("leader").alias("v")).distinct()
+    postings = staged(texts.mapInArrow(_prefix_sender(percent), "token long, node long"), "postings")
+    leaders = staged(postings.groupBy("token").agg(F.min("node").alias("leader"), F.count("*").alias("k")).filter("k > 1"), "leaders")
+    near = spread_join(postings, leaders, "token", postings.count()).filter("node <> leader").select(F.col("node").alias("u"), F.col("leader").alias("v")).distinct()
     clusters = staged(connected_components(near), "clusters")
-    sizes = clusters.groupBy("root").agg(F.ceil(F.count("*") / CLUSTER_TEXTS).cast("int").alias("sides"))
-    placed = texts.join(clusters, "node").join(sizes, "root").withColumn("side", F.pmod(F.xxhash64("node"), F.col("sides")).cast("int"))
-    paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
-    paired = paired.select("root", "node", "n", "side", "ranked", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
-    tasks = max(24, -(-clusters.count() // 500))
-    links = paired.withColumn("task", F.pmod(F.xxhash64("root", "low", "high"), F.lit(tasks))).groupBy("task").applyInArrow(_verifier(percent), "u long, v long")
-    return staged(connected_components(links), "components")
+    many = clusters.count()
+    sizes = clusters.groupBy("root").agg(F.ceil(F.count("*") / CLUSTER_TEXTS).cast("int").alias("sides"), F.count("*").alias("k"))
+    sided = staged(spread_join(clusters, sizes, "root", many).withColumn("side", F.pmod(F.xxhash64("node"), F.col("sides")).cast("int")), "sided")
+    home = texts.join(sided, "node").withColumns({"chunk": F.lit(-1), "visits": F.lit(0), "known": F.col("node")})
+    # the first text of a cluster is verified in all its sides: where it has copies, these become one component
+    first = home.filter("node = root and sides > 1").withColumns({"own": F.col("side"), "side": F.explode(F.sequence(F.lit(0), F.col("sides") - 1))}).filter("side <> own")
+    tasks = max(24, -(-many // 500))
+    links = _links(home.select(*_TASK_COLUMNS).unionByName(first.select(*_TASK_COLUMNS)), tasks, percent, "links")
+    roots = staged(connected_components(links), "components")
+    if sided.filter("sides > 1").isEmpty():
+        return roots
+    visits = staged(_visits(postings, sided, roots), "visits")
+    chunks = staged(visits.groupBy("root", "side").agg(F.ceil(F.count("*") / CLUSTER_TEXTS).cast("int").alias("chunks")), "chunks")
+    known = sided.join(roots.select("node", F.col("root").alias("known")), "node", "left").select("node", "root", "side", F.coalesce("known", "node").alias("known"))
+    placed = known.join(chunks, ["root", "side"]).select("node", "root", "side", "known", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("visits"))
+    guests = visits.join(chunks, ["root", "side"]).select("node", "root", "side", "known", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"), F.lit(1).alias("visits"))
+    crossing = _links(texts.join(placed.unionByName(guests), "node"), max(tasks, -(-chunks.agg(F.coalesce(F.sum("chunks"), F.lit(0))).first()[0])), percent, "crossing")
+    return staged(connected_components(links.unionByName(crossing)), "components")
 
 
 def ngram_components(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -378,6 +422,7 @@ def ngram_components(docs: DataFrame, percent: int = 75) -> DataFrame:
     ranked = ranked_sets(docs, percent)
     roots = link_components(ranked, percent)
     some = ranked.filter("n > 0").select("doc_id", "n", "key1", "key2")
-    nodes = some.groupBy("key1", "key2").agg(F.min("doc_id").alias("node"))
-    linked = some.join(nodes, ["key1", "key2"]).join(roots, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("component_id"))
+    nodes = some.groupBy("key1", "key2").agg(F.min("doc_id").alias("node"), F.count("*").alias("k")).join(roots, "node", "left")
+    placed = spread_join(some, nodes, ["key1", "key2"], some.count())  # many copies of a text are rows of one key
+    linked = placed.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("component_id"))
     return linked.unionByName(ranked.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text whose arrays are held at once (about 60 bytes of memory each).
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 _U = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)

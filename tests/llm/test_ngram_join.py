@@ -72,6 +72,21 @@ def test_small_clusters_and_buckets_change_nothing(spark, monkeypatch):
     assert result(N.ngram_components(frame(spark, rows))) == brute(rows)
 
 
+def test_sides_visit_only_where_they_have_candidates(spark, monkeypatch):
+    monkeypatch.setattr(N, "CLUSTER_TEXTS", 20)
+    rng = random.Random(3)
+    families = [words_of(f"f{k}", 60) for k in range(3)]
+    rows = []
+    for i in range(240):  # families that share passages, so that all fall in one cluster, with many copies at the edge of the threshold
+        words = list(families[i % 3])
+        if i % 2:
+            words[:25] = families[(i + 1) % 3][:25]
+        for _ in range(rng.choice([0, 1, 2, 4])):
+            words[rng.randrange(60)] = f"e{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    assert result(N.ngram_components(frame(spark, rows))) == brute(rows)
+
+
 def test_driver_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     assert result(N.ngram_components(docs)) == brute([tuple(r) for r in docs.select("doc_id", "text").collect()])
@@ -93,6 +108,19 @@ def test_a_star_of_copies_is_one_component_without_all_pairs():
     assert len(links) == 60  # a spanning tree
 
 
+def test_a_cluster_of_thousands_is_verified_by_few_pairs(monkeypatch):
+    base = np.arange(1, 201, dtype=np.uint64)
+    rng = np.random.default_rng(2)
+    sets = [base] + [np.sort(np.concatenate([np.delete(base, rng.choice(200, 12, replace=False)), rng.integers(10**6, 10**9, 12).astype(np.uint64)])) for _ in range(3000)]
+    sizes, calls = np.array([len(s) for s in sets]), []
+    overlap = N._overlap
+    monkeypatch.setattr(N, "_overlap", lambda a, b: calls.append(1) or overlap(a, b))
+    assert len(N.verified_links(sizes, sets, None, 75)) == 3000
+    assert len(calls) < 3 * 3000  # of 4.5 million pairs
+    calls.clear()
+    assert not N.verified_links(sizes, sets, (np.arange(3001) % 2), 75, np.zeros(3001, np.int64)) and not calls  # all known to be linked
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(300).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v")).unionByName(spark.createDataFrame([(900, 901), (900, 900)], "u long, v long"))
     got = {r.node: r.root for r in connected_components(edges).collect()}
