@@ -1,9 +1,11 @@
 """Sharding (operator 9): indivisible groups, sorted by size, enter the tightest remaining-capacity bin through a balanced tree.
 
-Groups are documents of equal text.  Those above 1/ATOMS of all bytes are items of their own; the smaller ones enter as atoms,
-the sum of all small groups with one hash value.  So at most 2 * ATOMS items reach the driver at any size of input, whatever
-the groups are, and no group is ever split.  For a fixed number of shards, the capacity is the smallest (found by bisection)
-at which best-fit-decreasing needs no more shards than that: sizes come out near equal unless a single group is larger.
+Groups are documents of equal text, and no group is ever split.  Where best-fit-decreasing puts a group depends on its size alone,
+so the driver gets the different sizes with the number of groups of each, places them as runs - a bin that takes one of several equal groups
+takes as many as fit - and the groups of a size are handed out to its runs by their number among these.  Two numbers per
+different size reach the driver, MAX_SIZES of them at most (groups of so many different sizes hold over 12 TB).  For a fixed number
+of shards, the capacity is the smallest (found by bisection) at which best-fit-decreasing needs no more shards than that: sizes
+come out near equal unless a single group is larger.
 
 Defined results.  Null text counts as empty: size 8, crc32 0, one group with the empty texts.  Repeated rows are rows of their
 own, in the shard of their group.  Empty table: no rows.  Further columns are ignored.
@@ -15,12 +17,14 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from cardloom.llm.common import bounded_rows, staged
+from cardloom.llm.common import bounded_rows, spread_join, staged
 
-ATOMS = 1 << 14
-#: Rows of a cell (shard, part), in which slots are numbered by one task.
+#: Different sizes of groups that the driver takes; more raise.
+MAX_SIZES = 5_000_000
+#: Keys with the number of their cells up to which these are broadcast.
+BROADCAST_KEYS = 100_000
+#: Rows of a cell, which one task numbers, about.
 CELL_ROWS = 20_000
 
 
@@ -100,33 +104,44 @@ class RoomTree:
         return n
 
 
-def best_fit_decreasing(sizes: list[int], capacity: int, most: float = math.inf) -> list[int] | None:
-    """The bin of each item; None as soon as more than so many bins are needed.  An item above the capacity has a bin alone."""
-    tree, bins, out = RoomTree(), 0, [0] * len(sizes)
-    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
-        if found := tree.pop_tightest(sizes[i]):
-            room, b = found
-        else:
-            if bins >= most:
-                return None
-            room, b, bins = max(capacity, sizes[i]), bins, bins + 1
-        out[i] = b
-        tree.insert((room - sizes[i], b))
+#: Runs of equal items: size, and how many have it.
+Runs = list[tuple[int, int]]
+
+
+def best_fit_decreasing(runs: Runs, capacity: int, most: float = math.inf) -> list[list[tuple[int, int]]] | None:
+    """For each run, in decreasing order of size, the (bin, how many) that its items go to; None as soon as more than so many bins are
+    needed.  An item above the capacity has a bin alone."""
+    tree, bins, out = RoomTree(), 0, []
+    for size, count in runs:
+        placed = []
+        while count:
+            if found := tree.pop_tightest(size):
+                room, b = found
+            else:
+                if bins >= most:
+                    return None
+                room, b, bins = max(capacity, size), bins, bins + 1
+            taken = min(count, room // size)  # the tightest bin stays the tightest until it has no room for another
+            placed.append((b, taken))
+            count -= taken
+            tree.insert((room - taken * size, b))
+        out.append(placed)
     return out
 
 
-def level_shards(sizes: list[int], shards: int) -> list[int]:
-    """Bins 0 to shards-1 for the items, at the smallest capacity at which best-fit-decreasing needs no more bins."""
-    if not sizes:
+def level_shards(runs: Runs, shards: int) -> list[list[tuple[int, int]]]:
+    """Bins 0 to shards-1 for the items of the runs, at the smallest capacity at which best-fit-decreasing needs no more bins."""
+    if not runs:
         return []
-    low = max(-(-sum(sizes) // shards), max(sizes))
-    high, best = low, best_fit_decreasing(sizes, low, shards)
+    total = sum(size * count for size, count in runs)
+    low = max(-(-total // shards), runs[0][0])
+    high, best = low, best_fit_decreasing(runs, low, shards)
     while best is None:
         low, high = high + 1, high + max(1, high // 200)
-        best = best_fit_decreasing(sizes, high, shards)
+        best = best_fit_decreasing(runs, high, shards)
     while high - low > max(1, high // 20_000):
         mid = (low + high) // 2
-        if (found := best_fit_decreasing(sizes, mid, shards)) is None:
+        if (found := best_fit_decreasing(runs, mid, shards)) is None:
             low = mid + 1
         else:
             high, best = mid, found
@@ -145,39 +160,42 @@ def shard_documents(docs: DataFrame, shards: int = 24, row_overhead: int = 8) ->
     rows = staged(
         docs.select(
             F.col("doc_id"), (text_bytes(F.col("text")) + row_overhead).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-            F.conv(F.substring(sha, 1, 15), 16, 10).cast("long").alias("_g1"), F.conv(F.substring(sha, 16, 15), 16, 10).cast("long").alias("_g2"),
+            F.conv(F.substring(sha, 1, 15), 16, 10).cast("long").alias("_g1"), F.conv(F.substring(sha, 16, 15), 16, 10).cast("long").alias("_g2"), F.monotonically_increasing_id().alias("_row"),
         ),
         "sizes",
     )
-    n_rows, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    groups = rows.groupBy("_g1", "_g2").agg(F.sum("size").alias("bytes"))
-    large = F.col("bytes") * ATOMS > total
-    atom = F.pmod(F.xxhash64("_g1", "_g2"), F.lit(ATOMS))
-    groups = staged(groups.select("_g1", "_g2", "bytes", large.alias("large"), atom.alias("atom")), "groups")
-    big = groups.filter("large").select("_g1", "_g2", F.lit(None).cast("long").alias("atom"), "bytes")
-    small = groups.filter("not large").groupBy("atom").agg(F.sum("bytes").alias("bytes")).select(F.lit(None).cast("long").alias("_g1"), F.lit(None).cast("long").alias("_g2"), "atom", "bytes")
-    items = sorted(bounded_rows(big.unionByName(small), 2 * ATOMS, "the items"), key=lambda r: (-r["bytes"], r["atom"] or -1, r["_g1"] or 0, r["_g2"] or 0))
-    bins = level_shards([r["bytes"] for r in items], shards)
-    own = [(r["_g1"], r["_g2"], b) for r, b in zip(items, bins) if r["atom"] is None]
-    shared = [(r["atom"], b) for r, b in zip(items, bins) if r["atom"] is not None]
-    whole = spark.createDataFrame(own, T.StructType([T.StructField("_g1", T.LongType()), T.StructField("_g2", T.LongType()), T.StructField("_own", T.IntegerType())]))
-    parts = spark.createDataFrame(shared, T.StructType([T.StructField("_atom", T.LongType()), T.StructField("_shared", T.IntegerType())]))
-    placed = (
-        rows.withColumn("_atom", atom)
-        .join(F.broadcast(whole), ["_g1", "_g2"], "left")  # at most ATOMS rows
-        .join(F.broadcast(parts), "_atom", "left")  # at most ATOMS rows
-        .select("doc_id", "size", "text_crc32", F.coalesce("_own", "_shared").alias("shard"))
-    )
-    return number_slots(placed, n_rows, shards)
-
-
-def number_slots(placed: DataFrame, n_rows: int, shards: int) -> DataFrame:
-    """Gapless slots in each shard without a sort of a whole shard: rows are numbered inside cells (shard, hash part), and each
-    cell starts where the cells before it end.  Copies spread over the parts, as these come from the row and not its group."""
-    parts = max(1, -(-n_rows // (shards * CELL_ROWS)))
-    parts = max(parts, min(16, -(-n_rows // 2000)))
-    placed = staged(placed.withColumn("_part", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(parts)).cast("int")), "placed")
-    cells = placed.groupBy("shard", "_part").agg(F.count("*").alias("_n"))
-    starts = cells.withColumn("_start", F.sum("_n").over(Window.partitionBy("shard").orderBy("_part")) - F.col("_n")).drop("_n")
-    slot = F.row_number().over(Window.partitionBy("shard", "_part").orderBy("doc_id", "size", "text_crc32")) - 1
-    return placed.withColumn("_slot", slot).join(starts, ["shard", "_part"]).select("doc_id", "size", "text_crc32", "shard", (F.col("_start") + F.col("_slot")).alias("slot"))
+    groups = staged(rows.groupBy("_g1", "_g2").agg(F.sum("size").alias("_bytes"), F.count("*").alias("k")), "groups")
+    sizes = groups.groupBy("_bytes").agg(F.count("*").alias("n"), F.sum("k").alias("rows"))
+    known = sorted(((r["_bytes"], r["n"]) for r in bounded_rows(sizes.select("_bytes", "n"), MAX_SIZES, "the list of different sizes")), reverse=True)
+    placed = level_shards(known, shards)
+    runs = []
+    for (size, _), parts in zip(known, placed):
+        starts = 0
+        for b, n in parts:
+            runs.append((size, starts, starts + n, b))
+            starts += n
+    table = spark.createDataFrame(runs, "_bytes long, _from long, _to long, _shard int")
+    cells = numbered(groups, "_bytes", [F.col("_g1"), F.col("_g2")])
+    # a cell has one size and about CELL_ROWS groups, so no task gets all groups of a common size
+    reach = cells.groupBy("_bytes", "_part").agg(F.min("_number").alias("_first"), F.max("_number").alias("_last"))
+    met = reach.join(table, "_bytes").filter("_first < _to and _last >= _from").select("_bytes", "_part", "_from", "_to", "_shard")
+    homes = cells.join(met, ["_bytes", "_part"]).filter("_number >= _from and _number < _to").select("_g1", "_g2", "k", F.col("_shard").alias("shard"))
+    at = spread_join(rows, homes, ["_g1", "_g2"], rows.count()).select("doc_id", "size", "text_crc32", "shard", "_row")
+    return numbered(at, "shard", [F.col("_row")]).select("doc_id", "size", "text_crc32", "shard", F.col("_number").alias("slot"))
+
+
+def numbered(rows: DataFrame, key: str, distinct: list[Column]) -> DataFrame:
+    """rows with _part and _number, gapless from 0 under each key, without a sort of a whole key: rows are dealt to cells by a hash
+    of columns that tell them apart, numbered inside, and each cell starts where the cells of its key before it end."""
+    rows = staged(rows, "numbered")
+    counts = staged(rows.groupBy(key).agg(F.count("*").alias("_k")).withColumn("_parts", F.ceil(F.col("_k") / CELL_ROWS)), "parts")
+    hashed = rows.withColumn("_hash", F.xxhash64(*distinct))
+    if counts.count() <= BROADCAST_KEYS:
+        parts = hashed.join(F.broadcast(counts.drop("_k")), key)
+    else:
+        parts = spread_join(hashed, counts, key, rows.count(), "_k")
+    dealt = staged(parts.withColumn("_part", F.pmod("_hash", "_parts").cast("int")).drop("_hash", "_parts"), "dealt")
+    cells = dealt.groupBy(key, "_part").agg(F.count("*").alias("_n"))
+    starts = cells.withColumn("_start", F.sum("_n").over(Window.partitionBy(key).orderBy("_part")) - F.col("_n")).drop("_n")
+    number = F.row_number().over(Window.partitionBy(key, "_part").orderBy(*distinct)) - 1
+    return dealt.withColumn("_own", number).join(starts, [key, "_part"]).withColumn("_number", F.col("_start") + F.col("_own")).drop("_own", "_start")

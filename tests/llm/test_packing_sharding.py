@@ -3,10 +3,11 @@ from __future__ import annotations
 import functools
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cardloom.llm import packing as P
 from cardloom.llm import sharding as S
@@ -161,12 +162,53 @@ def test_tree_and_bins():
             assert tree.pop_tightest(room) == expected
             if expected:
                 kept.remove(expected)
-    assert S.best_fit_decreasing([5, 5, 4, 3, 3], 10) == [0, 0, 1, 1, 1]
+    assert S.best_fit_decreasing([(5, 2), (4, 1), (3, 2)], 10) == [[(0, 2)], [(1, 1)], [(1, 2)]]
     sizes = [rng.randrange(1, 1000) for _ in range(2000)]
-    bins = S.level_shards(sizes, 24)
-    load = [sum(s for s, b in zip(sizes, bins) if b == k) for k in range(24)]
-    assert max(load) <= 1.001 * sum(sizes) / 24 + 1 and min(load) >= 0.97 * sum(sizes) / 24
-    assert S.level_shards([], 24) == [] and S.level_shards([7], 24) == [0]
+    runs = sorted(Counter(sizes).items(), reverse=True)
+    load = Counter()
+    for (size, count), parts in zip(runs, S.level_shards(runs, 24)):
+        assert sum(n for _, n in parts) == count
+        for b, n in parts:
+            load[b] += n * size
+    assert max(load.values()) <= 1.001 * sum(sizes) / 24 + 1 and min(load.values()) >= 0.97 * sum(sizes) / 24 and set(load) == set(range(24))
+    assert S.level_shards([], 24) == [] and S.level_shards([(7, 1)], 24) == [[(0, 1)]]
+
+
+def test_runs_are_placed_as_single_items_are():
+    rng = random.Random(4)
+    for _ in range(40):
+        sizes = sorted((rng.randrange(1, 40) for _ in range(60)), reverse=True)
+        single, rooms = [], []  # tightest room first, then the older bin
+        for size in sizes:
+            fit = min(((r, b) for b, r in enumerate(rooms) if r >= size), default=None)
+            if fit is None:
+                rooms.append(100 - size)
+                single.append(len(rooms) - 1)
+            else:
+                rooms[fit[1]] -= size
+                single.append(fit[1])
+        load = Counter()
+        for size, b in zip(sizes, single):
+            load[b, size] += 1
+        runs = sorted(Counter(sizes).items(), reverse=True)
+        placed = Counter()
+        for (size, _), parts in zip(runs, S.best_fit_decreasing(runs, 100)):
+            for b, n in parts:
+                placed[b, size] += n
+        assert placed == load
+
+
+def test_equal_sizes_and_equal_rows_spread_over_cells(spark, monkeypatch):
+    monkeypatch.setattr(S, "CELL_ROWS", 10)
+    rows = [(1, "same")] * 90 + [(None, "null id")] * 30 + [(i, f"t{i:05}") for i in range(200)]
+    out = S.shard_documents(frame(spark, rows), 4).collect()
+    slots = defaultdict(list)
+    for r in out:
+        slots[r.shard].append(r.slot)
+    assert len(out) == 320 and all(sorted(v) == list(range(len(v))) for v in slots.values())
+    assert len({r.shard for r in out if r.text_crc32 == zlib.crc32(b"same")}) == 1
+    parts = S.numbered(spark.range(300).selectExpr("0 as key", "id"), "key", [F.col("id")])
+    assert sorted(r._number for r in parts.collect()) == list(range(300)) and parts.select("_part").distinct().count() == 30
 
 
 @pytest.mark.parametrize("n", [0, 3, 400])
