@@ -2,11 +2,14 @@
 and by the markup around them, classified by a decision tree trained on a small labelled table.
 
 A page is cut at block-level tags into blocks of text.  References are decoded, white space becomes one space, and each block
-gets numbers: words and link density of itself, the block before and the block after; whether it lies in an article or main
-element; whether an enclosing element is a menu, header, footer, sidebar or form, or is named like one (class, id or role); whether
-the page has an article at all.  The tree that decides is grown from labelled_table() by Gini impurity.
-
-Defined results.  Null or empty html: empty text, 0 characters.  No tags: the whole text is one block.  Unclosed, crossed and stray
+gets numbers: words and link density of itself, the block before and the block after; whether it is a heading; and what the markup
+around it says: whether it lies in an article or main element, or in page furniture (by element, by the layout name of a container,
+by a name for other people's text, by a name of its own), and whether the page has main content so marked at all.  Names are
+features like the others: the tree that decides is grown from labelled_table() by Gini impurity.  What wraps an article or main
+element - a form, a container with a layout name - says nothing about it; only a name for other people's text does.
+
+Defined results.  Tags that html lets out: text or an element of the body ends an open head, and one that drawings and formulas cannot
+hold ends an open svg or math.  Null or empty html: empty text, 0 characters.  No tags: the whole text is one block.  Unclosed, crossed and stray
 tags: a closing tag closes its nearest open element and what is open inside it; one that closes nothing is ignored; the end of the page closes all.
 Repeated rows are extracted each.  Empty table: no rows.  Further columns are ignored.  Nothing is capped or dropped by length.
 """
@@ -31,13 +34,21 @@ BLOCK = frozenset("address article aside blockquote body button caption center d
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that a new one of the same kind closes, with the containers that keep it open, and those that close a paragraph.
 CLOSES_ITSELF = {"li": ("ul", "ol", "menu"), "p": (), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
-CHROME_TAGS = frozenset("nav header footer aside form menu dialog button fieldset search".split())
-HINT = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|banner\w*|promo\w*|sponsor\w*|cookie\w*|consent|gdpr|notice|notices|alert|popup|modal|overlay|newsletter|subscri\w*|signup|login|register|search\w*|"
-    r"nav\w*|menu\w*|breadcrumb\w*|pagination|pager|sidebar\w*|side|aside|widget\w*|related|recommend\w*|share\w*|sharing|social|follow|header|masthead|topbar|footer|foot|copyright|legal|"
-    r"comment\w*|reply|replies|respond|disqus|discussion|form|navigation|contentinfo|complementary)(?:$|[\s_-])"
+#: Elements that a head may hold; furniture also around main content, and only elsewhere.
+HEAD = frozenset("title meta link base script style noscript template".split())
+FURNITURE = frozenset("nav footer aside button search dialog".split())
+WRAPPING_FURNITURE = frozenset("header form menu fieldset".split())
+#: Elements that hold one piece of text; their names say less than those of containers.
+LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li td th dt dd blockquote pre span b i em strong a caption figcaption".split())
+#: Names (class, id, role) of page layout, of text that is not the page's own, and of main content.
+LAYOUT_NAME = re.compile(
+    r"(?:^|[\s_-])(?:banner\w*|popup|nav\w*|menu\w*|breadcrumb\w*|pagination|pager|sidebar\w*|side|aside|header|masthead|topbar|footer|foot|form|search\w*|login|register|widget\w*|complementary)(?:$|[\s_-])"
+)
+FOREIGN_NAME = re.compile(
+    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|promo\w*|sponsor\w*|cookie\w*|consent|gdpr|notice|notices|alert|modal|overlay|newsletter|subscri\w*|signup|related|recommend\w*|share\w*|sharing|"
+    r"social|follow|copyright|legal|comment\w*|reply|replies|respond|disqus|discussion|contentinfo)(?:$|[\s_-])"
 )
-KEEP = re.compile(r"(?:^|[\s_-])(?:article|articlebody|post|entry|content|story|body|main|text|markdown)(?:$|[\s_-])")
+MAIN_NAME = re.compile(r"(?:^|[\s_-])(?:article|articlebody|post|entry|content|story|body|main|text|markdown)(?:$|[\s_-])")
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)(?:>|\Z)", re.S)
 #: Every attribute with its value, so that a value is never taken for a name.
@@ -51,65 +62,98 @@ class Block:
     text: str
     words: int
     linked: float
-    article: bool
-    chrome: bool
+    main: bool
+    furniture: bool
+    layout_named: bool
+    foreign_named: bool
+    leaf_named: bool
     heading: bool
 
 
-def _hints(attributes: str) -> tuple[bool, bool]:
-    """Whether an element's class, id or role names page furniture, and whether it names main content."""
-    if not attributes:
-        return False, False
-    chrome = keep = False
-    for found in _ATTRIBUTE.finditer(attributes):
+@dataclass
+class _Open:
+    """An open element and what its markup says."""
+
+    tag: str
+    main: bool = False
+    hidden: bool = False
+    layout: bool = False
+    foreign: bool = False
+    leaf: bool = False
+
+
+def _opened(tag: str, attributes: str) -> _Open:
+    out = _Open(tag, tag in ("article", "main"))
+    named_main = False
+    for found in _ATTRIBUTE.finditer(attributes or ""):
         name = (found[1] or "").lower()
         value = (found[2] or found[3] or found[4] or "").strip()
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            chrome = True
+            out.hidden = True
         elif name in ("class", "id", "role"):
             value = _CAMEL.sub("-", value).lower()
-            chrome |= bool(HINT.search(value))
-            keep |= bool(KEEP.search(value))
+            out.layout |= bool(LAYOUT_NAME.search(value))
+            out.foreign |= bool(FOREIGN_NAME.search(value))
+            named_main |= bool(MAIN_NAME.search(value))
         elif name == "itemprop":
-            keep |= value.lower() == "articlebody"
-            chrome |= value.lower() == "comment"
-    return chrome, keep
+            named_main |= value.lower() == "articlebody"
+            out.foreign |= value.lower() == "comment"
+    if tag in LEAVES:
+        out.leaf, out.layout, out.foreign = out.layout or out.foreign, False, False
+    elif tag in ("html", "body"):
+        out.layout = out.foreign = False
+    elif named_main and not out.foreign and not out.layout and tag in ("div", "section", "td"):
+        out.main = True
+    if tag in ("article", "main"):
+        out.layout = False
+        out.main = not out.foreign
+    return out
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks of text in order."""
     out: list[Block] = []
-    open_: list[tuple[str, bool, bool]] = []  # tag, furniture, main content
-    silent = anchors = article = chrome = heading = 0
+    open_: list[_Open] = []
+    silent = anchors = 0
     text: list[str] = []
     linked = 0
 
+    def block(joined: str, share: float) -> Block:
+        main = furniture = layout = foreign = leaf = heading = False
+        for x in reversed(open_):
+            furniture |= x.hidden or x.tag in FURNITURE or not main and x.tag in WRAPPING_FURNITURE and not (x.tag == "header" and any(y.main for y in open_))
+            foreign |= x.foreign
+            layout |= x.layout and not main
+            leaf |= x.leaf
+            heading |= x.tag in ("h1", "h2", "h3", "h4", "h5", "h6")
+            main |= x.main
+        return Block(joined, joined.count(" ") + 1, share, main, furniture, layout, foreign, leaf, heading)
+
     def flush() -> None:
         nonlocal linked
         if text:
             joined = _SPACE.sub(" ", html.unescape("".join(text))).strip()
             if joined:
                 size = sum(map(len, text))
-                out.append(Block(joined, joined.count(" ") + 1, linked / size if size else 0.0, article > 0, chrome > 0, heading > 0))
+                out.append(block(joined, linked / size if size else 0.0))
             text.clear()
         linked = 0
 
     def close(at: int) -> None:
-        nonlocal silent, anchors, article, chrome, heading
+        nonlocal silent, anchors
         while len(open_) > at:
-            tag, was_chrome, was_article = open_.pop()
-            if tag in BLOCK:
+            if open_[-1].tag in BLOCK:
                 flush()
+            tag = open_.pop().tag
             silent -= tag in NO_TEXT
             anchors -= tag == "a"
-            chrome -= was_chrome
-            article -= was_article
-            heading -= tag in ("h1", "h2", "h3", "h4", "h5", "h6")
 
     at, end = 0, len(page)
     while at < end:
         found = _TOKEN.search(page, at)
         stop = found.start() if found else end
+        if stop > at and silent and open_[-1].tag == "head" and not page[at:stop].isspace():
+            close(len(open_) - 1)
         if stop > at and not silent:
             piece = page[at:stop]
             text.append(piece)
@@ -126,20 +170,24 @@ def blocks_of(page: str) -> list[Block]:
         tag = tag.lower()
         if found[1] or found[4]:
             for n in range(len(open_) - 1, -1, -1):
-                if open_[n][0] == tag:
+                if open_[n].tag == tag:
                     close(n)
                     break
             else:
                 if tag in BLOCK and not silent:
                     flush()
             continue
-        if silent and tag != "body":
+        if tag == "body":
+            close(next((n for n, x in enumerate(open_) if x.tag == "head"), len(open_)))
+        if silent and (open_[-1].tag == "head" and tag not in HEAD and tag != "html" or open_[-1].tag in ("svg", "math") and tag in BLOCK):
+            close(len(open_) - 1)
+        if silent:
             if tag in NO_TEXT and tag not in ("script", "style", "textarea"):
-                open_.append((tag, False, False))
+                open_.append(_Open(tag))
                 silent += 1
+            elif tag in ("script", "style", "textarea"):
+                at = re.compile(rf"</{tag}\s*>|\Z", re.I).search(page, at).end()
             continue
-        if tag == "body":
-            close(next((n for n, x in enumerate(open_) if x[0] == "head"), len(open_)))
         if tag == "br":
             text.append(" ")
             continue
@@ -157,75 +205,95 @@ def blocks_of(page: str) -> list[Block]:
         if tag in BLOCK:
             flush()
             for n in range(len(open_) - 1, -1, -1):
-                inner = open_[n][0]
+                inner = open_[n].tag
                 if inner == tag and tag in CLOSES_ITSELF or inner == "p":
                     close(n)
                     break
                 if inner in BLOCK and (inner in CLOSES_ITSELF.get(tag, ()) or tag not in CLOSES_ITSELF or inner not in CLOSES_ITSELF):
                     break
-        named_chrome, named_keep = _hints(attributes)
-        is_chrome = tag in CHROME_TAGS or named_chrome and tag not in ("body", "html", "article", "main") and not (named_keep and not any(x[2] for x in open_))
-        if tag == "header" and any(x[2] for x in open_):  # the heading of an article
-            is_chrome = named_chrome and bool(attributes)
-        is_article = tag in ("article", "main") or named_keep and not named_chrome and tag in ("div", "section", "td")
-        open_.append((tag, is_chrome, is_article))
+        open_.append(_opened(tag, attributes))
         silent += tag in NO_TEXT
         anchors += tag == "a"
-        chrome += is_chrome
-        article += is_article
-        heading += tag in ("h1", "h2", "h3", "h4", "h5", "h6")
     close(0)
     flush()
     return out
 
 
 #: Names of the numbers of a block, in order.
-FEATURES = ("in_article", "in_furniture", "page_has_article", "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "heading")
+FEATURES = (
+    "in_main", "furniture", "layout_named", "foreign_named", "leaf_named", "page_has_main", "heading", "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
+)
 
 
 def block_features(blocks: list[Block]) -> list[tuple[float, ...]]:
-    any_article = any(b.article and not b.chrome for b in blocks)
+    any_main = any(b.main and not b.furniture and not b.foreign_named for b in blocks)
     rows = []
     for n, b in enumerate(blocks):
         p = blocks[n - 1] if n else None
         q = blocks[n + 1] if n + 1 < len(blocks) else None
         rows.append((
-            float(b.article), float(b.chrome), float(any_article), float(b.words), b.linked,
-            float(p.words) if p else 0.0, p.linked if p else 0.0, float(q.words) if q else 0.0, q.linked if q else 0.0, float(b.heading),
+            float(b.main), float(b.furniture), float(b.layout_named), float(b.foreign_named), float(b.leaf_named), float(any_main), float(b.heading), float(b.words), b.linked,
+            float(p.words) if p else 0.0, p.linked if p else 0.0, float(q.words) if q else 0.0, q.linked if q else 0.0,
         ))
     return rows
 
 
-#: The labelled table in short: kinds of blocks seen in page layouts, labelled by hand (1: main text).  Each line gives, in turn,
-#: in_article, in_furniture, page_has_article, and the words, link densities, (words, link density) of the neighbours before and
-#: after, and heading flags that such blocks have; a line stands for all combinations of these.
+#: Numbers that stand for blocks of one size: labels and buttons, short lines, sentences, paragraphs, long ones; text without links,
+#: with some, links alone; and neighbours that are missing, text, or links.
+SHORT, LONG, VERY_LONG = (1, 5), (14,), (45, 120)
+ANY_WORDS = (*SHORT, *LONG, *VERY_LONG)
+FEW_LINKS, ALL_LINKS = (0.0, 0.3), (1.0,)
+ANY_LINKS = (*FEW_LINKS, *ALL_LINKS)
+NONE, TEXT, LINKS = (0, 0.0), (90, 0.0), (2, 1.0)
+ANY_SIDE = (NONE, TEXT, LINKS)
+#: The labelled table in short: kinds of blocks seen in page layouts, labelled by hand (1: main text).  Each line gives, in turn, in_main,
+#: furniture, layout_named, foreign_named, leaf_named, page_has_main and heading; then the words, the link densities, and the
+#: neighbours before and after that such blocks have.  A line stands for all combinations of these.
 KINDS: list[tuple] = [
-    # an article's paragraphs, list items and headings, whatever their length, links and neighbours
-    (1, 0, 1, (1, 30, 250), (0.0, 0.6), ((0, 0.0), (9, 0.0), (150, 0.0), (2, 1.0)), ((0, 0.0), (60, 0.0), (3, 1.0)), (0,), 1),
-    (1, 0, 1, (2, 12), (0.0, 1.0), ((0, 0.0), (200, 0.0)), ((70, 0.0),), (1,), 1),
-    # furniture by its markup, inside and outside of articles, also when it is long and without links
-    (1, 1, 1, (3, 90), (0.0, 1.0), ((70, 0.0), (2, 1.0)), ((0, 0.0), (45, 0.0)), (0,), 0),
-    (0, 1, 1, (2, 70), (0.0, 1.0), ((0, 0.0), (150, 0.0)), ((12, 0.0), (2, 1.0)), (0, 1), 0),
-    (0, 1, 0, (2, 90), (0.0, 1.0), ((0, 0.0), (60, 0.0)), ((40, 0.0), (2, 1.0)), (0, 1), 0),
-    # anything else on a page that has an article
-    (0, 0, 1, (3, 80), (0.0, 1.0), ((1, 1.0), (90, 0.0)), ((9, 0.0),), (0, 1), 0),
-    # pages without an article: text with few links; runs of links
-    (0, 0, 0, (4, 25, 120), (0.0, 0.3), ((0, 0.0), (50, 0.0)), ((0, 0.0), (40, 0.0)), (0, 1), 1),
-    (0, 0, 0, (60,), (0.0, 0.2), ((2, 1.0),), ((2, 1.0),), (0,), 1),
-    (0, 0, 0, (1, 5, 40), (0.8, 1.0), ((2, 1.0), (60, 0.0)), ((0, 0.0), (3, 1.0)), (0,), 0),
+    # marked main content: paragraphs, list items and headings of any length, whatever their links and neighbours
+    ((1, 0, 0, 0, 0, 1, 0), ANY_WORDS, ANY_LINKS, ANY_SIDE, ANY_SIDE, 1),
+    ((1, 0, 0, 0, 0, 1, 1), ANY_WORDS, ANY_LINKS, ANY_SIDE, ANY_SIDE, 1),
+    # inside it, paragraphs with a name of their own: real ones are sentences, labels and buttons are a few words or links
+    ((1, 0, 0, 0, 1, 1, 0), (*LONG, *VERY_LONG), FEW_LINKS, ANY_SIDE, ANY_SIDE, 1),
+    ((1, 0, 0, 0, 1, 1, 0), SHORT, ANY_LINKS, ANY_SIDE, ANY_SIDE, 0),
+    ((1, 0, 0, 0, 1, 1, 0), (*LONG, *VERY_LONG), ALL_LINKS, ANY_SIDE, ANY_SIDE, 0),
+    # furniture by element, by the name of a container, or text of others: also when it is long and without links
+    *[((main, *marks, 0, page, heading), ANY_WORDS, ANY_LINKS, ANY_SIDE, ANY_SIDE, 0) for marks in ((1, 0, 0), (0, 0, 1)) for main, page in ((1, 1), (0, 1), (0, 0)) for heading in (0, 1)],
+    *[((1, 0, 1, 0, 0, 1, heading), ANY_WORDS, ANY_LINKS, ANY_SIDE, ANY_SIDE, 0) for heading in (0, 1)],
+    # anything else on a page whose main content is marked
+    *[((0, 0, layout, 0, leaf, 1, heading), ANY_WORDS, ANY_LINKS, ANY_SIDE, ANY_SIDE, 0) for layout, leaf, heading in ((0, 0, 0), (0, 0, 1), (1, 0, 0), (0, 1, 0))],
+    # pages without such marks: sentences and paragraphs with few links, and short lines that have text beside them or stand alone
+    ((0, 0, 0, 0, 0, 0, 0), (*LONG, *VERY_LONG), FEW_LINKS, ANY_SIDE, ANY_SIDE, 1),
+    ((0, 0, 0, 0, 0, 0, 0), SHORT, FEW_LINKS, (TEXT,), ANY_SIDE, 1),
+    ((0, 0, 0, 0, 0, 0, 0), SHORT, FEW_LINKS, (NONE, LINKS), (TEXT,), 1),
+    ((0, 0, 0, 0, 0, 0, 0), SHORT, FEW_LINKS, (NONE,), (NONE,), 1),
+    # runs of links, and short blocks among them
+    ((0, 0, 0, 0, 0, 0, 0), ANY_WORDS, ALL_LINKS, ANY_SIDE, ANY_SIDE, 0),
+    ((0, 0, 0, 0, 0, 0, 0), SHORT, FEW_LINKS, (LINKS,), (LINKS, NONE), 0),
+    ((0, 0, 0, 0, 0, 0, 0), SHORT, FEW_LINKS, (NONE,), (LINKS,), 0),
+    # headings go with what follows them
+    ((0, 0, 0, 0, 0, 0, 1), ANY_WORDS, ANY_LINKS, ANY_SIDE, (TEXT, NONE), 1),
+    ((0, 0, 0, 0, 0, 0, 1), ANY_WORDS, ANY_LINKS, ANY_SIDE, (LINKS,), 0),
+    # containers with a layout name on such pages: long text with few links is what the page is about
+    ((0, 0, 1, 0, 0, 0, 0), VERY_LONG, FEW_LINKS, ANY_SIDE, ANY_SIDE, 1),
+    ((0, 0, 1, 0, 0, 0, 0), (*SHORT, *LONG), ANY_LINKS, ANY_SIDE, ANY_SIDE, 0),
+    ((0, 0, 1, 0, 0, 0, 0), VERY_LONG, ALL_LINKS, ANY_SIDE, ANY_SIDE, 0),
+    ((0, 0, 0, 0, 1, 0, 0), (*LONG, *VERY_LONG), FEW_LINKS, ANY_SIDE, ANY_SIDE, 1),
+    ((0, 0, 0, 0, 1, 0, 0), SHORT, ANY_LINKS, ANY_SIDE, ANY_SIDE, 0),
+    ((0, 0, 0, 0, 1, 0, 0), (*LONG, *VERY_LONG), ALL_LINKS, ANY_SIDE, ANY_SIDE, 0),
 ]
 
 
 def labelled_table() -> list[tuple[tuple[float, ...], int]]:
     """Rows of (numbers in the order of FEATURES, label)."""
     return [
-        (tuple(map(float, (article, furniture, page, words, links, *before, *after, heading))), label)
-        for article, furniture, page, *choices, label in KINDS
-        for words, links, before, after, heading in product(*choices)
+        (tuple(map(float, (*marks, words, links, *before, *after))), label)
+        for marks, *choices, label in KINDS
+        for words, links, before, after in product(*choices)
     ]
 
 
-def grow(rows: list[tuple[tuple[float, ...], int]], depth: int = 8):
+def grow(rows: list[tuple[tuple[float, ...], int]], depth: int = 16):
     """A decision tree: a share of label 1, or (feature, threshold, tree up to it, tree above it)."""
     ones = sum(y for _, y in rows)
     if depth == 0 or ones in (0, len(rows)):
