@@ -5,8 +5,8 @@ with them.  A text's language is the one with the largest share of posterior lab
 Training sequences are made by switching between whole labelled documents every few words.
 
 The model is fitted on the driver from a bounded sample of every label: at most SAMPLE_DOCS documents of each, fewer where there are
-many labels, drawn by a hash of doc_id and text, and the first SAMPLE_CHARS characters of each at most, fewer where there are many
-labels.  All counts behind the draw cover all rows, and predictions cover every whole text.
+many labels, drawn by a hash of the text, so that copies of a text count once however many they are, and the first SAMPLE_CHARS
+characters of each at most, fewer where there are many labels.  All counts behind the draw cover all rows, and predictions cover every whole text.
 
 Defined results.  Null text, or one without a letter: `und`, score 0.  No labelled row at all: every text is `und`, score 0.  Ties
 go to the label first in alphabetical order.  Repeated rows are predicted each.  Empty table: no rows.  Further columns are ignored.
@@ -238,17 +238,19 @@ def sample_sizes(languages: int) -> tuple[int, int]:
 
 def fit(rows: DataFrame) -> Model | None:
     """rows: doc_id, text and lang of the documents to learn from.  See the module's text for the bounds of the sample."""
-    rows = rows.filter("lang is not null and text is not null").select("doc_id", "text", "lang")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()  # one row per label
+    rows = rows.filter("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("h"))
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect()  # one row per label
     if not counts:
         return None
     each, chars = sample_sizes(len(counts))
-    chances = [(r["lang"], min(1.0, (2.0 * each + 16) / r["n"])) for r in counts]
+    # some 16 texts more than needed, and twice as many, so that the smallest hashes of each label are among them
+    chances = [(r["lang"], min(1.0, (2.0 * each + 16) / max(1, 0.9 * r["n"] - 1))) for r in counts]
     drawn_by = F.broadcast(rows.sparkSession.createDataFrame(chances, "lang string, chance double"))
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    drawn = rows.withColumn("draw", draw).join(drawn_by, "lang").filter(F.col("draw") < F.col("chance") * (1 << 30)).select("lang", "draw", F.substring("text", 1, chars).alias("text"))
+    draw = F.pmod("h", F.lit(1 << 40))
+    drawn = rows.withColumn("draw", draw).join(drawn_by, "lang").filter(F.col("draw") < F.col("chance") * (1 << 40))
+    once = drawn.groupBy("lang", "h").agg(F.first("draw").alias("draw"), F.first(F.substring("text", 1, chars)).alias("text"))  # partial: copies are few after each task
     by: dict[str, list] = {}
-    for r in sorted(bounded_rows(drawn, 4 * (2 * each + 16) * len(counts) + 1000, "the sample"), key=lambda r: (r["draw"], r["text"])):
+    for r in sorted(bounded_rows(once.select("lang", "draw", "text"), 4 * (2 * each + 16) * len(counts) + 1000, "the sample"), key=lambda r: (r["draw"], r["text"])):
         by.setdefault(r["lang"], []).append((r["lang"], r["text"]))
     return train([x for lang in sorted(by) for x in by[lang][:each]])
 
