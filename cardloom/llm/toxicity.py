@@ -4,12 +4,14 @@ A text is cut into windows of WINDOW_WORDS words; each is compressed with the di
 of the two lengths tells which class it is closer to.  Words are lower-cased letters, each written as a fixed code of CODE_BYTES
 bytes: compressed as letters, windows of text in several languages differ by more in chance matches of syllables than by a toxic word.
 Dictionaries are trained by zstandard on the words typical of their class - those in more different contexts (the word before) than
-the other class makes likely, so that copies of one text count once - and on the most frequent words, which both share.  A window counts when its difference exceeds what CALM of
-ordinary training windows stay below; a logistic fit over the number and share of such windows and the largest difference, with
-classes weighted as they are among all labels, gives the score.
+the other class makes likely, so that copies of one text count once - and on the most frequent words, which both share; trained
+on whole windows they do not tell the classes apart (figures in the README).  A window counts when its difference reaches a threshold; a logistic
+fit over the number and share of such windows, the largest difference and the mean, with classes weighted as they are among all
+labels, gives the score.  The threshold is the one of THRESHOLDS whose fit is best on windows that were compared by dictionaries trained on
+other texts.
 
-Fitted on the driver on a bounded sample: about SAMPLE_DOCS labelled documents of each class, drawn by a hash of doc_id, of at most
-SAMPLE_CHARS characters each.  Scores cover every whole text.
+Fitted on the driver on a bounded sample: at most SAMPLE_DOCS different labelled texts of each class, those with the smallest hashes,
+and the first SAMPLE_CHARS characters of each.  Scores cover every whole text.
 
 Defined results.  Null, empty and wordless texts have no window, and score what the fit gives for none.  No labelled row of one
 of the classes: every score is 0.  Several labels of a document count each.  Repeated rows are scored each.  Empty table: no
@@ -33,15 +35,17 @@ from pyspark.sql import functions as F
 from cardloom.llm.common import bounded_rows, with_small_batches
 
 SAMPLE_DOCS = 2000
-SAMPLE_CHARS = 30_000
+SAMPLE_CHARS = 8_000
 WINDOW_WORDS = 16
 CODE_BYTES = 16
 DICTIONARY_BYTES = 1 << 14
 #: A typical word: how many standard deviations above chance, how many times the other class's rate; words that both dictionaries share.
 TYPICAL_Z, TYPICAL_RATIO, COMMON_WORDS = 3.0, 4.0, 200
-CALM = 0.999
+#: Bytes of difference from which a window may count.
+THRESHOLDS = (2, 4, 8, 12, 16, 24, 32)
 FOLDS = 3
-CACHE_WORDS = 600_000
+#: Different words whose codes a scorer remembers before it starts anew.
+CACHE_WORDS = 150_000
 
 
 def plain(word: str) -> str:
@@ -59,7 +63,7 @@ class Model:
     toxic: bytes
     ordinary: bytes
     threshold: int
-    weights: list[float]  # intercept, log count, share, largest
+    weights: list[float]  # intercept, log count, share, largest, mean
 
     def score(self, features: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.weights[0] + features @ np.array(self.weights[1:]), -30, 30)))
@@ -75,46 +79,41 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(compression_params=settings, dict_data=dictionary)
 
 
-#: Codes of the words that a Python worker has met, whichever task it runs.
-_codes: dict[str, bytes] = {}
-
-
 class Windows:
     """Compresses the windows of texts with both dictionaries."""
 
     def __init__(self, toxic: bytes, ordinary: bytes) -> None:
         self.toxic, self.ordinary = _compressor(toxic), _compressor(ordinary)
+        self.codes: dict[str, bytes] = {}
 
-    @staticmethod
-    def cut(texts: list[str | None]) -> list[list[bytes]]:
+    def cut(self, texts: list[str | None]) -> list[list[bytes]]:
         """The coded windows of each text."""
         words = [(text or "").split() for text in texts]
-        new = {w for ws in words for w in ws} - _codes.keys()
-        if len(_codes) + len(new) > CACHE_WORDS:
-            _codes.clear()
-            new = {w for ws in words for w in ws}
-        for w in new:
-            _codes[w] = coded(w)
+        if len(self.codes) > CACHE_WORDS:
+            self.codes = {}
+        codes = self.codes
+        for w in {w for ws in words for w in ws} - codes.keys():
+            codes[w] = coded(w)
         step = CODE_BYTES * WINDOW_WORDS
-        joined = [b"".join([_codes[w] for w in ws]) for ws in words]
+        joined = [b"".join([codes[w] for w in ws]) for ws in words]
         return [[x[i : i + step] for i in range(0, len(x), step)] for x in joined]
 
     def differences(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ordinary minus toxic length, at least 0, of each window of each text."""
+        """Ordinary minus toxic length of each window of each text."""
         cut = self.cut(texts)
         flat = [w for windows in cut for w in windows]
         if not flat:
             return [np.zeros(0, np.int64) for _ in texts]
         lengths = [np.fromiter(map(len, compressor.multi_compress_to_buffer(flat, threads=0)), np.int64, len(flat)) for compressor in (self.ordinary, self.toxic)]
-        return np.split(np.maximum(lengths[0] - lengths[1], 0), np.cumsum([len(windows) for windows in cut])[:-1])
+        return np.split(lengths[0] - lengths[1], np.cumsum([len(windows) for windows in cut])[:-1])
 
 
-def _features(found: np.ndarray, threshold: int) -> tuple[float, float, float]:
-    """Of a text's differences: the logarithm of how many count, their share, and the largest."""
+def _features(found: np.ndarray, threshold: int) -> tuple[float, float, float, float]:
+    """Of a text's differences: the logarithm of how many count, their share, the largest and the mean."""
     if not len(found):
-        return 0.0, 0.0, 0.0
+        return 0.0, 0.0, 0.0, 0.0
     many = int((found >= threshold).sum())
-    return math.log1p(many), many / len(found), float(found.max()) / CODE_BYTES
+    return math.log1p(many), many / len(found), max(0.0, float(found.max())) / CODE_BYTES, float(found.mean()) / CODE_BYTES
 
 
 def _contexts(texts: list[str]) -> Counter:
@@ -192,29 +191,35 @@ def train(toxic: list[str], ordinary: list[str], n_toxic: int, n_ordinary: int)
         for at in range(0, len(own), 500):
             for i, x in zip(own[at : at + 500], windows.differences([texts[i] for i in own[at : at + 500]])):
                 found[i] = x
-    seen = np.concatenate([d for d, c in zip(found, y) if c == 0] + [np.zeros(1, np.int64)])
-    threshold = min(max(1, int(np.quantile(seen, CALM)) + 1), CODE_BYTES // 4)  # one whole word always counts
     share = n_toxic / max(1, n_toxic + n_ordinary)
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
-    return Model(*_dictionaries(toxic, ordinary), threshold, _logistic(np.array([_features(d, threshold) for d in found]), y, weight))
+    best: tuple[float, int, list[float]] | None = None
+    for threshold in THRESHOLDS:
+        x = np.array([_features(d, threshold) for d in found])
+        weights = _logistic(x, y, weight)
+        p = np.clip(1 / (1 + np.exp(-np.clip(weights[0] + x @ np.array(weights[1:]), -30, 30))), 1e-9, 1 - 1e-9)
+        loss = -float((weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum())
+        if best is None or loss < best[0] - 1e-9:
+            best = loss, threshold, weights
+    return Model(*_dictionaries(toxic, ordinary), best[1], best[2])
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """docs: doc_id, text; labels: doc_id, toxic, of the rows to learn from.  See the module's text for the bounds of the sample."""
-    labels = labels.filter("toxic in (0, 1)").select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic"))
+    labels = labels.filter("toxic in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in labels.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return None
-    draw = F.pmod(F.xxhash64("doc_id", "toxic"), F.lit(1 << 30))
-    chance = F.when(F.col("toxic") == 1, F.lit(min(1.0, 1.1 * SAMPLE_DOCS / counts[1]))).otherwise(F.lit(min(1.0, 1.1 * SAMPLE_DOCS / counts[0])))
-    drawn = labels.filter(draw < chance * (1 << 30)).withColumn("draw", draw)
-    few = docs.sparkSession.createDataFrame(bounded_rows(drawn, 8 * SAMPLE_DOCS, "the sample"), "doc_id long, toxic int, draw long")
-    # at most 8 * SAMPLE_DOCS rows, so that no text is shuffled to find theirs
-    rows = docs.select(F.col("doc_id").cast("long"), "text").filter(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(few), "doc_id").select("toxic", "draw", "text")
-    by: dict[int, list[str]] = {0: [], 1: []}
-    for r in sorted(bounded_rows(rows, 8 * SAMPLE_DOCS, "the sample"), key=lambda r: (r["draw"], r["text"])):
-        by[r["toxic"]].append(r["text"])
-    return train(by[1][:SAMPLE_DOCS], by[0][:SAMPLE_DOCS], counts[1], counts[0])
+    draw = F.pmod(F.xxhash64("doc_id", "toxic"), F.lit(1 << 40))
+    chance = F.when(F.col("toxic") == 1, F.lit(min(1.0, 2.0 * SAMPLE_DOCS / counts[1]))).otherwise(F.lit(min(1.0, 2.0 * SAMPLE_DOCS / counts[0])))
+    drawn = labels.distinct().filter(draw < chance * (1 << 40))
+    few = docs.sparkSession.createDataFrame(bounded_rows(drawn, 8 * SAMPLE_DOCS, "the sample"), "doc_id long, toxic int")
+    # at most 8 * SAMPLE_DOCS rows, so that no text is shuffled to find theirs; copies of a text are one, however many rows have it
+    part = F.substring("text", 1, SAMPLE_CHARS)
+    held = docs.select(F.col("doc_id").cast("long"), "text").filter("text is not null").join(F.broadcast(few), "doc_id")
+    once = held.groupBy("toxic", F.xxhash64("text").alias("draw")).agg(F.first(part).alias("text"))
+    by = {toxic: [r["text"] for r in once.filter(F.col("toxic") == toxic).orderBy("draw").limit(SAMPLE_DOCS).collect()] for toxic in (0, 1)}
+    return train(by[1], by[0], counts[1], counts[0])
 
 
 def score_texts(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -230,8 +235,8 @@ def score_texts(docs: DataFrame, model: Model | None) -> DataFrame:
                 found = windows.differences(some.column(1).to_pylist()) if windows else [np.zeros(0, np.int64)] * some.num_rows
                 n = [len(x) for x in found]
                 many = [int((x >= model.threshold).sum()) if windows else 0 for x in found]
-                x = [_features(x, model.threshold) if windows else (0.0, 0.0, 0.0) for x in found]
-                scores = model.score(np.array(x).reshape(-1, 3)) if model else np.zeros(some.num_rows)
+                x = [_features(x, model.threshold) if windows else (0.0, 0.0, 0.0, 0.0) for x in found]
+                scores = model.score(np.array(x).reshape(-1, 4)) if model else np.zeros(some.num_rows)
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(scores, pa.float64()), pa.array(n, pa.int64()), pa.array(many, pa.int64())], ["doc_id", "score", "n_windows", "n_toxic_windows"])
 
     return with_small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(score, "doc_id long, score double, n_windows long, n_toxic_windows long")
