@@ -1,22 +1,24 @@
 """Benchmark decontamination (operator 6): pigeonhole edit matching of test items inside documents.
 
 An item of n normalised characters may differ from its place in a document by k = n // CHARS_PER_ERROR edits.  It is split into
-k + 1 pieces; by the pigeonhole principle a place within the budget holds one piece unchanged.  All pieces are looked for at once
+k + 1 pieces (an item of under LEAST_CHARS characters is one piece that must be found between word borders); by the pigeonhole principle a place within the budget holds one piece unchanged.  All pieces are looked for at once
 (Aho-Corasick), and every hit is verified around its diagonal by Myers' bit-parallel edit distance.  Normalised: lower case, and
 runs of anything but letters and digits are one space.
 
-The benchmark is a stated query set: its items are taken in blocks of at most BLOCK_CHARS characters (one, for any usual benchmark),
-and each block is broadcast and run against all documents, which are read whole and never shuffled.
+The benchmark is a stated query set: its items are taken in blocks of about BLOCK_CHARS characters (one, for any usual benchmark),
+dealt by a hash and dealt again where a block turns out above twice that, and each block is broadcast and run against all documents, which are read whole and never shuffled.
 
-Defined results.  Null and empty texts match nothing.  Items with fewer than LEAST_CHARS normalised characters are not searched,
-as they say nothing about a leak.  Repeated rows are searched each; of one item's overlapping places in a document the best is
+Defined results.  Null and empty texts match nothing.  Items without a letter or digit match nothing, and those with a
+null item_id are searched like others.  Repeated rows are searched each; of one item's overlapping places in a document the best is
 kept, the first of ties.  Empty tables: no rows.  Further columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,8 +27,10 @@ from pyspark.sql import functions as F
 from cardloom.llm.common import with_small_batches
 
 CHARS_PER_ERROR = 18
+#: Normalised characters below which an item has no error budget and is found only as whole words.
 LEAST_CHARS = 24
-BLOCK_CHARS = 20_000_000
+#: Characters of items in a block: an automaton of so many takes some 200 MB of a Python worker.
+BLOCK_CHARS = 2_000_000
 
 _GAP = re.compile(r"[\W_]+")
 _WORD = re.compile(r"[^\W_]+")
@@ -41,7 +45,7 @@ class Pattern:
 
     def __init__(self, text: str) -> None:
         self.text, self.size = text, len(text)
-        self.budget = self.size // CHARS_PER_ERROR
+        self.budget = self.size // CHARS_PER_ERROR if self.size >= LEAST_CHARS else 0
         self.masks = self._masks(text)
         self.back = self._masks(text[::-1])
 
@@ -92,10 +96,10 @@ class Pattern:
 
 
 class Matcher:
-    def __init__(self, items: list[tuple[int, str]]) -> None:
+    def __init__(self, items: list[tuple[int | None, str]]) -> None:
         import ahocorasick
 
-        self.items = [(i, Pattern(t)) for i, t in items if len(t) >= LEAST_CHARS]
+        self.items = [(i, Pattern(t)) for i, t in items if t]
         where: dict[str, list[tuple[int, int]]] = {}
         for n, (_, pattern) in enumerate(self.items):
             for offset, piece in pattern.pieces():
@@ -120,6 +124,10 @@ class Matcher:
             k = pattern.budget
             found: list[tuple[int, int, int]] = []
             last = None
+            if pattern.size < LEAST_CHARS:
+                borders = (x for x in sorted(starts) if (not x or text[x - 1] == " ") and text[x + pattern.size : x + pattern.size + 1] in ("", " "))
+                out += [(item, 0, x, x + pattern.size) for x in borders]
+                continue
             for start in sorted(starts):  # where the item would begin without insertions and deletions before the piece
                 if last is not None and start - last <= k:
                     continue  # the wider margin of the last window covers it
@@ -139,8 +147,6 @@ def original_span(text: str, start: int, end: int) -> tuple[int, int]:
     """Where in a text the part start:end of its normalised form lies."""
     at, first, last = 0, None, 0
     lowered = text.lower()
-    if len(lowered) != len(text):  # a letter became two: count in the lower-cased text
-        text = lowered
     for word in _WORD.finditer(lowered):
         size = word.end() - word.start()
         if first is None and at + size > start:
@@ -150,19 +156,32 @@ def original_span(text: str, start: int, end: int) -> tuple[int, int]:
         else:
             break
         at += size + 1
-    return first or 0, last
+    first = first or 0
+    if len(lowered) != len(text):  # a letter became two: find the letters of the text that these come from
+        ends = list(accumulate(len(c.lower()) for c in text))
+        first, last = bisect_right(ends, first), bisect_left(ends, last) + 1 if last else 0
+    return first, last
+
+
+def _blocks(benchmark: DataFrame) -> Iterator[list]:
+    """The items in blocks of about BLOCK_CHARS characters."""
+    size = F.coalesce(F.length("text"), F.lit(0))
+    total = benchmark.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    dealt = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, -(-total // BLOCK_CHARS)))).alias("block"))
+    for r in dealt.groupBy("block").agg(F.sum(size).alias("chars"), F.count("*").alias("items")).orderBy("block").collect():  # one row per block
+        own = dealt.filter(F.col("block") == r["block"])
+        parts = -(-r["chars"] // BLOCK_CHARS) if r["chars"] > 2 * BLOCK_CHARS and r["items"] > 1 else 1
+        for part in range(parts):
+            yield own.filter(F.pmod(F.xxhash64("text", F.lit("again")), F.lit(parts)) == part).select("item_id", "text").distinct().collect()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, distance, start, end (characters of the text) and budget of every place of an item in a document."""
     spark = docs.sparkSession
-    total = benchmark.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-total // BLOCK_CHARS))
     rows = with_small_batches(docs).select(F.col("doc_id").cast("long"), "text")
     out = None
-    for block in range(blocks):
-        own = benchmark.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).select(F.col("item_id").cast("long"), "text").collect()  # BLOCK_CHARS on average
-        shared = spark.sparkContext.broadcast(sorted({(r[0] if r[0] is not None else -1, normalised(r[1])) for r in own}))
+    for own in _blocks(benchmark):
+        shared = spark.sparkContext.broadcast(sorted({(r["item_id"], normalised(r["text"])) for r in own}, key=lambda x: (x[0] is None, x[0] or 0, x[1])))
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(shared.value)
@@ -180,4 +199,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         part = rows.mapInArrow(search, "doc_id long, item_id long, distance int, start long, end long, budget int")
         out = part if out is None else out.unionByName(part)
-    return out
+    return out if out is not None else spark.createDataFrame([], "doc_id long, item_id long, distance int, start long, end long, budget int")
