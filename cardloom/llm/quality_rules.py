@@ -3,8 +3,9 @@
 Counts over whole texts give the base rules and a vector of four transformed statistics.  For each (language, source) with
 enough rows that pass the base rules, the location and scatter with the smallest determinant over three quarters of the rows
 are found from three deterministic starts (coordinate-wise, spatial signs, hyperbolic tangents) by concentration steps: sort by
-distance, keep the nearest, estimate again.  All starts take each step together, as one grouped aggregation over a staged table
-of a few numbers per document.  A row is rejected if its squared Mahalanobis distance exceeds the cutoff.  Sources with too few rows
+distance, keep the nearest, estimate again, until no determinant falls any more.  All starts take each step together, as grouped
+aggregations over a staged table of a few numbers per document, which the parameters - a row per key - are sent to.  The distance
+that three quarters of the rows stay below is found to ACCURACY of their rank.  A row is rejected if its squared Mahalanobis distance exceeds the cutoff.  Sources with too few rows
 are judged by an estimate from all sources of their language.  Where the whole language has too few for concentration steps, its
 estimate is the coordinate-wise start, medians and quartiles with the variance floors; languages are never judged by each other.
 
@@ -22,13 +23,18 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import SPACE_CHARS, SPACE_CLASS, WORD_CLASS, staged
+from cardloom.llm.common import SPACE_CHARS, SPACE_CLASS, WORD_CLASS, spread_join, staged
 
 STATISTICS = 4
 #: Variance floors: standard deviations below which differences of a statistic don't count.
 FLOORS = (0.06, 0.4, 0.4, 0.5)
 SHARE = 0.75
-STEPS = 3
+#: One over the error of a quantile, in ranks.
+ACCURACY = 10_000
+#: Fall of the logarithm of a determinant's root below which an estimate stands still.
+STILL = 1e-4
+#: Keys (some 50 numbers each) up to which parameters are broadcast; beyond, rows are shuffled to them.
+BROADCAST_KEYS = 50_000
 #: Sound rows below which an estimate takes no concentration steps, and the first letter of the keys of such estimates.
 LEAST_ROWS = 100
 FEW = "q"
@@ -135,12 +141,28 @@ def _parameters(start: str) -> list[str]:
     return [f"m{start}{i}" for i in range(STATISTICS)] + [f"l{start}{i}{j}" for i, j in _PAIRS] + [f"det{start}"]
 
 
-def _nearest(rows: DataFrame, params: DataFrame) -> DataFrame:
+class _Rows:
+    """The sound rows of all keys: key and x0 to x3."""
+
+    def __init__(self, rows: DataFrame) -> None:
+        self.rows = rows
+        self.counts = staged(rows.groupBy("key").agg(F.count("*").alias("k")), "counts")
+        self.keys = self.counts.count()
+        self.total = 0 if self.keys <= BROADCAST_KEYS else rows.count()
+
+    def beside(self, params: DataFrame) -> DataFrame:
+        """Each row with the parameters of its key.  No row moves while the keys are few, whatever share of the rows one of them holds."""
+        if self.keys <= BROADCAST_KEYS:
+            return self.rows.join(F.broadcast(params), "key")
+        return spread_join(self.rows, params.join(self.counts, "key"), "key", self.total)
+
+
+def _nearest(sound: _Rows, params: DataFrame) -> DataFrame:
     """One concentration step of every start: the nearest SHARE of each key's rows, and their location and scatter."""
-    measured = rows.join(params, "key").select("key", *[f"x{i}" for i in range(STATISTICS)], *[_distance(s).alias(f"d{s}") for s in STARTS])
-    cuts = measured.groupBy("key").agg(*[F.percentile_approx(f"d{s}", SHARE, 1000).alias(f"q{s}") for s in STARTS])
+    measured = sound.beside(params).select("key", *[_distance(s).alias(f"d{s}") for s in STARTS])
+    cuts = measured.groupBy("key").agg(*[F.percentile_approx(f"d{s}", SHARE, ACCURACY).alias(f"q{s}") for s in STARTS])
     cut = staged(params.join(cuts, "key"), "cuts")
-    near = rows.join(cut, "key").select("key", *[f"x{i}" for i in range(STATISTICS)], *[(_distance(s) <= F.col(f"q{s}")).alias(f"in{s}") for s in STARTS])
+    near = sound.beside(cut).select("key", *[f"x{i}" for i in range(STATISTICS)], *[(_distance(s) <= F.col(f"q{s}")).alias(f"in{s}") for s in STARTS])
     sums = []
     for s in STARTS:
         sums.append(F.sum(F.col(f"in{s}").cast("long")).alias(f"n{s}"))
@@ -150,15 +172,31 @@ def _nearest(rows: DataFrame, params: DataFrame) -> DataFrame:
     for s in STARTS:
         out = out.withColumns({f"m{s}{i}": F.col(f"s{s}{i}") / F.col(f"n{s}") for i in range(STATISTICS)})
         out = _factor(out, s, {(i, j): F.col(f"p{s}{i}{j}") / F.col(f"n{s}") - F.col(f"m{s}{i}") * F.col(f"m{s}{j}") for i, j in _PAIRS}, CONSISTENCY)
-    return staged(out.select("key", *[c for s in STARTS for c in _parameters(s)]), "params")
-
-
-def _first(rows: DataFrame) -> DataFrame:
+    return out.select("key", *[c for s in STARTS for c in _parameters(s)])
+
+
+def _concentrated(sound: _Rows, first: DataFrame) -> DataFrame:
+    """Concentration steps until no start of any key has a determinant that falls.  Each step keeps the better estimate of a start;
+    determinants cannot fall below those of the floors, so the steps end."""
+    now = staged(_nearest(sound, first), "params")  # a start's own determinant is no estimate of the nearest rows yet
+    while True:
+        step = _nearest(sound, now)
+        old = now.select("key", *[F.col(c).alias(f"old_{c}") for s in STARTS for c in _parameters(s)])
+        better = {s: F.col(f"det{s}") < F.col(f"old_det{s}") - STILL for s in STARTS}
+        chosen = [F.when(better[s], F.col(c)).otherwise(F.col(f"old_{c}")).alias(c) for s in STARTS for c in _parameters(s)]
+        falls = better[STARTS[0]] | better[STARTS[1]] | better[STARTS[2]]
+        after = staged(step.join(old, "key").select("key", *chosen, falls.alias("falls")), "params")
+        now = after.drop("falls")
+        if after.filter("falls").isEmpty():
+            return now
+
+
+def _first(sound: _Rows) -> DataFrame:
     """The three starts.  All lie at the medians; scatters come from quartiles, spatial signs, and hyperbolic tangents."""
-    quartiles = rows.groupBy("key").agg(*[F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(STATISTICS)])
+    quartiles = sound.rows.groupBy("key").agg(*[F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], ACCURACY).alias(f"q{i}") for i in range(STATISTICS)])
     centre = quartiles.select("key", *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(STATISTICS)], *[F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(FLOORS[i])).alias(f"w{i}") for i in range(STATISTICS)])
     centre = staged(centre, "centre")
-    z = rows.join(centre, "key").select("key", *[((F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"w{i}")).alias(f"z{i}") for i in range(STATISTICS)])
+    z = sound.beside(centre).select("key", *[((F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"w{i}")).alias(f"z{i}") for i in range(STATISTICS)])
     norm = F.greatest(F.sqrt(sum((F.col(f"z{i}") ** 2 for i in range(1, STATISTICS)), F.col("z0") ** 2)), F.lit(1e-9))
     z = z.select("key", *[(F.col(f"z{i}") / norm).alias(f"u{i}") for i in range(STATISTICS)], *[F.tanh(f"z{i}").alias(f"t{i}") for i in range(STATISTICS)])
     means = [F.avg(f"t{i}").alias(f"mt{i}") for i in range(STATISTICS)]
@@ -192,17 +230,18 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
     rows = staged(rows.select("*", *[x.alias(f"x{i}") for i, x in enumerate(_vector())]), "statistics")
     keys = _keys(rows)
     same = F.col("r.lang").eqNullSafe(F.col("k.lang")) & F.col("r.source").eqNullSafe(F.col("k.source"))
+    keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
     keyed = staged(rows.alias("r").join(keys.alias("k"), same, "left").select("r.*", "key", "grounds").drop("lang", "source"), "keyed")
     sound = keyed.filter("key is not null and not base_failed").select(F.explode("grounds").alias("key"), *[f"x{i}" for i in range(STATISTICS)])
-    first = _first(sound)
+    rows = _Rows(staged(sound, "sound"))
+    first = _first(rows)
     few = F.col("key").startswith(FEW)
-    params = first.filter(~few)
-    for _ in range(STEPS):
-        params = _nearest(sound, params)
+    params = _concentrated(rows, first.filter(~few))
     least = F.least(*[f"det{s}" for s in STARTS])
     best = params.select("key", *[F.when(F.col("deta") == least, F.col(a)).when(F.col("detb") == least, F.col(b)).otherwise(F.col(c)).alias(a) for a, b, c in zip(*map(_parameters, STARTS))])
     best = best.unionByName(first.filter(few).select("key", *_parameters("a")))
     distance = _distance("a")
-    judged = keyed.join(best, "key", "left").withColumn("distance", distance)
+    near = F.broadcast(best) if rows.keys <= BROADCAST_KEYS else best
+    judged = keyed.join(near, "key", "left").withColumn("distance", distance)
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance")
