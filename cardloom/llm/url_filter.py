@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
 #: Entries that may be broadcast; a longer list raises.
 MAX_RULES = 200_000
 
@@ -24,11 +26,12 @@ MAX_RULES = 200_000
 @dataclass
 class _Node:
     """labels: the next host label (from the right); segments: the next whole path segment; ends: what entries leave over
-    of a last, unfinished segment, with their verdicts."""
+    of a last, unfinished segment, with their verdicts; sizes: the lengths of these, longest first."""
 
     labels: dict[str, _Node] = field(default_factory=dict)
     segments: dict[str, _Node] = field(default_factory=dict)
     ends: dict[str, tuple[str, str]] = field(default_factory=dict)
+    sizes: list[int] = field(default_factory=list)
 
 
 class RuleTrie:
@@ -41,7 +44,7 @@ class RuleTrie:
             if verdict not in ("allow", "block"):
                 raise ValueError(f"verdict {verdict!r}")
             node = self.root
-            for label in reversed(host.lower().split(".")):
+            for label in reversed(host.translate(_LOWER).split(".")):
                 node = node.labels.setdefault(label, _Node())
             *whole, last = path.split("/")
             for segment in whole:
@@ -49,6 +52,8 @@ class RuleTrie:
             found = node.ends.get(last)
             if found is None or verdict == "block":  # of two equal entries the stricter holds
                 node.ends[last] = (host + path, verdict)
+            if len(last) not in node.sizes:
+                node.sizes = sorted([*node.sizes, len(last)], reverse=True)
 
     def match(self, host: str, path: str) -> tuple[str, str] | None:
         node, best = self.root, None
@@ -66,9 +71,8 @@ class RuleTrie:
             if node.ends:
                 stop = path.find("/", at)
                 segment = path[at:] if stop < 0 else path[at:stop]
-                fit = max((e for e in node.ends if segment.startswith(e)), key=len, default=None)
-                if fit is not None:
-                    best = node.ends[fit]
+                # one look-up for each length that entries have here, however many entries there are
+                best = next((node.ends[segment[:n]] for n in node.sizes if segment[:n] in node.ends), best)
             stop = path.find("/", at)
             node = node.segments.get(path[at:stop]) if stop >= 0 and node.segments else None
             if node is None:
