@@ -5,6 +5,10 @@ and hands the next one what it reads back.  All but the last return the columns
 
 A stage rejects doc_ids, and drops their rows without shuffling the texts while the rejected ids are few (a checked count).
 
+Each stage works on all that the one before kept.  Empty, null and very long texts, ties, repeated rows, empty tables and further
+columns have in each stage the result that its operator's module defines; clashing columns are dropped, as only those of documents
+are read.
+
 Defined results.  Repeated doc_ids: a doc_id is rejected if all its rows are; of rows with one doc_id and one text the duplicate
 stage keeps one.  Rows without a doc_id cannot be named by a verdict and stay.  Empty tables: no rows.
 """
@@ -45,18 +49,20 @@ def _drop(docs: DataFrame, verdicts: DataFrame, bad: Column) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without letters and those of which no language has the larger part."""
+    """Rejects texts without letters - null and empty ones among them - and those of which no language has the larger part.  The model
+    learns from the labels of docs; without any, all texts are rejected."""
     model = fit(docs)
     return _drop(docs, predict(docs, model), (F.col("lang_pred") == UNKNOWN) | (F.col("score") < LEAST_SCORE))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects what fails the base rules, and outliers of its language and source."""
+    """Rejects what fails the base rules - null and empty texts among it - and outliers of its language and source."""
     return _drop(docs, quality_verdicts(docs), ~F.col("kept"))
 
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate component: the one with the smallest doc_id, once."""
+    """Keeps one document of each near-duplicate component: the one with the smallest doc_id, once.  Empty texts are linked with nothing
+    and stay; of rows that share doc_id and text one stays."""
     kept = _drop(docs, ngram_components(docs, 75), F.col("doc_id") != F.col("component_id"))
     twice = staged(docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id"), "repeated")
     if twice.isEmpty():
@@ -65,12 +71,13 @@ def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that hold a benchmark item within its error budget."""
-    return _matched(docs, contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "left_anti")
+    """Rejects documents that hold a benchmark item within its error budget.  Items so short that they have none - a word or two,
+    which say nothing about a leak - reject nothing."""
+    return _matched(docs, contaminated(docs, table(spark, sf_dir, "benchmark")).filter("budget > 0").select("doc_id").distinct(), "left_anti")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences of at most 2048 tokens."""
+    """Packs what is left into sequences of at most 2048 tokens: a row per piece.  Null texts are packed as empty ones."""
     return pack_documents(docs, tokenizer_path(), 2048).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
@@ -82,7 +89,7 @@ STAGES = [
     ("best-fit packing", packing_stage),
 ]
 
-#: Learned models, connected components and packing are beyond SQL; tests compare run() with brute-force versions.
+#: Learned models, connected components and packing are beyond SQL; tests/llm/test_pipeline.py compares run() with a brute-force version.
 ORACLE_SQL = None
 
 
