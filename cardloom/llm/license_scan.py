@@ -1,6 +1,7 @@
 """License scans (operator 2): normalised text compared to licence templates by the Dice coefficient over word bigrams.
 
-A text's units are its lines and its paragraphs (runs of lines that are not blank).  A unit or template is the sequence of its
+A text's units are its lines and its paragraphs (runs of lines that hold a letter or digit, so that the empty lines of a comment block
+part paragraphs too).  A unit or template is the sequence of its
 lower-cased runs of letters and digits, and its bigrams are those of neighbouring words, with repetition.  Dice of a and b
 bigrams is 2 * common / (a + b), so at threshold t only templates with between a * t / (2 - t) and a * (2 - t) / t bigrams can reach it:
 these bounds first drop the units that fit no template, by a count of words, and then the templates that a unit doesn't fit.  What is
@@ -40,6 +41,14 @@ TEMPLATES = [
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("BSD", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("BSD", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("BSD", 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
@@ -75,7 +84,7 @@ def _units(docs: DataFrame, anchored: str) -> DataFrame:
     """doc_id, kind, number (from 0) and text of the lines and paragraphs of texts that have an anchor."""
     rows = docs.filter(F.lower("text").rlike(anchored)).select("doc_id", "text")
     lines = rows.select("doc_id", F.lit("line").alias("kind"), F.posexplode(F.split("text", "\n", -1)).alias("number", "unit"))
-    parts = rows.select("doc_id", F.lit("paragraph").alias("kind"), F.posexplode(F.split("text", r"\n(?:[^\S\n]*\n)+", -1)).alias("number", "unit"))
+    parts = rows.select("doc_id", F.lit("paragraph").alias("kind"), F.posexplode(F.split("text", r"\n(?:[^\p{L}\p{N}\n]*\n)+", -1)).alias("number", "unit"))
     return lines.unionByName(parts.filter(F.btrim("unit", F.lit("\n")).contains("\n")))
 
 

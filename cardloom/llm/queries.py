@@ -40,7 +40,7 @@ def op2_sql() -> str:
     WITH lines AS (
       SELECT doc_id, 'line' AS kind, generate_subscripts(p, 1) - 1 AS number, unnest(p) AS unit FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL)
     ), parts AS (
-      SELECT doc_id, 'paragraph' AS kind, generate_subscripts(p, 1) - 1 AS number, unnest(p) AS unit FROM (SELECT doc_id, string_split_regex(text, '\\n(?:[^\\S\\n]*\\n)+') AS p FROM documents WHERE text IS NOT NULL)
+      SELECT doc_id, 'paragraph' AS kind, generate_subscripts(p, 1) - 1 AS number, unnest(p) AS unit FROM (SELECT doc_id, string_split_regex(text, '\\n(?:[^\\p{{L}}\\p{{N}}\\n]*\\n)+') AS p FROM documents WHERE text IS NOT NULL)
     ), units AS (
       SELECT doc_id, kind, number, {words.format("unit")} AS w FROM (SELECT * FROM lines UNION ALL SELECT * FROM parts WHERE contains(trim(unit, chr(10)), chr(10)))
     ), sized AS (SELECT row_number() OVER () AS u, *, len(w) - 1 AS n_bigrams FROM units WHERE len(w) >= 2),

@@ -84,6 +84,14 @@ def test_licences(spark):
     assert C.scan_licenses(frame(spark, [])).count() == 0
 
 
+def test_a_licence_in_a_comment_block(spark):
+    parts = [t for n, t in C.TEMPLATES if n == "MIT"][1:]
+    block = "/*\n * Copyright (c) A. Writer\n *\n" + "\n *\n".join(" * " + " ".join(p.split()[:12]) + "\n * " + " ".join(p.split()[12:]) for p in parts) + "\n */\ncode();"
+    got = sorted((r.kind, r.license, r.dice) for r in C.scan_licenses(frame(spark, [(1, block)])).collect())
+    assert [x[:2] for x in got if x[0] == "paragraph"] == [("paragraph", "MIT")] * len(parts)
+    assert {n for n, _ in C.TEMPLATES} == {r.license for r in C.scan_licenses(frame(spark, [(n, t) for n, (_, t) in enumerate(C.TEMPLATES)])).collect()}
+
+
 def test_anchors_never_miss():
     rng = random.Random(4)
     for _, text in C.TEMPLATES:
