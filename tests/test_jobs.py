@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import shutil
 
 from pyspark.sql import functions as F
@@ -83,3 +84,26 @@ def test_a_lost_checkpoint_loses_nothing(spark, tmp_path):
     shutil.rmtree(tmp_path / "log")
     spark.createDataFrame([("m", 5, "late")], a.schema).coalesce(1).write.parquet(str(tmp_path / "in/c"))
     assert run("c") == {"k": "new", "m": "late"}
+
+
+def test_entry_points_over_a_folder(spark, tmp_path):
+    from cardloom import api
+
+    for part, voters in ((1, [{"name": "A"}, {"name": "B", "valid": False}]), (2, [])):
+        folder = tmp_path / "Far_East" / "7_Elm_Town" / f"part_{part}" / "json"
+        folder.mkdir(parents=True)
+        (folder / "voters.json").write_text(json.dumps({"source": "s", "voters": voters} | ({"validCount": 5, "extractedTotal": 6, "expectedTotal": 9} if part == 2 else {})))
+    (tmp_path / "loose").mkdir()
+    (tmp_path / "loose" / "x.json").write_text(json.dumps({"source": "s", "voters": []}))
+    ledger, changes = api.backfill(spark, str(tmp_path))
+    assert sorted((r.districtFolder, r.asmblyNo, r.partNo, r.validCount, r.extractedTotal, r.expectedTotal) for r in ledger.collect()) == [("Far_East", 7, 1, 1, 2, None), ("Far_East", 7, 2, 5, 6, 9)]
+    assert tuple(changes.first()) == (2, 0, 1)
+    assert tuple(api.backfill(spark, str(tmp_path), ledger)[1].first()) == (0, 2, 1)
+    regions = spark.createDataFrame([("S", "State", "Far East", "1", 7, "Elm Town"), ("S", "State", "Far East", "1", 8, "Oak")], "state string, stateName string, districtName string, districtCd string, asmblyNo long, name string")
+    listed = spark.createDataFrame([(f"/d/Far_East/7_Elm/part_{n}.pdf",) for n in (1, 2, 3)], "path string")
+    tree = api.coverage(regions, ledger, listed).first()
+    assert (tree.scanned, tree.total, tree.pending, [a.total for a in tree.assemblies]) == (2, 703, 701, [3, 700])
+    records = spark.createDataFrame([(1, "p", 1, False, ["missing_epic"]), (2, "p", 2, True, []), (3, "q", 1, False, ["missing_age", "missing_gender"])], "k long, part string, page long, valid boolean, errors array<string>")
+    after, report = api.retry(records, records.withColumn("valid", F.lit(True)))
+    assert {r.k: r.valid for r in after.collect()} == {1: True, 2: True, 3: False}
+    assert sorted(map(tuple, report.collect()), key=str) == sorted([("p", 1, 1, 2, 1, 0), (None, 1, 1, 2, 1, 0)], key=str)
