@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import with_small_batches
+from cardloom.llm.common import trim_memory, with_small_batches
 
 CHARS_PER_ERROR = 18
 #: Normalised characters below which an item has no error budget and is found only as whole words.
@@ -196,6 +196,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     columns = list(zip(*found))
                     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "item_id", "distance", "start", "end", "budget"])
+            del matcher
+            trim_memory()
 
         part = rows.mapInArrow(search, "doc_id long, item_id long, distance int, start long, end long, budget int")
         out = part if out is None else out.unionByName(part)

@@ -30,8 +30,8 @@ GROUP_PIECES = 8000
 #: A round over several groups that saves a smaller share of its sequences is the last one.
 LEAST_SAVED = 1e-4
 
-#: Characters of text that are encoded at once.
-SLICE_CHARS = 4_000_000
+#: Characters of text that are encoded at once (some 40 bytes of memory each).
+SLICE_CHARS = 1_000_000
 #: Bytes of a word up to which it is encoded with all others of a batch.
 WORD_BYTES = 64
 
@@ -280,7 +280,9 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, e
     stop = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim_memory()  # what earlier stages have freed
         encoder = WordEncoder(tokenizer_path)
+        trim_memory()  # the text of the vocabulary
         for batch in batches:
             ids, docs_, piece, start, size = [], [], [], [], 0
 
