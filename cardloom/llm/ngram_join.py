@@ -107,7 +107,7 @@ def _block_rows(ids: pa.Array, texts: pa.Array, block: int, buckets: int) -> Ite
 
 
 def _arrow_rows(rows: list[tuple]) -> pa.RecordBatch:
-    bucket, block, head, blob = zip(*rows)
+    bucket, block, head, blob = zip(*rows) if rows else ((), (), (), ())  # a bucket may have nothing to send back
     return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(block, pa.int64()), pa.array(head, pa.bool_()), pa.array(blob, pa.binary())], ["bucket", "block", "head", "blob"])
 
 

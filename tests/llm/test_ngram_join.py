@@ -92,6 +92,11 @@ def test_driver_table(spark, sf):
     assert result(N.ngram_components(docs)) == brute([tuple(r) for r in docs.select("doc_id", "text").collect()])
 
 
+def test_a_bucket_without_repeated_shingles(spark):
+    rows = [(1, " ".join(words_of("a", 200))), (2, " ".join(words_of("b", 200)))]  # one block, whose head is in one of many buckets
+    assert result(N.ngram_components(frame(spark, rows, parts=1))) == {1: (196, 1), 2: (196, 2)}
+
+
 def test_empty_repeated_null_and_long(spark):
     assert N.ngram_components(frame(spark, [])).count() == 0
     long = " ".join(words_of("l", 30_000))
