@@ -127,10 +127,50 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardloom.llm.vector_codes import compressed_vectors, hex_code
+
+    return compressed_vectors(table(spark, sf_dir, "embeddings")).select("vec_id", hex_code("code").alias("code"), "error", "label_error", "codebooks_sha256")
+
+
+def op13_sql() -> str:
+    """The same in SQL: every part against every entry of its codebook, twice to move the entries and once to assign."""
+    from cardloom.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE
+
+    steps = []
+    for n in range(ROUNDS + 1):
+        steps.append(f"""a{n} AS MATERIALIZED (
+      SELECT row, part, arg_min(entry, (distance, entry)) AS entry, min(distance) AS distance FROM (
+        SELECT x.row, x.part, b.entry, sum((x.v - b.v) * (x.v - b.v))::BIGINT AS distance FROM parts x JOIN b{n} b USING (part, place) GROUP BY ALL
+      ) GROUP BY ALL
+    )""")
+        if n < ROUNDS:
+            steps.append(f"""b{n + 1} AS MATERIALIZED (
+      SELECT b.part, b.entry, b.place, coalesce(m.v, b.v) AS v FROM b{n} b LEFT JOIN (
+        SELECT part, entry, place, floor(sum(v)::DOUBLE / count(*))::BIGINT AS v FROM a{n} JOIN parts USING (row, part) GROUP BY ALL
+      ) m USING (part, entry, place)
+    )""")
+    return f"""
+    WITH kept AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row, vec_id, label, embedding FROM embeddings
+      WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), flat AS (SELECT row, generate_subscripts(embedding, 1) - 1 AS i, floor({SCALE} * unnest(embedding)::DOUBLE)::BIGINT AS v, len(embedding) // {PARTS} AS each FROM kept),
+    parts AS MATERIALIZED (SELECT row, i // each AS part, i % each AS place, v FROM flat),
+    b0 AS MATERIALIZED (SELECT part, row - 1 AS entry, place, v FROM parts WHERE row <= {ENTRIES}),
+    {", ".join(steps)},
+    coded AS (
+      SELECT row, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code, sum(distance)::BIGINT AS error FROM a{ROUNDS} GROUP BY row
+    )
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+      (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, place)) FROM b{ROUNDS}) AS codebooks_sha256
+    FROM kept JOIN coded USING (row)
+    """
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_language_id, op2_license_scan, op3_quality_rules, op4_ngram_join, op5_toxicity, op6_decontaminate, op7_packing, op8_url_filter, op9_sharding, op10_html_extract]
+    own = [op1_language_id, op2_license_scan, op3_quality_rules, op4_ngram_join, op5_toxicity, op6_decontaminate, op7_packing, op8_url_filter, op9_sharding, op10_html_extract, op13_vector_codes]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": op2_sql(), "op8_url_filter": OP8_SQL}
+    return {"op2_license_scan": op2_sql(), "op8_url_filter": OP8_SQL, "op13_vector_codes": op13_sql()}
