@@ -127,6 +127,32 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardloom.llm.ranked_search import search_items
+
+    return search_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20).select("item_id", "rank", "doc_id", "score")
+
+
+OP11_SQL = r"""
+WITH worded AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE text IS NOT NULL
+), sized AS (SELECT d, doc_id, len(w)::BIGINT AS n, w FROM worded WHERE len(w) > 0),
+whole AS (SELECT count(*)::BIGINT AS total, sum(n)::BIGINT AS terms FROM sized),
+held AS (SELECT d, term, count(*)::BIGINT AS tf FROM (SELECT d, unnest(w) AS term FROM sized) GROUP BY ALL),
+frequent AS (SELECT term, count(*)::BIGINT AS df FROM held GROUP BY term),
+weighed AS (SELECT term, floor(1000 * ln((2 * total + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight FROM frequent, whole),
+lengths AS (SELECT d, doc_id, 100 - 25 + ((25 * n * total) // terms) AS m FROM sized, whole),
+items AS (
+  SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL
+), asked AS (SELECT i, item_id, term, count(*)::BIGINT AS times FROM (SELECT i, item_id, unnest(w) AS term FROM items) GROUP BY ALL),
+scored AS (
+  SELECT i, item_id, doc_id, d, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM asked JOIN weighed USING (term) JOIN held USING (term) JOIN lengths USING (d) GROUP BY ALL
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id, d) AS rank FROM scored WHERE score > 0) WHERE rank <= 20
+"""
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardloom.llm.vector_codes import compressed_vectors, hex_code
 
@@ -168,9 +194,9 @@ def op13_sql() -> str:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_language_id, op2_license_scan, op3_quality_rules, op4_ngram_join, op5_toxicity, op6_decontaminate, op7_packing, op8_url_filter, op9_sharding, op10_html_extract, op13_vector_codes]
+    own = [op1_language_id, op2_license_scan, op3_quality_rules, op4_ngram_join, op5_toxicity, op6_decontaminate, op7_packing, op8_url_filter, op9_sharding, op10_html_extract, op11_ranked_search, op13_vector_codes]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": op2_sql(), "op8_url_filter": OP8_SQL, "op13_vector_codes": op13_sql()}
+    return {"op2_license_scan": op2_sql(), "op8_url_filter": OP8_SQL, "op11_ranked_search": OP11_SQL, "op13_vector_codes": op13_sql()}
