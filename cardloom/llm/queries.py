@@ -153,6 +153,12 @@ SELECT item_id, rank::INT AS rank, doc_id, score FROM (SELECT *, row_number() OV
 """
 
 
+def op12_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardloom.llm.token_store import read_digests, write_store
+
+    return read_digests(write_store(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardloom.llm.vector_codes import compressed_vectors, hex_code
 
@@ -194,7 +200,7 @@ def op13_sql() -> str:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_language_id, op2_license_scan, op3_quality_rules, op4_ngram_join, op5_toxicity, op6_decontaminate, op7_packing, op8_url_filter, op9_sharding, op10_html_extract, op11_ranked_search, op13_vector_codes]
+    own = [op1_language_id, op2_license_scan, op3_quality_rules, op4_ngram_join, op5_toxicity, op6_decontaminate, op7_packing, op8_url_filter, op9_sharding, op10_html_extract, op11_ranked_search, op12_token_store, op13_vector_codes]
     return {f.__name__: f for f in own}
 
 
