@@ -67,7 +67,7 @@ class Dictionary:
     def trained(samples: list[bytes]) -> Dictionary:
         """Of serialized id arrays; of too few of them, their own bytes serve as they are."""
         try:
-            return Dictionary(zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=1024, d=8).as_bytes())
+            return Dictionary(zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=64, d=8).as_bytes())
         except zstandard.ZstdError:
             return Dictionary((b"".join(samples) + bytes(8))[:DICTIONARY_BYTES])
 
