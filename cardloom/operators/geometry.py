@@ -89,16 +89,50 @@ def padded_bands(bands: DataFrame, key: str, pad: Column | int, top: Column | in
     return out.withColumns({"padLow": F.when(F.col("_b") > F.col("_a"), F.col("_a")).otherwise(F.col("low")), "padHigh": F.when(F.col("_b") > F.col("_a"), F.col("_b")).otherwise(F.col("high"))}).drop("_a", "_b")
 
 
+def cell_boxes(x: Column, w: Column, dividers: Column, page_w: Column, page_h: Column, layout: Layout = LAYOUT) -> Column:
+    """array<struct<card_index, cell_x, cell_y, cell_w, cell_h>>: cells of the card grid of a content frame (x, w) with its row dividers
+    (see row_dividers), inset on all sides, at least one pixel large, and cut at the page."""
+    edge = lambda n: F.rint(x + n * (w / layout.columns)).cast("long")
+
+    def cell(i: Column) -> Column:
+        row, col = F.floor(i / layout.columns).cast("int"), i % layout.columns
+        x0, x1 = edge(col) + layout.inset, edge(col + 1) - layout.inset
+        y0, y1 = F.get(dividers, row) + layout.inset, F.get(dividers, row + 1) - layout.inset
+        left, top = F.greatest(x0, F.lit(0)), F.greatest(y0, F.lit(0))
+        right, bottom = F.least(x0 + F.greatest(x1 - x0, F.lit(1)), page_w), F.least(y0 + F.greatest(y1 - y0, F.lit(1)), page_h)
+        sides = {"cell_x": left, "cell_y": top, "cell_w": F.greatest(right - left, F.lit(0)), "cell_h": F.greatest(bottom - top, F.lit(0))}
+        return F.struct(i.cast("int").alias("card_index"), *[c.cast("long").alias(n) for n, c in sides.items()])
+
+    return F.transform(F.sequence(F.lit(0), F.lit(layout.rows * layout.columns - 1)), cell)
+
+
 def grid_cells(pages: DataFrame, layout: Layout = LAYOUT) -> DataFrame:
-    """Cells of the card grid of each page, inset on all sides, at least one pixel large, and cut at the page.  pages: page, x, w (its content
-    frame), dividers (of rows, see row_dividers), page_w and page_h."""
-    cells = pages.withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(layout.rows - 1)))).withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(layout.columns - 1))))
-    edge = lambda n: F.rint(F.col("x") + n * (F.col("w") / layout.columns)).cast("long")
-    x0, x1 = edge(F.col("col")) + layout.inset, edge(F.col("col") + 1) - layout.inset
-    y0, y1 = F.get("dividers", F.col("row")) + layout.inset, F.get("dividers", F.col("row") + 1) - layout.inset
-    boxed = cells.select("page", "page_w", "page_h", (F.col("row") * layout.columns + F.col("col")).alias("card_index"), x0.alias("x"), y0.alias("y"), F.greatest(x1 - x0, F.lit(1)).alias("w"), F.greatest(y1 - y0, F.lit(1)).alias("h"))
-    cut = clipped(F.col("page_w"), F.col("page_h"))
-    return boxed.select("page", "card_index", *[cut[a].cast("long").alias(b) for a, b in (("cx", "cell_x"), ("cy", "cell_y"), ("cw", "cell_w"), ("ch", "cell_h"))])
+    """A row for every cell of the grid of each page.  pages: page, x, w (its content frame), dividers, page_w and page_h."""
+    cells = cell_boxes(F.col("x"), F.col("w"), F.col("dividers"), F.col("page_w"), F.col("page_h"), layout)
+    return pages.select("page", F.inline(cells))
+
+
+def peak_positions(profile: Column, least: Column, gap: int) -> Column:
+    """Peaks of one profile (an array): runs of indices with at least so high a value and steps of at most gap, at the middle of their ends."""
+    high = F.filter(F.transform(profile, lambda v, i: F.when(v >= least, i)), lambda i: i.isNotNull())
+    return _islands(high, gap, lambda ends, at: F.floor((F.get(ends, at["a"]) + F.get(ends, at["b"])) / 2).cast("long"))
+
+
+def cluster_medians(values: Column, gap: int) -> Column:
+    """Chains of sorted values no more than gap apart, at their median (cut to a whole number)."""
+    middle = lambda v, at: F.floor((F.get(v, F.floor((at["a"] + at["b"]) / 2).cast("int")) + F.get(v, F.floor((at["a"] + at["b"] + 1) / 2).cast("int"))) / 2).cast("long")
+    return _islands(F.array_sort(values), gap, middle)
+
+
+def _islands(ordered: Column, gap: int, value) -> Column:
+    """value(ordered, struct<a, b>) of every chain of the ordered array, a and b being the indices of its ends."""
+
+    def of(v: Column) -> Column:
+        starts = F.filter(F.transform(v, lambda x, i: F.when((i == 0) | (x - F.get(v, i - 1) > gap), i)), lambda i: i.isNotNull())
+        stops = F.filter(F.transform(v, lambda x, i: F.when((i == F.size(v) - 1) | (F.get(v, i + 1) - x > gap), i)), lambda i: i.isNotNull())
+        return F.transform(F.zip_with(starts, stops, lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda at: value(v, at))
+
+    return F.element_at(F.transform(F.array(ordered), of), 1)  # the array is named once, not repeated in the plan
 
 
 def row_dividers(lines: Column, top: Column, height: Column, rows: int = LAYOUT.rows) -> Column:

@@ -29,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from cardloom.plans import coverage, geometry, jobs, pages, records, search, store  # noqa: F401
+    from cardloom.plans import coverage, geometry, jobs, pages, raster, records, search, sources, store  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

@@ -9,12 +9,14 @@ from pyspark.sql import types as T
 from cardloom.operators.coverage import roll_location
 from cardloom.operators.store import conformed
 from cardloom.schema import LEDGER, PAYLOAD, PUBLIC, REGIONS, REGISTRY
+from cardloom.sources.tables import tables_by_header, typed
 
 
 def read_parts_csv(spark: SparkSession, *paths: str, combined: bool = False) -> DataFrame:
-    """Part tables by an explicit schema: leading zeros stay, bad cells are null, long lines are cut, short ones padded."""
+    """Part tables by their headers: columns in any order, missing ones null, others left out; leading zeros stay, bad cells are null,
+    long lines are cut, short ones padded."""
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in (REGISTRY if combined else PUBLIC).fields])
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(list(paths))
+    return typed(tables_by_header(spark, *paths, known=tuple(schema.fieldNames())), schema).select(*schema.fieldNames())
 
 
 def write_parts_csv(records: DataFrame, path: str) -> None:
@@ -46,14 +48,12 @@ def _bytes(spark: SparkSession, path: str) -> int | None:
 
 def read_registry_csv(spark: SparkSession, folder: str) -> DataFrame:
     """The registry as CSV files hold it: the combined file if there is one, else every part table below the folder, without those of
-    at most EMPTY_CSV bytes.  One listing, no loop over files."""
+    at most EMPTY_CSV bytes.  Columns go by the header of each file; a file may lack some and have others."""
     combined = f"{folder.rstrip('/')}/csv/all_voters.csv"
     size = _bytes(spark, combined)
     if size is not None:
         return conformed(read_parts_csv(spark, combined, combined=True)) if size > EMPTY_CSV else spark.createDataFrame([], REGISTRY)
-    schema = T.StructType([T.StructField(f.name, T.StringType()) for f in PUBLIC.fields])
-    rows = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", "voters.csv").csv(folder)
-    return conformed(rows.filter(F.col("_metadata.file_size") > EMPTY_CSV))
+    return conformed(tables_by_header(spark, folder, glob="voters.csv", known=tuple(REGISTRY.fieldNames()), least_bytes=EMPTY_CSV))
 
 
 def import_registry(spark: SparkSession, csv: str, table: str, only_if_empty: bool = False) -> DataFrame:

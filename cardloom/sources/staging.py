@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -21,3 +22,8 @@ def shared_root(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         _own_roots[app] = f"file://{tempfile.mkdtemp(prefix='cardloom-')}"
     return _own_roots[app]
+
+
+def new_folder(spark: SparkSession, tag: str) -> str:
+    """A folder of its own for what a job writes between its steps."""
+    return f"{shared_root(spark)}/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
