@@ -4,7 +4,8 @@ and by the markup around them, classified by a decision tree trained on a small
 A page is cut at block-level tags into blocks of text.  References are decoded, white space becomes one space, and each block
 gets numbers: words and link density of itself, the block before and the block after; whether it is a heading; and what the markup
 around it says: whether it lies in an article or main element, or in page furniture (by element, by the layout name of a container,
-by a name for other people's text, by a name of its own), and whether the page has main content so marked at all.  Names are
+by a name for other people's text, by a name of its own), and whether most of the page's text lies in main content so marked.  Names
+count as whole classes: one that has other words beside a name for other people's text says nothing.  Names are
 features like the others: the tree that decides is grown from labelled_table() by Gini impurity.  What wraps an article or main
 element - a form, a container with a layout name - says nothing about it; only a name for other people's text does.
 
@@ -44,9 +45,14 @@ LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li td th dt dd blockquote pre span b i e
 LAYOUT_NAME = re.compile(
     r"(?:^|[\s_-])(?:banner\w*|popup|nav\w*|menu\w*|breadcrumb\w*|pagination|pager|sidebar\w*|side|aside|header|masthead|topbar|footer|foot|form|search\w*|login|register|widget\w*|complementary)(?:$|[\s_-])"
 )
-FOREIGN_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|promo\w*|sponsor\w*|cookie\w*|consent|gdpr|notice|notices|alert|modal|overlay|newsletter|subscri\w*|signup|related|recommend\w*|share\w*|sharing|"
-    r"social|follow|copyright|legal|comment\w*|reply|replies|respond|disqus|discussion|contentinfo)(?:$|[\s_-])"
+#: Names of text that is not the page's own; names that are also headings of an article's own parts; and words that only say
+#: what kind of box something is.
+FOREIGN_WORD = re.compile(r"ad|ads|adv|advert\w*|adsense|promo\w*|sponsor\w*|cookie\w*|gdpr|modal|overlay|newsletter|subscri\w*|signup|related|recommend\w*|share\w*|sharing|social|copyright|comment\w*|reply|replies|disqus|contentinfo")
+DOUBTFUL_WORD = re.compile(r"discussion|legal|notices?|alerts?|consent|follow|respond")
+BOX_WORD = re.compile(
+    r"\d*|a|the|of|to|for|on|by|in|us|me|our|your|and|with|no|area|bar|banner|block|body|bottom|box|boxes|btn|button|buttons|card|cards|center|col|column|container|content|count|feed|footer|form|grid|group|header|holder|"
+    r"icon|icons|inline|inner|item|items|label|left|link|links|list|main|media|menu|message|meta|module|more|nav|network|networks|outer|page|pages|panel|popup|post|posts|products?|right|row|section|side|sidebar|"
+    r"site|slot|space|stories|story|strip|tags|text|thread|title|toolbar|tools|top|unit|view|widget|widgets|wrap|wrapper|zone|articles?|reading|readers?|user|users|login|info|policy|entry|js|is|has|v"
 )
 MAIN_NAME = re.compile(r"(?:^|[\s_-])(?:article|articlebody|post|entry|content|story|body|main|text|markdown)(?:$|[\s_-])")
 
@@ -57,6 +63,22 @@ _SPACE = re.compile(r"\s+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+
+
+def foreign_name(value: str) -> str:
+    """What a name (class, id or role, in lower case) says of text that is not the page's own: "yes", "maybe", or nothing.  Only a whole
+    class counts: all of its words are such names or kinds of boxes.  related-posts is one, related-work is not."""
+    out = ""
+    for name in value.split():
+        words = [w for w in re.split(r"[_-]+", name) if w]
+        others = [w for w in words if not FOREIGN_WORD.fullmatch(w)]
+        if len(others) < len(words) and all(BOX_WORD.fullmatch(w) or DOUBTFUL_WORD.fullmatch(w) for w in others):
+            return "yes"
+        if any(DOUBTFUL_WORD.fullmatch(w) for w in words) and all(DOUBTFUL_WORD.fullmatch(w) or BOX_WORD.fullmatch(w) for w in words) and not {"text", "content", "body", "main", "article", "story", "entry"} & {*words}:
+            out = "maybe"
+    return out
+
+
 @dataclass
 class Block:
     text: str
@@ -80,11 +102,12 @@ class _Open:
     layout: bool = False
     foreign: bool = False
     leaf: bool = False
+    doubtful: bool = False
 
 
 def _opened(tag: str, attributes: str) -> _Open:
     out = _Open(tag, tag in ("article", "main"))
-    named_main = False
+    named_main = comment = False
     for found in _ATTRIBUTE.finditer(attributes or ""):
         name = (found[1] or "").lower()
         value = (found[2] or found[3] or found[4] or "").strip()
@@ -93,19 +116,24 @@ def _opened(tag: str, attributes: str) -> _Open:
         elif name in ("class", "id", "role"):
             value = _CAMEL.sub("-", value).lower()
             out.layout |= bool(LAYOUT_NAME.search(value))
-            out.foreign |= bool(FOREIGN_NAME.search(value))
+            said = foreign_name(value)
+            out.foreign |= said == "yes"
+            out.doubtful |= said == "maybe"
+            comment |= bool({"comment", "comment-body", "reply"} & {*value.split()})
             named_main |= bool(MAIN_NAME.search(value))
         elif name == "itemprop":
             named_main |= value.lower() == "articlebody"
-            out.foreign |= value.lower() == "comment"
+            comment |= value.lower() == "comment"
+    out.foreign |= comment
     if tag in LEAVES:
-        out.leaf, out.layout, out.foreign = out.layout or out.foreign, False, False
+        out.leaf, out.layout, out.foreign, out.doubtful = out.layout or out.foreign or out.doubtful, False, False, False
     elif tag in ("html", "body"):
-        out.layout = out.foreign = False
-    elif named_main and not out.foreign and not out.layout and tag in ("div", "section", "td"):
+        out.layout = out.foreign = out.doubtful = False
+    elif named_main and not out.foreign and not out.doubtful and not out.layout and tag in ("div", "section", "td"):
         out.main = True
-    if tag in ("article", "main"):
-        out.layout = False
+    if tag in ("article", "main"):  # a name on the element itself does not condemn it, but for a single reader's comment
+        out.layout = out.doubtful = False
+        out.foreign = comment and tag == "article"
         out.main = not out.foreign
     return out
 
@@ -122,7 +150,9 @@ def blocks_of(page: str) -> list[Block]:
         main = furniture = layout = foreign = leaf = heading = False
         for x in reversed(open_):
             furniture |= x.hidden or x.tag in FURNITURE or not main and x.tag in WRAPPING_FURNITURE and not (x.tag == "header" and any(y.main for y in open_))
-            foreign |= x.foreign
+            inside = any(y.main for y in open_)
+            foreign |= x.foreign or x.doubtful and not inside
+            leaf |= x.doubtful and inside
             layout |= x.layout and not main
             leaf |= x.leaf
             heading |= x.tag in ("h1", "h2", "h3", "h4", "h5", "h6")
@@ -226,13 +256,16 @@ FEATURES = (
 
 
 def block_features(blocks: list[Block]) -> list[tuple[float, ...]]:
-    any_main = any(b.main and not b.furniture and not b.foreign_named for b in blocks)
+    own = [b for b in blocks if not b.furniture and not b.foreign_named]
+    marked = sum(b.words for b in own if b.main)
+    # marked main content is what the page is about if it holds most of the text that could be that
+    any_main = any(b.main for b in own) and 2 * marked >= sum(b.words for b in own if b.main or not b.layout_named and b.linked < 0.5 and b.words >= LONG[0])
     rows = []
     for n, b in enumerate(blocks):
         p = blocks[n - 1] if n else None
         q = blocks[n + 1] if n + 1 < len(blocks) else None
         rows.append((
-            float(b.main), float(b.furniture), float(b.layout_named), float(b.foreign_named), float(b.leaf_named), float(any_main), float(b.heading), float(b.words), b.linked,
+            float(b.main and (any_main or b.furniture or b.foreign_named)), float(b.furniture), float(b.layout_named), float(b.foreign_named), float(b.leaf_named), float(any_main), float(b.heading), float(b.words), b.linked,
             float(p.words) if p else 0.0, p.linked if p else 0.0, float(q.words) if q else 0.0, q.linked if q else 0.0,
         ))
     return rows
