@@ -3,9 +3,9 @@
 Groups are documents of equal text, and no group is ever split.  Where best-fit-decreasing puts a group depends on its size alone,
 so the driver gets the different sizes with the number of groups of each, places them as runs - a bin that takes one of several equal groups
 takes as many as fit - and the groups of a size are handed out to its runs by their number among these.  Two numbers per
-different size reach the driver, MAX_SIZES of them at most (groups of so many different sizes hold over 12 TB).  For a fixed number
-of shards, the capacity is the smallest (found by bisection) at which best-fit-decreasing needs no more shards than that: sizes
-come out near equal unless a single group is larger.
+different size reach the driver; of more than MAX_SIZES sizes, rounded ones do.  For a fixed number of shards, a group above the fair
+share of what is left gets a shard alone, and the capacity of the others is the smallest (found by bisection) at which
+best-fit-decreasing needs no more shards than there are: apart from such groups, sizes come out near equal.
 
 Defined results.  Null text counts as empty: size 8, crc32 0, one group with the empty texts.  Repeated rows are rows of their
 own, in the shard of their group.  Empty table: no rows.  Further columns are ignored.
@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from cardloom.llm.common import bounded_rows, spread_join, staged
 
-#: Different sizes of groups that the driver takes; more raise.
-MAX_SIZES = 5_000_000
+#: Different sizes of groups that the driver takes (some 500 bytes each there).  Where there are more, sizes are rounded up to multiples of a
+#: power of two for placing.
+MAX_SIZES = 500_000
 #: Keys with the number of their cells up to which these are broadcast.
 BROADCAST_KEYS = 100_000
 #: Rows of a cell, which one task numbers, about.
@@ -130,10 +131,31 @@ def best_fit_decreasing(runs: Runs, capacity: int, most: float = math.inf) -> li
 
 
 def level_shards(runs: Runs, shards: int) -> list[list[tuple[int, int]]]:
-    """Bins 0 to shards-1 for the items of the runs, at the smallest capacity at which best-fit-decreasing needs no more bins."""
+    """Bins 0 to shards-1 for the items of the runs (largest first).  An item above the fair share of what is left has a bin alone, the last
+    ones first; the rest goes into the other bins at the smallest capacity at which best-fit-decreasing needs no more of them."""
+    total = sum(size * count for size, count in runs)
+    alone: list[list[tuple[int, int]]] = []
+    rest = list(runs)
+    while rest and shards > 1 and rest[0][0] * shards > total:
+        size, count = rest[0]
+        own = []
+        while count and shards > 1 and size * shards > total:
+            shards, total, count = shards - 1, total - size, count - 1
+            own.append((shards, 1))
+        alone.append(own)
+        if count:
+            rest[0] = (size, count)
+            break
+        rest.pop(0)
+    placed = _leveled(rest, shards, total)
+    if len(alone) + len(rest) > len(runs):  # some of one size alone, the others not
+        placed[0] = alone.pop() + placed[0]
+    return alone + placed
+
+
+def _leveled(runs: Runs, shards: int, total: int) -> list[list[tuple[int, int]]]:
     if not runs:
         return []
-    total = sum(size * count for size, count in runs)
     low = max(-(-total // shards), runs[0][0])
     high, best = low, best_fit_decreasing(runs, low, shards)
     while best is None:
@@ -145,7 +167,29 @@ def level_shards(runs: Runs, shards: int) -> list[list[tuple[int, int]]]:
             low = mid + 1
         else:
             high, best = mid, found
-    return best
+    return _spread(runs, best, shards)
+
+
+def _spread(runs: Runs, placed: list[list[tuple[int, int]]], shards: int) -> list[list[tuple[int, int]]]:
+    """placed, with bins that were left empty taking about half of the fullest bin of more than one item.  Few large items may need fewer
+    bins at a capacity than there are."""
+    held: list[dict[int, int]] = [{} for _ in range(shards)]
+    for run, parts in enumerate(placed):
+        for b, n in parts:
+            held[b][run] = held[b].get(run, 0) + n
+    load = [sum(runs[r][0] * n for r, n in own.items()) for own in held]
+    for empty in [b for b in range(shards) if not held[b]]:
+        full = max((b for b in range(shards) if sum(held[b].values()) > 1), key=lambda b: (load[b], -b), default=None)
+        if full is None:
+            break
+        for run in sorted(held[full], key=lambda r: -runs[r][0]):
+            size, n = runs[run][0], held[full][run]
+            moved = min(n, max(0, (load[full] - load[empty]) // (2 * size)) or (not held[empty]))
+            if moved and sum(held[full].values()) > moved:
+                held[empty][run] = moved
+                held[full][run] -= moved
+                load[full], load[empty] = load[full] - moved * size, load[empty] + moved * size
+    return [[(b, own[run]) for b, own in enumerate(held) if own.get(run)] for run in range(len(runs))]
 
 
 def text_bytes(text: Column) -> Column:
@@ -165,8 +209,13 @@ def shard_documents(docs: DataFrame, shards: int = 24, row_overhead: int = 8) ->
         "sizes",
     )
     groups = staged(rows.groupBy("_g1", "_g2").agg(F.sum("size").alias("_bytes"), F.count("*").alias("k")), "groups")
-    sizes = groups.groupBy("_bytes").agg(F.count("*").alias("n"), F.sum("k").alias("rows"))
-    known = sorted(((r["_bytes"], r["n"]) for r in bounded_rows(sizes.select("_bytes", "n"), MAX_SIZES, "the list of different sizes")), reverse=True)
+    sizes, step = staged(groups.groupBy("_bytes").agg(F.count("*").alias("n")), "group-sizes"), 1
+    stepped = lambda: F.ceil(F.col("_bytes") / step) * step
+    while sizes.select(stepped()).distinct().count() > MAX_SIZES:
+        step *= 2
+    if step > 1:
+        groups = groups.withColumn("_bytes", stepped())
+    known = sorted(((r["_bytes"], r["n"]) for r in bounded_rows(sizes.groupBy(stepped().alias("_bytes")).agg(F.sum("n").alias("n")), MAX_SIZES, "the list of different sizes")), reverse=True)
     placed = level_shards(known, shards)
     runs = []
     for (size, _), parts in zip(known, placed):
