@@ -10,11 +10,13 @@ fit over the number and share of such windows, the largest difference and the me
 labels, gives the score.  The threshold is the one of THRESHOLDS whose fit is best on windows that were compared by dictionaries trained on
 other texts.
 
-Fitted on the driver on a bounded sample: at most SAMPLE_DOCS different labelled texts of each class, those with the smallest hashes,
-and the first SAMPLE_CHARS characters of each.  Scores cover every whole text.
+Fitted on the driver on a bounded sample: at most SAMPLE_DOCS different labelled texts of each class, those with the smallest hashes.
+Texts are taken whole, as a label may be due to any part of one; those above SAMPLE_CHARS characters come after the others, as far as
+all of a class stay within SAMPLE_DOCS * SAMPLE_CHARS (but one at least).  Scores cover every whole text.
 
 Defined results.  Null, empty and wordless texts have no window, and score what the fit gives for none.  No labelled row of one
-of the classes: every score is 0.  Several labels of a document count each.  Repeated rows are scored each.  Empty table: no
+of the classes: every score is 0.  Different labels of a document count each, equal
+ones once; labels of documents that are not there do not count.  Repeated rows are scored each.  Empty table: no
 rows.  Further columns are ignored.
 """
 
@@ -32,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import bounded_rows, with_small_batches
+from cardloom.llm.common import staged, with_small_batches
 
 SAMPLE_DOCS = 2000
 SAMPLE_CHARS = 8_000
@@ -206,19 +208,27 @@ def train(toxic: list[str], ordinary: list[str], n_toxic: int, n_ordinary: int)
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """docs: doc_id, text; labels: doc_id, toxic, of the rows to learn from.  See the module's text for the bounds of the sample."""
-    labels = labels.filter("toxic in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic"))
-    counts = {r["toxic"]: r["count"] for r in labels.groupBy("toxic").count().collect()}
+    labels = labels.filter("toxic in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic")).distinct()
+    # hashes and lengths of texts are shuffled, not texts; copies of a text, repeated labels and labels of no document count once or not at all
+    draw = F.xxhash64("text")
+    texts = docs.filter("text is not null and doc_id is not null").select(F.col("doc_id").cast("long"), draw.alias("draw"), F.length("text").alias("chars"))
+    known = staged(texts.distinct().join(labels, "doc_id").groupBy("toxic", "draw").agg(F.first("chars").alias("chars")), "labelled-texts")
+    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return None
-    draw = F.pmod(F.xxhash64("doc_id", "toxic"), F.lit(1 << 40))
-    chance = F.when(F.col("toxic") == 1, F.lit(min(1.0, 2.0 * SAMPLE_DOCS / counts[1]))).otherwise(F.lit(min(1.0, 2.0 * SAMPLE_DOCS / counts[0])))
-    drawn = labels.distinct().filter(draw < chance * (1 << 40))
-    few = docs.sparkSession.createDataFrame(bounded_rows(drawn, 8 * SAMPLE_DOCS, "the sample"), "doc_id long, toxic int")
-    # at most 8 * SAMPLE_DOCS rows, so that no text is shuffled to find theirs; copies of a text are one, however many rows have it
-    part = F.substring("text", 1, SAMPLE_CHARS)
-    held = docs.select(F.col("doc_id").cast("long"), "text").filter("text is not null").join(F.broadcast(few), "doc_id")
-    once = held.groupBy("toxic", F.xxhash64("text").alias("draw")).agg(F.first(part).alias("text"))
-    by = {toxic: [r["text"] for r in once.filter(F.col("toxic") == toxic).orderBy("draw").limit(SAMPLE_DOCS).collect()] for toxic in (0, 1)}
+    chosen: list[tuple[int, int]] = []
+    for toxic in (0, 1):
+        # whole texts, as the label may be due to any part of one: the smallest hashes, long texts last and as far as there is room
+        order = [F.col("chars") > SAMPLE_CHARS, F.col("draw")]
+        room = SAMPLE_DOCS * SAMPLE_CHARS
+        for n, r in enumerate(known.filter(F.col("toxic") == toxic).orderBy(*order).limit(SAMPLE_DOCS).collect()):
+            if r["chars"] <= room or not n:
+                room -= r["chars"]
+                chosen.append((r["draw"], toxic))
+    few = docs.sparkSession.createDataFrame(chosen, "draw long, toxic int")  # at most 2 * SAMPLE_DOCS rows
+    held = docs.filter("text is not null").select(draw.alias("draw"), "text").join(F.broadcast(few.select("draw").distinct()), "draw")
+    found = {r["draw"]: r["text"] for r in held.groupBy("draw").agg(F.first("text").alias("text")).collect()}
+    by = {toxic: [found[d] for d, t in sorted(chosen) if t == toxic] for toxic in (0, 1)}
     return train(by[1], by[0], counts[1], counts[0])
 
 
