@@ -100,7 +100,8 @@ def _block_rows(ids: pa.Array, texts: pa.Array, block: int, buckets: int) -> Ite
         "ids": np.array(ids.fill_null(0)), "id_null": np.array(ids.is_null()), "n": np.array(sizes, np.int64), "own": np.array(own, np.int64),
         "key1": np.concatenate(keys1), "key2": np.concatenate(keys2), "cuts": cuts, "held": held, "holder": np.ascontiguousarray(holder.view(np.uint8).reshape(-1, 2).T),
     }
-    yield block % buckets, block, True, _packed(head)
+    # a block is numbered by its partition and its place there: heads spread over the buckets by both
+    yield ((block >> 24) + (block & 0xFFFFFF)) % buckets, block, True, _packed(head)
     for b in range(buckets):
         if cuts[b] < cuts[b + 1]:
             yield b, block, False, _packed((_planes(distinct[cuts[b] : cuts[b + 1]]), held[cuts[b] : cuts[b + 1]]))
