@@ -68,7 +68,7 @@ def spread_join(left: DataFrame, counted: DataFrame, key: str | list[str], total
 
 
 #: Rows of texts in an Arrow batch.  Batches are held at once by a task's JVM side and its Python worker.
-TEXT_BATCH_ROWS = 1000
+TEXT_BATCH_ROWS = 500
 
 
 def with_small_batches(df: DataFrame) -> DataFrame:

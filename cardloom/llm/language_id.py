@@ -5,8 +5,8 @@ with them.  A text's language is the one with the largest share of posterior lab
 Training sequences are made by switching between whole labelled documents every few words.
 
 The model is fitted on the driver from a bounded sample of every label: at most SAMPLE_DOCS documents of each, fewer where there are
-many labels, drawn by a hash of the text, so that copies of a text count once however many they are, and the first SAMPLE_CHARS
-characters of each at most, fewer where there are many labels.  All counts behind the draw cover all rows, and predictions cover every whole text.
+many labels, drawn by a hash of the text, so that copies of a text count once however many they are, and SAMPLE_CHARS characters from
+anywhere in each at most, fewer where there are many labels.  All counts behind the draw cover all rows, and predictions cover every whole text.
 
 Defined results.  Null text, or one without a letter: `und`, score 0.  No labelled row at all: every text is `und`, score 0.  Ties
 go to the label first in alphabetical order.  Repeated rows are predicted each.  Empty table: no rows.  Further columns are ignored.
@@ -41,8 +41,8 @@ STRETCH = (2, 12)
 SEQUENCE = 240
 #: Word types above which a worker starts anew (between batches), and padded words it handles at once, of models of up to
 #: MANY_LANGUAGES labels; of larger models so many fewer that memory stays the same.
-CACHE_WORDS = 150_000
-PADDED = 400_000
+CACHE_WORDS = 60_000
+PADDED = 200_000
 MANY_LANGUAGES = 64
 UNKNOWN = "und"
 
@@ -247,8 +247,10 @@ def fit(rows: DataFrame) -> Model | None:
     chances = [(r["lang"], min(1.0, (2.0 * each + 16) / max(1, 0.9 * r["n"] - 1))) for r in counts]
     drawn_by = F.broadcast(rows.sparkSession.createDataFrame(chances, "lang string, chance double"))
     draw = F.pmod("h", F.lit(1 << 40))
+    begin = 1 + F.pmod(F.xxhash64("h"), F.greatest(F.lit(1), F.length("text") - chars + 1))
+    window = F.substr("text", begin.cast("int"), F.lit(chars))  # of a long text, a part from anywhere in it
     drawn = rows.withColumn("draw", draw).join(drawn_by, "lang").filter(F.col("draw") < F.col("chance") * (1 << 40))
-    once = drawn.groupBy("lang", "h").agg(F.first("draw").alias("draw"), F.first(F.substring("text", 1, chars)).alias("text"))  # partial: copies are few after each task
+    once = drawn.groupBy("lang", "h").agg(F.first("draw").alias("draw"), F.first(window).alias("text"))  # partial: copies are few after each task
     by: dict[str, list] = {}
     for r in sorted(bounded_rows(once.select("lang", "draw", "text"), 4 * (2 * each + 16) * len(counts) + 1000, "the sample"), key=lambda r: (r["draw"], r["text"])):
         by.setdefault(r["lang"], []).append((r["lang"], r["text"]))

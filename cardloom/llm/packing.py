@@ -31,7 +31,7 @@ GROUP_PIECES = 8000
 LEAST_SAVED = 1e-4
 
 #: Characters of text that are encoded at once (some 40 bytes of memory each).
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 500_000
 #: Bytes of a word up to which it is encoded with all others of a batch.
 WORD_BYTES = 64
 
