@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardloom.functions import text as X
+from cardloom.operators import quality as Q
 from cardloom.operators import records as R
 from cardloom.operators import store
 from cardloom.schema import REGISTRY, SOURCE_KEY
@@ -108,3 +109,14 @@ def page_blob(header: Column, footer: Column) -> Column:
 def in_order(records: DataFrame, part: str) -> DataFrame:
     """place of each record in its part, in the order of records."""
     return records.withColumn("place", F.row_number().over(Window.partitionBy(part).orderBy(*store.record_order())))
+
+
+def part_outcomes(records: DataFrame, tokens: DataFrame, expected: DataFrame, part: str = "doc") -> DataFrame:
+    """part, extractedTotal, validCount, expectedTotal, failed_pages and ok of every part that was read or expected: how many records of it
+    there are, how many are valid, and whether that is enough.  A part with a page that could not be read is not ok, however many of
+    its records are valid.  records: part, valid; tokens: part, page, error; expected: part, expectedTotal."""
+    counts = records.groupBy(part).agg(F.count("*").alias("extractedTotal"), F.count_if("valid").alias("validCount"))
+    failed = tokens.groupBy(part, "page").agg(F.max(F.col("error").isNotNull()).alias("bad")).groupBy(part).agg(F.count_if("bad").alias("failed_pages"))
+    out = failed.join(counts, part, "full").join(expected.select(part, F.col("expectedTotal").cast("long").alias("expectedTotal")), part, "full")
+    out = out.fillna(0, ["extractedTotal", "validCount", "failed_pages"])
+    return out.withColumn("ok", Q.successful(F.col("validCount"), F.col("extractedTotal"), F.coalesce("expectedTotal", F.lit(0))) & (F.col("failed_pages") == 0))
