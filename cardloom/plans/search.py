@@ -149,3 +149,24 @@ def page_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = F.when(even, F.concat(F.lit("3, 14,22-26,"), F.col("p_size").cast("string"))).otherwise("")
     pages = X.page_set(spec, F.when(even, F.lit(25)).otherwise(F.col("p_size")))
     return table(spark, sf_dir, "part").select("p_partkey", F.array_join(pages.cast("array<string>"), ",").alias("pages"))
+
+
+@query(f"SELECT p_partkey, p_name, p_brand, p_type FROM part WHERE contains({_HAY}, 'ring') AND contains({_HAY}, 'brand#1') AND contains({_HAY}, 'e')")
+def search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings narrow the rows by two words; a third one is too short for them."""
+    from cardloom.operators import postings
+    from cardloom.sources.staging import new_folder
+
+    index = postings.build(table(spark, sf_dir, "part"), new_folder(spark, "index"), _PART, "p_partkey")
+    return index.search("Ring BRAND#1 e").select("p_partkey", *_PART)
+
+
+@query(f"""SELECT q AS query, n AS candidates, n AS found, (SELECT count(*) FROM part) AS total FROM (
+  SELECT 'economy' AS q, count(*) FILTER (contains({_HAY}, 'economy')) AS n FROM part UNION ALL SELECT 'brand#3 econ', count(*) FILTER (contains({_HAY}, 'brand#3') AND contains({_HAY}, 'econ')) FROM part
+  UNION ALL SELECT 'absent', 0)""")
+def search_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows the postings leave; here each of them matches."""
+    from cardloom.operators import postings
+    from cardloom.sources.staging import new_folder
+
+    return postings.build(table(spark, sf_dir, "part"), new_folder(spark, "index"), _PART, "p_partkey").report(["economy", "brand#3 econ", "absent"])
