@@ -124,9 +124,11 @@ class WordEncoder:
     a text are those of its words in turn.  The different words of a slice are encoded once, and nothing is remembered after it.  Words of letters between
     marks go through PairMerger, all others through the tokenizer."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, slice_chars: int | None = None) -> None:
         import os
 
+        self.slice_chars = slice_chars or SLICE_CHARS
+
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -186,7 +188,15 @@ class WordEncoder:
             marks: dict[str, np.ndarray] = {"": np.zeros(0, "<u4")}
             before, after = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
             names = {"": 0}
-            for i in np.flatnonzero((lead > 0) | (right < length)).tolist():
+            # most marks are one after the word: these are told apart in one go, all others one by one
+            single = np.flatnonzero((lead == 0) & (length - right == 1))
+            if len(single):
+                last = pc.utf8_slice_codeunits(own.take(pa.array(single)), -1, 1 << 30).dictionary_encode()
+                for mark in last.dictionary.to_pylist():
+                    names[mark] = len(names)
+                    marks[mark] = self.whole(mark)
+                after[single] = np.array([names[m] for m in last.dictionary.to_pylist()], np.int64)[last.indices.to_numpy()]
+            for i in np.flatnonzero((lead > 0) | (length - right > 1)).tolist():
                 word = own[i].as_py()
                 for side, mark in ((before, word[: lead[i]]), (after, word[right[i] :])):
                     if mark not in names:
@@ -249,21 +259,21 @@ class WordEncoder:
                 continue
             at = 0
             while at < len(text):
-                stop = at + SLICE_CHARS - size
+                stop = at + self.slice_chars - size
                 if stop < len(text):
                     stop = max((text.rfind(c, at, stop) for c in " \n\t"), default=-1)
                     if stop < at:  # no room for a word here
                         if size:
                             flush()
                             continue
-                        after = re.compile(r"\s").search(text, at + SLICE_CHARS)
+                        after = re.compile(r"\s").search(text, at + self.slice_chars)
                         stop = after.start() if after else len(text)
                     stop += stop == at
                 waiting.append(text[at:stop])
                 owners.append(owner)
                 size += min(stop, len(text)) - at
                 at = stop
-                if size >= SLICE_CHARS:
+                if size >= self.slice_chars:
                     flush()
                     while given < owner:
                         yield b"".join(done.pop(given))

@@ -47,6 +47,8 @@ SAMPLE_TEXTS, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 8000, 64 << 10
 LEVEL = 3
 #: Bytes of frames, and documents, after which a file is closed.
 FILE_BYTES, FILE_DOCUMENTS = 64 << 20, 1 << 20
+#: Characters of text that are encoded at once: of more words at a time fewer are new.
+SLICE_CHARS = 4_000_000
 #: Bytes of frames or ids that a task hands over or reads at once.
 CHUNK_BYTES = 4 << 20
 
@@ -186,9 +188,9 @@ def token_frames(docs: DataFrame, tokenizer_path: str, dictionary: Dictionary, e
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trim_memory()
-        encoder, pack = WordEncoder(tokenizer_path), Dictionary(shared.value).compressor()
+        encoder, pack = WordEncoder(tokenizer_path, SLICE_CHARS), Dictionary(shared.value).compressor()
         trim_memory()
-        for batch in batches:
+        for batch in _gathered(batches):
             held: list[tuple] = []
             size = 0
             for doc, raw in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1).to_pylist())):
@@ -205,6 +207,20 @@ def token_frames(docs: DataFrame, tokenizer_path: str, dictionary: Dictionary, e
     return with_small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(compress, "doc_id long, tokens long, frame binary")
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches of doc_ids and texts, joined until they have about SLICE_CHARS bytes of text."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(1).nbytes
+        if size >= SLICE_CHARS:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
