@@ -67,7 +67,7 @@ def coverage(regions: DataFrame, ledger: DataFrame, listed: DataFrame) -> DataFr
     """One row per district with its assemblies, from regions, the ledger and a listing of downloaded files."""
     asked = regions.select(F.translate("districtName", " ", "_").alias("districtFolder"), "asmblyNo", "name", "districtName", "districtCd")
     have = files.downloads_of(listed, asked.select("districtFolder", "asmblyNo", "name").dropna())
-    totals = C.assembly_totals(asked, ledger.select(*KEY), have, ["districtFolder", "asmblyNo"])
+    totals = C.assembly_totals(asked, C.ledger_as_asked(ledger, asked), have, ["districtFolder", "asmblyNo"])
     return C.coverage_tree(totals)
 
 

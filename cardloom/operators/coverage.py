@@ -20,6 +20,23 @@ def roll_location(path: Column) -> Column:
     return F.when((F.size(cut) >= 3) & number.isNotNull() & part.isNotNull(), found)
 
 
+def source_key(path: Column) -> Column:
+    """The registry's key of a part: District/NN_Name/part_N.pdf where the path says so, else the file's name without its ending, and .pdf."""
+    at = roll_location(path)
+    stem = F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"(?<=.)\.[^.]*$", "")
+    return F.when(at.isNotNull(), part_path(at["districtFolder"], at["acFolder"], at["partNo"])).otherwise(F.concat(stem, F.lit(".pdf")))
+
+
+def ledger_as_asked(ledger: DataFrame, asked: DataFrame) -> DataFrame:
+    """districtFolder, asmblyNo, partNo of the ledger under the folder names of asked (districtFolder, asmblyNo, districtName).  An assembly
+    without an entry under its own folder takes those of a folder whose name differs in case and underscores only."""
+    found = ledger.select("districtFolder", F.col("asmblyNo").cast("long").alias("asmblyNo"), F.col("partNo").cast("long").alias("partNo"), F.col("districtFolder").alias("_held"))
+    known = asked.select("districtFolder", F.col("asmblyNo").cast("long").alias("asmblyNo"), "districtName").dropna().distinct()
+    loose = [(F.lower("districtName"), "lower(translate(districtFolder, '_', ' '))"), (F.col("asmblyNo"), "asmblyNo")]
+    at = two_tier(known, found, ["districtFolder", "asmblyNo"], loose, "_held").select("districtFolder", "asmblyNo", "_held")
+    return at.join(found.select("_held", "asmblyNo", "partNo"), ["_held", "asmblyNo"]).select("districtFolder", "asmblyNo", "partNo").distinct()
+
+
 def part_path(folder: Column, assembly: Column, part: Column) -> Column:
     return F.concat_ws("/", folder, assembly, F.concat(F.lit("part_"), part.cast("string"), F.lit(".pdf")))
 

@@ -151,3 +151,23 @@ def files_below(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = table(spark, sf_dir, "supplier").select("s_suppkey", F.concat(F.lit("file:///d/"), "s_nationkey", F.lit("/x/part_"), "s_suppkey", F.lit(".pdf")).alias("path"))
     nations = table(spark, sf_dir, "nation").filter("n_nationkey % 4 = 0").select(F.concat(F.lit("/d/"), "n_nationkey", F.lit("/")).alias("asked"))
     return P.below(files, nations.unionByName(files.filter("s_suppkey % 9 = 0").select(F.col("path").alias("asked")))).select("s_suppkey")
+
+
+@query("""WITH r AS (SELECT o_custkey AS part, o_orderkey AS k FROM orders WHERE o_custkey % 4 <> 0), n AS (SELECT part, count(*) AS voters, sum(k)::BIGINT AS keys, count(*) FILTER (k % 3 = 0) AS valid FROM r GROUP BY part)
+SELECT 'D/1_X/part_' || c_custkey AS path, c_custkey AS "partNo", coalesce(voters, 0) AS voters, coalesce(keys, 0) AS keys, coalesce(valid, 0) AS valid, coalesce(voters, 0) AS table_rows, coalesce(keys, 0) AS table_keys FROM customer LEFT JOIN n ON part = c_custkey WHERE c_custkey % 10 < 2""")
+def payload_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as records of their customers' parts, a tenth of them without any, written as files and read back."""
+    from cardloom.sources import files
+    from cardloom.sources.payload_sink import write_parts
+
+    folder, k = new_folder(spark, "parts"), F.col("o_orderkey")
+    path = lambda c: F.concat(F.lit("D/1_X/part_"), c)
+    records = table(spark, sf_dir, "orders").filter("o_custkey % 4 <> 0").select(path("o_custkey").alias("path"), k.alias("serialNo"), F.concat(F.lit('na"me, '), k).alias("name"), (k % 3 == 0).alias("valid"))
+    parts = table(spark, sf_dir, "customer").filter("c_custkey % 10 < 2").select(path("c_custkey").alias("path"), F.col("c_custkey").alias("partNo"), F.concat(F.lit("s"), "c_custkey").alias("source"))
+    write_parts(records, parts, folder)
+    below = lambda c: F.regexp_extract(c, "(D/1_X/part_[0-9]+)/", 1)
+    saved = files.read_payloads(spark, folder)
+    sums = saved.select(below(F.col("path")).alias("path"), "partNo", F.size("voters").cast("long").alias("voters"), F.aggregate("voters", F.lit(0).cast("long"), lambda a, v: a + v["serialNo"]).alias("keys"), F.size(F.filter("voters", lambda v: v["valid"])).cast("long").alias("valid"))
+    rows = tables_by_header(spark, folder, glob="voters.csv")
+    csv = rows.filter(F.col("name") == F.concat(F.lit('na"me, '), F.col("serialNo"))).groupBy(below(F.col("_file")).alias("path")).agg(F.count("*").alias("table_rows"), F.sum(F.col("serialNo").cast("long")).alias("table_keys"))
+    return sums.join(csv, "path", "left").fillna(0, ["table_rows", "table_keys"])
