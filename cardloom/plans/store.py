@@ -9,7 +9,7 @@ from cardloom.functions import text as X
 from cardloom.operators import quality as Q
 from cardloom.operators import store as R
 from cardloom.plans.registry import query, table
-from cardloom.sources.staging import shared_root
+from cardloom.sources.staging import new_folder, shared_root
 
 
 @query("""
@@ -179,3 +179,26 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = F.expr("event_id % 3 = 0 and user_id % 4 <> 1")
     ingest(stream.filter(~late), f"{at}/table", f"{at}/log1", "user_id", ["event_id"])
     return ingest(stream.filter(late), f"{at}/table", f"{at}/log2", "user_id", ["event_id"])
+
+
+@query("""WITH e AS (SELECT user_id % 50 AS part, event_id, round(value)::BIGINT AS v FROM events WHERE event_type <> 'view' AND event_id % 11 <> 0)
+SELECT part AS "partNo", v AS "validCount", event_id AS "readAt" FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY event_id DESC) AS n FROM e) WHERE n = 1""")
+def streaming_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as outcomes of parts in two streams, the later half of them first; the second run goes on from the first one's checkpoint
+    with outcomes that are older, and so change only parts that had none."""
+    from cardloom.streaming import ledger
+
+    at, k = new_folder(spark, "ledger"), F.col("event_id")
+    schema = table(spark, sf_dir, "events").schema
+    value = F.round("value").cast("long")
+
+    def outcomes(rows: DataFrame) -> DataFrame:
+        return rows.select(F.lit("D").alias("districtFolder"), F.lit(1).alias("asmblyNo"), F.when(k % 11 != 0, F.col("user_id") % 50).alias("partNo"), value.alias("validCount"), value.alias("extractedTotal"), F.lit(None).cast("long").alias("expectedTotal"), k.alias("readAt"), (F.col("event_type") != "view").alias("ok"))
+
+    events = table(spark, sf_dir, "events")
+    half = events.agg(F.expr("percentile_approx(event_id, 0.5)")).first()[0]
+    events.filter(k > half).write.mode("append").parquet(f"{at}/in")
+    stream = outcomes(spark.readStream.schema(schema).parquet(f"{at}/in"))
+    ledger.run(stream, f"{at}/table", f"{at}/log")
+    events.filter(k <= half).write.mode("append").parquet(f"{at}/in")
+    return ledger.run(stream, f"{at}/table", f"{at}/log").select("partNo", "validCount", "readAt")

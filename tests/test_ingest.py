@@ -52,3 +52,36 @@ def test_last_rows_of_hot_keys_and_null_keys(spark):
     plan = I.latest(rows, "key", ["n"])._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and plan.count("Aggregate") >= 2
     assert I.latest(rows.select("key", "n", F.array("v").alias("v")), "key", ["n"]).count() == 3
+
+
+OUTCOMES = "districtFolder string, asmblyNo long, partNo long, validCount long, extractedTotal long, expectedTotal long, readAt long, ok boolean"
+
+
+def test_the_ledger_as_a_stream_equals_the_batch(spark, tmp_path):
+    from cardloom.streaming import ledger
+
+    import random
+
+    rng = random.Random(3)
+    schema = spark.createDataFrame([], OUTCOMES).schema
+    rows = [("D", 1, rng.randint(1, 30), rng.randint(0, 3), 9, rng.choice([None, 10]), n, rng.random() < 0.8) for n in range(400)]
+    rows += [(None, 1, 1, 1, 1, 1, 900, True), ("D", None, 1, 1, 1, 1, 901, True), ("D", 1, 31, 1, 1, 1, 902, None), ("E", 1, 1, None, None, None, 903, True)]
+    rng.shuffle(rows)
+    table, log = str(tmp_path / "t"), str(tmp_path / "log")
+    put = lambda part, some: spark.createDataFrame(some, schema).coalesce(1).write.parquet(str(tmp_path / f"in/{part}"))
+    stream = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
+    names = ["entry", "validCount", "extractedTotal", "expectedTotal"]
+    shown = lambda df: sorted((tuple(r) for r in df.select(*names).collect()), key=str)
+    for n in range(3):
+        put(f"a{n}", rows[n::4])
+    ledger.run(stream(), table, log)
+    put("b", rows[3::4])
+    after = shown(ledger.run(stream(), table, log))
+    assert after == shown(ledger.from_batch(spark.createDataFrame(rows, schema)))
+    assert len(after) == 31
+    before = sorted(os.listdir(table))
+    put("c", [("D", 1, 5, 99, 99, 99, 1, True), ("D", 1, 5, 1, 1, 1, 10_000, False)])  # older, and not ok: nothing changes
+    assert shown(ledger.run(stream(), table, log)) == after
+    held = lambda name: [x for x in os.listdir(f"{table}/{name}") if x.startswith("_bucket")]
+    assert all(not held(v) for v in set(os.listdir(table)) - set(before))
+    assert shown(ledger.run(stream(), table, str(tmp_path / "new log"))) == after  # a lost checkpoint
