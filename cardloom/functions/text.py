@@ -19,10 +19,7 @@ NAME = r"(?i)^(?:Name)\s*[:\-]\s*(.+)$"
 SERIAL = r"^(\d{1,4})$"
 SERIAL_AND_ID = r"(?i)^(\d{1,4})\s+[A-Z]{3}\d{7}$"
 RELATIVE_WORD = r"(?i)father|mother|husband|wife"
-RELATIONS = [
-    ("Father", r"(?i)^Father'?s?\s*Name\s*[:\-]?\s*(.*)$"), ("Mother", r"(?i)^Mother'?s?\s*Name\s*[:\-]?\s*(.*)$"),
-    ("Husband", r"(?i)^Husband'?s?\s*Name\s*[:\-]?\s*(.*)$"), ("Wife", r"(?i)^Wife'?s?\s*Name\s*[:\-]?\s*(.*)$"), ("Other", r"(?i)^Others?\s*[:\-]\s*(.*)$"),
-]
+RELATION = r"(?i)^(?:(Father|Mother|Husband|Wife)'?s?\s*Name\s*[:\-]?|(Other)s?\s*[:\-])\s*(.*)$"
 FEMALE = ("femele", "femcle", "femole", "eomolo", "femaie")
 MALE = ("mele", "molo")
 

@@ -34,22 +34,35 @@ def grouped_lines(tokens: Column) -> Column:
     return F.when(F.size(tokens) > 0, F.transform(lines, lambda ln: F.array_join(F.transform(F.array_sort(ln["of"]), lambda t: t["text"]), " "))).otherwise(F.array().cast("array<string>"))
 
 
+#: What a line may say, in the order in which it is asked: the first that holds is all that counts.
+FACTS = {"skip": "boolean", "name": "string", "relation": "string", "relative": "string", "house": "string", "age": "bigint", "gender": "string", "wrap": "string"}
+#: Parts a label from its value in a replaced line.
+_MARK = "\x01"
+
+
 def line_facts(line: Column) -> Column:
-    """What one line says, whatever stands around it."""
+    """What one line says, whatever stands around it: struct of FACTS.  Each pattern is tried once, and only on lines that none before it fits."""
+
+    def fact(**known: Column) -> Column:
+        return F.struct(*[known.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in FACTS.items()])
 
     def facts(s: Column) -> Column:
-        relation = F.lit(None).cast("string")
-        value = F.lit(None).cast("string")
-        for label, pattern in reversed(X.RELATIONS):
-            relation = F.when(s.rlike(pattern), F.lit(label)).otherwise(relation)
-            value = F.when(s.rlike(pattern), F.regexp_extract(s, pattern, 1)).otherwise(value)
+        def figures(g: Column) -> Column:
+            wrap = F.when(~X.wrap_junk(s), X.without_trailing_serial(X.person(s)))
+            return F.when(g["age"].isNotNull() | g["gender"].isNotNull(), fact(skip=F.lit(False), age=g["age"], gender=g["gender"])).otherwise(fact(skip=F.lit(False), wrap=wrap))
+
+        def housed(h: Column) -> Column:
+            return F.when(h.isNotNull(), fact(skip=F.lit(False), house=h)).otherwise(X.bound(F.struct(X.age(s).alias("age"), X.gender(s).alias("gender")), figures))
+
+        def related(r: Column) -> Column:
+            value = F.substring_index(r, _MARK, -1)
+            label = F.initcap(F.substring_index(r, _MARK, 1))
+            house = F.when(s.rlike(X.HOUSE) | s.rlike(X.HOUSE_SHORT), X.house(s))
+            return F.when(r != s, fact(skip=F.lit(False), relation=label, relative=F.nullif(X.person(value), F.lit("")))).otherwise(X.bound(house, housed))
+
         named = s.rlike(X.NAME) & ~s.rlike(X.RELATIVE_WORD)
-        housed = s.rlike(X.HOUSE) | s.rlike(X.HOUSE_SHORT)
-        return F.struct(
-            X.skipped_line(s).alias("skip"), F.when(named, X.person(F.regexp_extract(s, X.NAME, 1))).alias("name"), relation.alias("relation"),
-            F.nullif(X.person(value), F.lit("")).alias("relative"), F.when(housed, X.house(s)).alias("house"), X.age(s).alias("age"), X.gender(s).alias("gender"),
-            F.when(~X.wrap_junk(s), X.without_trailing_serial(X.person(s))).alias("wrap"),
-        )
+        relation = X.bound(F.regexp_replace(s, X.RELATION, f"$1$2{_MARK}$3"), related)
+        return F.when(X.skipped_line(s), fact(skip=F.lit(True))).when(named, fact(skip=F.lit(False), name=X.person(F.regexp_extract(s, X.NAME, 1)))).otherwise(relation)
 
     return X.bound(F.trim(line), facts)
 
