@@ -3,9 +3,12 @@ import_csv writes."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardloom.operators import assign as A
 from cardloom.operators import coverage as C
 from cardloom.operators import jobs as J
 from cardloom.operators import pages as P
@@ -16,7 +19,7 @@ from cardloom.operators.search import search
 from cardloom.schema import LEDGER
 from cardloom.sources import files
 
-__all__ = ["backfill", "cleanup", "coverage", "import_csv", "ingest", "profile", "refill", "registry", "retry", "search"]
+__all__ = ["backfill", "cleanup", "coverage", "import_csv", "ingest", "parse", "profile", "refill", "registry", "retry", "search"]
 
 KEY = ["districtFolder", "asmblyNo", "partNo"]
 
@@ -26,6 +29,31 @@ def ingest(cards: DataFrame) -> DataFrame:
     return R.validated(R.parsed_cards(cards).filter(R.not_empty_cell()))
 
 
+@dataclass(frozen=True)
+class Parsed:
+    """What a parse job gives: the records of all parts, the outcome of each part, the ledger with the parts that went well, and for each image
+    whether it is still needed (those of parts that did not go well always are)."""
+
+    records: DataFrame
+    outcomes: DataFrame
+    ledger: DataFrame
+    images: DataFrame
+
+
+def parse(tokens: DataFrame, cards: DataFrame, parts: DataFrame, ledger: DataFrame, images: DataFrame) -> Parsed:
+    """The whole job over any number of parts, as one plan.  tokens: doc, page, seq, text, confidence, bbox, error; cards: doc, page, card_index,
+    x, y, w, h; parts: doc, expectedTotal and the fields of a ledger's entry; images: doc, path.  A part is ok if enough of its records
+    are valid and none of its pages failed; only ok parts get into the ledger, and only theirs of the images may go."""
+    read = A.tokens_of_cards(tokens, cards.select("doc", "page", "card_index", "x", "y", "w", "h"), ["doc", "page"])
+    records = ingest(read)
+    outcomes = J.part_outcomes(records, tokens, parts)
+    entries = outcomes.drop("expectedTotal").join(parts, "doc")
+    after = J.ledger_upsert(ledger, entries.select(*[F.col(f.name).cast(f.dataType) if f.name in entries.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in LEDGER.fields], "ok"), KEY)
+    verdicts = cleanup(images, records.withColumn("card", F.col("card_index") + 1)).join(outcomes.select("doc", "ok"), "doc", "left")
+    kept = verdicts.withColumn("keep", F.col("keep") | ~F.coalesce("ok", F.lit(False))).drop("ok")
+    return Parsed(records, outcomes, after, kept)
+
+
 def refill(records: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
     """Records with missing fields read from ranked texts, validated again; those that lack nothing stay as they are."""
     return R.validated(J.filled_by_rank(records.drop("errors", "valid"), candidates, key))

@@ -28,6 +28,20 @@ def by_overlap(tokens: DataFrame, cards: DataFrame, key: list[str], layout: Layo
     return scored.withColumn("_n", F.row_number().over(best)).filter("_n = 1").select(*key, "seq", "card_index")
 
 
+def tokens_of_cards(tokens: DataFrame, cards: DataFrame, key: list[str], layout: Layout = LAYOUT) -> DataFrame:
+    """key, card_index, width, height and tokens (in their order, in pixels of the card) of every card, also of those without a token.  tokens:
+    key, seq, text, confidence, bbox (of the page); those without text or box are no one's."""
+    read = tokens.filter("text is not null and bbox is not null")
+    side = lambda i, best: best(F.transform("bbox", lambda p: p[i]))
+    boxed = read.select(*key, "seq", "text", "confidence", "bbox", side(0, F.array_min).alias("x0"), side(1, F.array_min).alias("y0"), side(0, F.array_max).alias("x1"), side(1, F.array_max).alias("y1"))
+    own = by_overlap(boxed.select(*key, "seq", "x0", "y0", "x1", "y1"), cards, key, layout).join(boxed, [*key, "seq"]).join(cards.select(*key, "card_index", "x", "y"), [*key, "card_index"])
+    local = F.transform("bbox", lambda p: F.array(p[0] - F.col("x"), p[1] - F.col("y")))
+    held = own.groupBy(*key, "card_index").agg(F.array_sort(F.collect_list(F.struct("seq", "text", "confidence", local.alias("bbox")))).alias("tokens"))  # a card's
+    out = cards.join(held, [*key, "card_index"], "left")
+    kept = F.transform("tokens", lambda t: F.struct(t["text"].alias("text"), t["confidence"].alias("confidence"), t["bbox"].alias("bbox")))
+    return out.select(*key, "card_index", F.col("w").cast("double").alias("width"), F.col("h").cast("double").alias("height"), F.coalesce(kept, F.slice(kept, 1, 0), F.array().cast("array<struct<text:string,confidence:double,bbox:array<array<double>>>>")).alias("tokens"))
+
+
 def by_column(tokens: DataFrame, cards: DataFrame, key: list[str]) -> DataFrame:
     """key, seq, card_index: the first card of the row whose span holds the token's centre, else the one with the nearest middle.
     tokens: key, seq, cx; cards: key, card_index, x, w.  Every token of a row with cards is assigned."""

@@ -159,3 +159,17 @@ def merged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 2 == 0, 30).cast("long").alias("aage"), F.lit(40).cast("long").alias("bage"), none.alias("agender"), F.lit("Male").alias("bgender"),
     )
     return rows.select("c_custkey", *R.merged_record("a", "b")).select("c_custkey", "houseNo", "age", "gender")
+
+
+@query("""WITH r AS (SELECT o_custkey AS doc, count(*) AS extracted, count(*) FILTER (o_orderkey % 10 <> 3) AS valid FROM orders GROUP BY ALL),
+t AS (SELECT doc, count(*) FILTER (bad) AS failed FROM (SELECT o_custkey AS doc, o_orderkey % 9 AS page, bool_or(o_orderkey % 40 = 7) AS bad FROM orders GROUP BY ALL) GROUP BY doc),
+x AS (SELECT c_custkey AS doc, CASE WHEN c_custkey % 2 = 0 THEN c_custkey % 30 END::BIGINT AS expected FROM customer),
+j AS (SELECT coalesce(x.doc, r.doc) AS doc, coalesce(extracted, 0) AS extracted, coalesce(valid, 0) AS valid, expected, coalesce(failed, 0) AS failed FROM x FULL JOIN r ON x.doc = r.doc LEFT JOIN t ON t.doc = r.doc)
+SELECT doc, extracted AS "extractedTotal", valid AS "validCount", expected AS "expectedTotal", failed AS failed_pages,
+  valid > 0 AND extracted > 0 AND failed = 0 AND valid >= CASE WHEN coalesce(expected, 0) > 0 THEN expected * 9 // 10 ELSE greatest(1, extracted * 9 // 10) END AS ok FROM j""")
+def part_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, orders = F.col("o_orderkey"), table(spark, sf_dir, "orders")
+    records = orders.select(F.col("o_custkey").alias("doc"), (k % 10 != 3).alias("valid"))
+    tokens = orders.select(F.col("o_custkey").alias("doc"), (k % 9).alias("page"), F.when(k % 40 == 7, "failed").alias("error"))
+    expected = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("doc"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey") % 30).alias("expectedTotal"))
+    return J.part_outcomes(records, tokens, expected)

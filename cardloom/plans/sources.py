@@ -103,15 +103,13 @@ def refill_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT 'doc=' || s_nationkey AS doc, count(*) AS tokens, coalesce(sum(s_suppkey % 300) FILTER (s_suppkey % 40 <> 7), 0)::DOUBLE AS sum_x, count(*) FILTER (s_suppkey % 40 = 7) AS failed FROM supplier WHERE s_nationkey < 20 GROUP BY ALL""")
 def page_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file for each supplier in a folder for each nation; nations under 20 are asked for, and some files are no pages."""
-    from cardloom.sources.token_source import PageTokens
+    from cardloom.sources.token_source import read_pages
 
     folder, k = new_folder(spark, "pages"), F.col("s_suppkey")
     line = F.when(k % 40 == 7, F.lit("broken")).otherwise(F.concat_ws(" ", k % 300, k % 50, F.concat(F.lit("t"), k)))
     lines = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("doc"), line.alias("value"))
     lines.repartition("doc").write.partitionBy("doc").option("maxRecordsPerFile", 1).text(folder)
-    spark.dataSource.register(PageTokens)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    tokens = spark.read.format("page_tokens").option("path", folder).option("pattern", r"part-(\d+)-.*\.txt").load().filter(F.col("doc").isin([f"doc={n}" for n in range(20)]))
+    tokens = read_pages(spark, folder, pattern=r"part-(\d+)-.*\.txt").filter(F.col("doc").isin([f"doc={n}" for n in range(20)]))
     x = F.get(F.get("bbox", F.lit(0)), F.lit(0))
     return tokens.groupBy("doc").agg(F.count("*").alias("tokens"), F.coalesce(F.sum(x), F.lit(0.0)).alias("sum_x"), F.count_if(F.col("error").isNotNull()).alias("failed"))
 

@@ -1,10 +1,8 @@
 """Page files as a table of tokens: a data source for spark.read, with one task for each range of files.
 
-    spark.dataSource.register(PageTokens)
-    tokens = spark.read.format("page_tokens").option("path", folder).option("reader", "package.module:function").load()
-
 The reader is a function from (doc, page, content) to the tokens of a page: (text, confidence, bbox) each.  Filters on doc and page are pushed
-into the source (spark.sql.python.filterPushdown.enabled) and decide which files are opened, so a job for some pages reads those alone.
+into the source and decide which files are opened, so a job for some pages reads those alone.  That needs
+spark.sql.python.filterPushdown.enabled, which read_pages sets in the session.
 A page on which the reader fails has one row without text, with the error beside it.  Folders are listed, and files read, by
 pyarrow.fs, which reaches the common shared file systems."""
 
@@ -15,10 +13,20 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual
 
 from cardloom.sources.tokens import TOKEN_TABLE
 
+
+def read_pages(spark: SparkSession, folder: str, reader: str | None = None, pattern: str | None = None) -> DataFrame:
+    """The token table of the page files below a folder.  reader: module:function; pattern: of file names, with the page in its first group."""
+    spark.dataSource.register(PageTokens)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    options = {k: v for k, v in (("path", folder), ("reader", reader), ("pattern", pattern)) if v is not None}
+    return spark.read.format("page_tokens").options(**options).load()
+
+
 #: Bytes and files of a task, at most (a larger file is a task alone).
 TASK_BYTES, TASK_FILES = 64 << 20, 256
 

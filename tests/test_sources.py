@@ -10,7 +10,7 @@ from cardloom.operators import jobs as J
 from cardloom.operators.ladder import card_ranks, climbed, rank_counts
 from cardloom.sources import parts as P
 from cardloom.sources.results import tokens_from_results
-from cardloom.sources.token_source import PageTokens
+from cardloom.sources.token_source import read_pages
 
 SQUARE = [[0.0, 0.0]] * 4
 RESULTS = [
@@ -41,9 +41,7 @@ def pages(tmp_path, **docs):
 
 @pytest.fixture
 def source(spark):
-    spark.dataSource.register(PageTokens)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    return lambda path: spark.read.format("page_tokens").option("path", str(path)).load()
+    return lambda path: read_pages(spark, str(path))
 
 
 def test_pages_become_tokens_and_failures_stay_pages(spark, source, tmp_path):
