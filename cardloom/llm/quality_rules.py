@@ -6,8 +6,8 @@ are found from three deterministic starts (coordinate-wise, spatial signs, hyper
 distance, keep the nearest, estimate again, until no determinant falls any more.  All starts take each step together, as grouped
 aggregations over a staged table of a few numbers per document, which the parameters - a row per key - are sent to.  The distance
 that three quarters of the rows stay below is found to ACCURACY of their rank.  A row is rejected if its squared Mahalanobis distance exceeds the cutoff.  Sources with too few rows
-are judged by an estimate from all sources of their language.  Where the whole language has too few for concentration steps, its
-estimate is the coordinate-wise start, medians and quartiles with the variance floors; languages are never judged by each other.
+are judged by an estimate from all sources of their language, however few these are.  Only where a whole language has under FEWEST_ROWS,
+its estimate is the coordinate-wise start, medians and quartiles with the variance floors; languages are never judged by each other.
 
 Everything is DataFrame expressions.  The variance floors keep a statistic that is constant in clean text (no symbols at all)
 from rejecting the first document with one.
@@ -35,8 +35,11 @@ ACCURACY = 10_000
 STILL = 1e-4
 #: Keys (some 50 numbers each) up to which parameters are broadcast; beyond, rows are shuffled to them.
 BROADCAST_KEYS = 50_000
-#: Sound rows below which an estimate takes no concentration steps, and the first letter of the keys of such estimates.
+#: Sound rows from which a source has an estimate of its own; smaller ones are judged by their language.
 LEAST_ROWS = 100
+#: Sound rows of a language below which three quarters of them do not span the statistics, so that there is nothing to concentrate; and
+#: the first letter of the keys of such estimates.
+FEWEST_ROWS = 2 * (STATISTICS + 1)
 FEW = "q"
 #: Clean rows that a normal distribution would lose.
 TAIL = 1e-5
@@ -216,7 +219,7 @@ def _keys(rows: DataFrame) -> DataFrame:
     own = rows.filter("not base_failed").groupBy("lang", "source").agg(F.count("*").alias("n"))
     by_lang = own.groupBy("lang").agg(F.sum("n").alias("nl"), F.min("n").alias("least"))
     source_key = F.when(F.col("n") >= LEAST_ROWS, F.concat(F.lit("s"), F.to_json(F.struct("lang", "source"))))
-    lang_key = F.concat(F.when(F.col("nl") >= LEAST_ROWS, F.lit("l")).otherwise(F.lit(FEW)), F.to_json(F.struct("lang")))
+    lang_key = F.concat(F.when(F.col("nl") >= FEWEST_ROWS, F.lit("l")).otherwise(F.lit(FEW)), F.to_json(F.struct("lang")))
     grounds = F.array_compact(F.array(source_key, F.when(F.col("least") < LEAST_ROWS, lang_key)))
     same = F.col("own.lang").eqNullSafe(F.col("by.lang"))
     joined = own.alias("own").join(by_lang.alias("by"), same).select("own.lang", "own.source", "n", "nl", "least")
