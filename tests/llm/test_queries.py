@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from cardloom.llm import queries as Q
+from tests.llm.test_index_operators import plain_tokens
 from tests.llm.test_ngram_join import brute
 from tests.llm.test_text_operators import counts
 
@@ -20,6 +21,9 @@ COLUMNS = {
     "op8_url_filter": {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
     "op9_sharding": {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"},
     "op10_html_extract": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
+    "op11_ranked_search": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
+    "op12_token_store": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
+    "op13_vector_codes": {"vec_id": "bigint", "code": "string", "error": "bigint", "label_error": "bigint", "codebooks_sha256": "string"},
 }
 
 
@@ -55,12 +59,18 @@ def test_columns_and_rows(spark, sf, documents, name):
         assert all((r["size"], r.text_crc32) == (len((documents[r.doc_id].text or "").encode()) + 8, zlib.crc32((documents[r.doc_id].text or "").encode())) for r in rows)
     elif name == "op10_html_extract":
         assert all(r.n_chars == len(r.text) for r in rows)
+    elif name == "op12_token_store":
+        want, start = [], 0
+        for d, ids in plain_tokens([(d, documents[d].text) for d in sorted(documents)]):
+            want.append((d, start, len(ids) // 4, zlib.crc32(ids)))
+            start += len(ids) // 4
+        assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in rows) == want
 
 
 @pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
 def test_sql(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     df = Q.queries()[name](spark, sf)
     columns = sorted(df.columns)
