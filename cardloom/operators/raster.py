@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,8 +63,34 @@ def decoded(content: bytes) -> np.ndarray:
     return grey[..., 0]
 
 
+#: Pages whose results are passed on together: so many at most, and so many bytes of them (a larger page is alone).
+LOOKED = (512, 4 << 20)
+
+
+def _parts(batch: pa.RecordBatch, most: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of bounded rows and bytes of content."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("content")), 0).to_pylist()
+    start, held = 0, 0
+    for i, size in enumerate(sizes):
+        if i > start and (i - start == most[0] or held + size > most[1]):
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if sizes:
+        yield batch.slice(start)
+
+
+def _array(values: tuple, kind: pa.DataType) -> pa.Array:
+    """An Arrow array of values; lists of numbers may be NumPy arrays."""
+    if not pa.types.is_list(kind) or not any(isinstance(v, np.ndarray) for v in values):
+        return pa.array(values, kind)
+    ends = np.cumsum([0, *(0 if v is None else len(v) for v in values)])
+    flat = np.concatenate([v for v in values if v is not None])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32(), mask=np.array([*(v is None for v in values), False])), pa.array(flat, kind.value_type))
+
+
 def _each_page(pages: DataFrame, keep: list[str], take: list[str], names: list[str], shape: str, look: Callable, decode: Decoder) -> DataFrame:
-    """pages with the columns that look(grey, *values of take) gives, and error.  Pages go by one at a time."""
+    """pages with the columns that look(grey, *values of take) gives, and error.  Pages are looked at one at a time."""
     kinds = pages.select(*keep).schema
     whole = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds) + f", {shape}, error string"
     out_names = [*keep, *names, "error"]
@@ -72,15 +99,17 @@ def _each_page(pages: DataFrame, keep: list[str], take: list[str], names: list[s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                one, error = batch.slice(i, 1), None
-                content, *values = (one.column(n)[0].as_py() for n in ("content", *take))
-                try:
-                    found = look(decode(content), *values)
-                except Exception as e:  # noqa: BLE001  whatever is wrong with one page concerns that page
-                    found, error = (None,) * len(names), f"{type(e).__name__}: {e}"
-                columns = [*[one.column(n) for n in keep], *[pa.array([v], arrow.field(n).type) for n, v in zip(names, found)], pa.array([error], pa.string())]
-                yield pa.RecordBatch.from_arrays([c.cast(arrow.field(n).type) for n, c in zip(out_names, columns)], out_names)
+            for part in _parts(batch, LOOKED):
+                seen, errors = [], []
+                for content, *values in zip(*(part.column(n) for n in ("content", *take))):
+                    try:
+                        found, error = look(decode(content.as_py()), *(v.as_py() for v in values)), None
+                    except Exception as e:  # noqa: BLE001  whatever is wrong with one page concerns that page
+                        found, error = (None,) * len(names), f"{type(e).__name__}: {e}"
+                    seen.append(found)
+                    errors.append(error)
+                columns = [*[part.column(n).cast(arrow.field(n).type) for n in keep], *[_array(v, arrow.field(n).type) for n, v in zip(names, zip(*seen))], pa.array(errors, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, out_names)
 
     need = list(dict.fromkeys([*keep, "content", *take]))
     return pages.select(*need).mapInArrow(run, whole)
@@ -88,7 +117,7 @@ def _each_page(pages: DataFrame, keep: list[str], take: list[str], names: list[s
 
 def _profiles(grey: np.ndarray) -> tuple:
     dark = grey < DARK
-    return grey.shape[1], grey.shape[0], float((grey < INK).mean()) if grey.size else 0.0, dark.sum(axis=0).tolist(), dark.sum(axis=1).tolist()
+    return grey.shape[1], grey.shape[0], float((grey < INK).mean()) if grey.size else 0.0, np.count_nonzero(dark, axis=0), np.count_nonzero(dark, axis=1)
 
 
 def profiled(pages: DataFrame, decode: Decoder = decoded) -> DataFrame:
@@ -131,12 +160,48 @@ def grid_cards(pages: DataFrame, key: list[str], layout: Layout = LAYOUT, decode
     return inked.withColumn("cells", F.zip_with("cells", "cell_ink", cell)).withColumn("error", F.coalesce("_error", "error")).drop("cell_ink", "_error")
 
 
+#: The local threshold looks at single pixels while those that it needs are at most this share of the page.
+SPARSE = 0.2
+
+
 def local_dark(grey: np.ndarray) -> np.ndarray:
-    """Pixels darker than the mean of their neighbourhood (Gaussian, edges repeated) by at least so much."""
+    """Pixels darker than the mean of their neighbourhood (Gaussian, edges repeated) by at least so much.  No mean is above the page's
+    lightest pixel, so only pixels darker than that one can be dark; where they are few, means are computed at them alone, by the same sums."""
     half = WINDOW // 2
     weights = np.exp(-np.square(np.arange(-half, half + 1)) / (2 * SIGMA * SIGMA))
     weights = (weights / weights.sum()).astype(np.float32)
-    mean = grey.astype(np.float32)
+    dark = np.zeros(grey.shape, bool)
+    if not grey.size or (lightest := int(grey.max())) < DARKER:
+        return dark
+    rows = np.flatnonzero((grey <= lightest - DARKER).any(axis=1))
+    may = grey[rows] <= lightest - DARKER
+    near = _stretched(may, WINDOW, 1)  # the mean along columns is needed here, the one along rows at the pixels that may be dark
+    if np.count_nonzero(near) > SPARSE * grey.size:
+        return grey.astype(np.int16) <= np.rint(_means(grey, weights)).astype(np.int16) - DARKER
+    width = grey.shape[1]
+
+    def summed(values: np.ndarray, at: np.ndarray, step: int) -> np.ndarray:
+        """at: the first place of each window."""
+        mean = weights[half] * values[half * step :].take(at)
+        for i in range(half):
+            mean += weights[i] * (values[i * step :].take(at) + values[(2 * half - i) * step :].take(at)).astype(np.float32, copy=False)
+        return mean
+
+    padded = np.empty((grey.shape[0] + 2 * half, width), np.uint16)
+    padded[half:-half], padded[:half], padded[-half:] = grey, grey[0], grey[-1]
+    row, column = np.divmod(np.flatnonzero(near), width)
+    means = np.zeros((len(rows), width + 2 * half), np.float32)
+    means[row, column + half] = summed(padded.ravel(), rows[row] * width + column, width)
+    means[:, :half], means[:, -half:] = means[:, half : half + 1], means[:, -half - 1 : -half]
+    row, column = np.divmod(np.flatnonzero(may), width)
+    mean = summed(means.ravel(), row * (width + 2 * half) + column, 1)
+    dark[rows[row], column] = grey[rows[row], column].astype(np.int16) <= np.rint(mean).astype(np.int16) - DARKER
+    return dark
+
+
+def _means(grey: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The weighted mean around every pixel, along columns and then along rows."""
+    half, mean = WINDOW // 2, grey.astype(np.float32)
     for axis in (0, 1):
         padded = np.pad(mean, [(half, half) if a == axis else (0, 0) for a in (0, 1)], mode="edge")
         size = mean.shape[axis]
@@ -144,34 +209,44 @@ def local_dark(grey: np.ndarray) -> np.ndarray:
         mean = weights[half] * cut(half)
         for i in range(half):
             mean += weights[i] * (cut(i) + cut(2 * half - i))
-    return grey.astype(np.int16) <= np.rint(mean).astype(np.int16) - DARKER
+    return mean
 
 
-def _window_sums(mask: np.ndarray, wide: int, high: int) -> np.ndarray:
-    """How many pixels of the mask lie in the window around each pixel; outside the image there are none."""
-    sums = mask.astype(np.int32)
-    for axis, half in ((0, high // 2), (1, wide // 2)):
-        total = np.cumsum(sums, axis=axis, dtype=np.int32)
-        total = np.concatenate([np.zeros_like(total.take([0], axis)), total], axis=axis)
-        at = np.arange(mask.shape[axis])
-        sums = total.take(np.minimum(at + half + 1, mask.shape[axis]), axis) - total.take(np.maximum(at - half, 0), axis)
-    return sums
+def _stretched(mask: np.ndarray, wide: int, high: int) -> np.ndarray:
+    """Whether a pixel of the mask lies in the window (of odd sides) around each pixel: runs of doubled length, one on the other."""
+    for axis, side in ((0, high), (1, wide)):
+        if side == 1 or not mask.size:
+            continue
+        half, size = side // 2, mask.shape[axis]
+        run = np.pad(mask, [(half, half) if a == axis else (0, 0) for a in (0, 1)])
+        cut = lambda x, start, stop: x[start:stop] if axis == 0 else x[:, start:stop]  # noqa: B023, E731
+        length = 1  # run[i]: of the padded pixels i to i + length - 1 one is set
+        while length < side:
+            step = min(length, side - length)
+            run = cut(run, 0, run.shape[axis] - step) | cut(run, step, run.shape[axis])
+            length += step
+        mask = cut(run, 0, size)
+    return mask
 
 
 def closed(mask: np.ndarray, rectangle: tuple[int, int] = CLOSING, times: int = CLOSINGS) -> np.ndarray:
     """Morphological closing by a rectangle, so often: dilations, then as many erosions.  What lies outside the image has no say."""
     wide, high = ((side - 1) * times + 1 for side in rectangle)
-    grown = _window_sums(mask, wide, high) > 0
-    return _window_sums(~grown, wide, high) == 0
+    out = np.zeros_like(mask)
+    rows, columns = np.flatnonzero(mask.any(axis=1)), np.flatnonzero(mask.any(axis=0))
+    if len(rows):  # nothing grows beyond its own window, nor shrinks by what is beyond two
+        part = np.s_[max(rows[0] - 2 * high, 0) : rows[-1] + 2 * high + 1, max(columns[0] - 2 * wide, 0) : columns[-1] + 2 * wide + 1]
+        out[part] = ~_stretched(~_stretched(mask[part], wide, high), wide, high)
+    return out
 
 
 def component_boxes(mask: np.ndarray, diagonal: bool = True) -> np.ndarray:
     """x, y, w, h of the connected components of a mask, in order of their first pixel.  Runs of each row are joined to those they touch in
     the row above; components are found by hooking labels to the smallest and shortening paths, over runs and not pixels."""
     height, width = mask.shape
-    edges = np.diff(np.pad(mask, [(0, 0), (1, 1)]).astype(np.int8), axis=1)
-    row, start = np.nonzero(edges == 1)
-    stop = np.nonzero(edges == -1)[1]  # exclusive; runs of a row pair up in order
+    padded = np.pad(mask, [(0, 0), (1, 1)])
+    row, edge = np.divmod(np.flatnonzero(padded[:, 1:] != padded[:, :-1]), width + 1)
+    row, start, stop = row[::2], edge[::2], edge[1::2]  # every row begins and ends outside: its edges are starts and stops (exclusive) in turn
     if not len(row):
         return np.zeros((0, 4), np.int64)
     reach = 1 if diagonal else 0

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardloom.functions.text import bound
 from cardloom.operators import raster as P
 from cardloom.operators import strips as S
 from cardloom.plans.geometry import _boxes
-from cardloom.plans.registry import query, table
+from cardloom.plans.registry import dealt, query, table
 
 
 def _graymap(width: Column, height: Column, rows: Column) -> Column:
@@ -69,7 +70,7 @@ def _ruled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         edge, ink = line([~f for f in filled]), line(filled)
         body += [ruler, F.repeat(blank, 6), F.repeat(edge, 4), F.repeat(blank, 6), F.repeat(ink, 4), F.repeat(blank, _PITCH - 21)]
     rows = F.concat(_run(_W * top, False), *body, ruler, _run(_W * (_H - top - 10 * _PITCH - 1), False))
-    return table(spark, sf_dir, "supplier").select(k.cast("long").alias("page"), _graymap(F.lit(_W), F.lit(_H), rows).alias("content"))
+    return dealt(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey").select(k.cast("long").alias("page"), _graymap(F.lit(_W), F.lit(_H), rows).alias("content"))
 
 
 @query(f"""WITH s AS (SELECT s_suppkey AS page, 10 + s_suppkey % 7 AS l, {_W} - 12 - s_suppkey % 5 AS r, 12 + s_suppkey % 9 AS t FROM supplier),
@@ -85,27 +86,24 @@ SELECT page, count(*) AS cards, sum(x)::BIGINT AS sum_x, sum(y)::BIGINT AS sum_y
 def contour_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outlined cards in two columns, two pixels thick; those of which (s_suppkey + i) % 5 is 0 are not drawn."""
     k, width = F.col("s_suppkey").cast("int"), 600
+    blank = _run(width // 2, False)
 
-    def outline(i: int) -> tuple[Column, Column]:
+    def outline(i: Column) -> Column:
         """The rows of a card's left or right half of the page: at its upper or lower edge, and between them."""
-        w = 190 + (k + i) % 8
-        x = (24 if i % 2 == 0 else 54) + k % 5
-        drawn = (k + i) % 5 != 0
-        blank = _run(width // 2, False)
+        w, x, drawn = 190 + (k + i) % 8, 24 + i % 2 * 30 + k % 5, (k + i) % 5 != 0
         edge = F.concat(_run(x, False), _run(w, True), _run(width // 2 - x - w, False))
         side = F.concat(_run(x, False), _run(2, True), _run(w - 4, False), _run(2, True), _run(width // 2 - x - w, False))
-        return F.when(drawn, edge).otherwise(blank), F.when(drawn, side).otherwise(blank)
-
-    blank, rows = _run(width // 2, False), [F.repeat(_run(width, False), 16 + k % 3)]
-    for r in range(3):
-        heights = [72 + (k + 2 * r + c) % 6 for c in range(2)]
-        halves = [outline(2 * r), outline(2 * r + 1)]
-        rows += [F.repeat(F.concat(halves[0][0], halves[1][0]), 2), F.repeat(F.concat(halves[0][1], halves[1][1]), 68)]
-        for n in range(70, 78):  # where cards of different heights end
-            rows.append(F.concat(*[F.when(h <= n, blank).when(h - 2 <= n, edge).otherwise(side) for h, (edge, side) in zip(heights, halves)]))
-        rows.append(F.repeat(_run(width, False), 27))
-    rows.append(F.repeat(_run(width, False), 369 - k % 3))
-    pages = table(spark, sf_dir, "supplier").select(k.cast("long").alias("page"), _graymap(F.lit(width), F.lit(700), F.concat(*rows)).alias("content"))
+        return F.struct((72 + (k + i) % 6).alias("h"), F.when(drawn, edge).otherwise(blank).alias("edge"), F.when(drawn, side).otherwise(blank).alias("side"))
+
+    def band(cards: Column) -> Column:
+        """Two cards side by side, and what is below them."""
+        row = lambda part: F.array_join(F.transform(cards, part), "")
+        ends = F.transform(F.sequence(F.lit(70), F.lit(77)), lambda n: row(lambda c: F.when(c["h"] <= n, blank).when(c["h"] - 2 <= n, c["edge"]).otherwise(c["side"])))  # where cards of different heights end
+        return F.concat(F.repeat(row(lambda c: c["edge"]), 2), F.repeat(row(lambda c: c["side"]), 68), F.array_join(ends, ""), _run(width * 27, False))
+
+    bands = F.transform(F.sequence(F.lit(0), F.lit(4), F.lit(2)), lambda i: bound(F.transform(F.array(i, i + 1), outline), band))
+    rows = F.concat(_run(width * (16 + k % 3), False), F.array_join(bands, ""), _run(width * (369 - k % 3), False))
+    pages = dealt(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey").select(k.cast("long").alias("page"), _graymap(F.lit(width), F.lit(700), rows).alias("content"))
     found = P.contour_cards(pages, ["page"]).select("page", F.explode("cards").alias("b"))
     return found.groupBy("page").agg(F.count("*").alias("cards"), F.sum("b.x").alias("sum_x"), F.sum("b.y").alias("sum_y"), F.sum(F.col("b.w") * F.col("b.h")).alias("area"))
 

@@ -243,3 +243,41 @@ def test_colours_become_grey():
     for bad in (b"P5 2 2 255\nx", b"P4 1 1 255\n0", b"P5 1 1 65535\n00"):
         with pytest.raises(ValueError):
             P.decoded(bad)
+
+
+def test_pages_of_small_tables_are_dealt_to_many_tasks(spark, sf):
+    """A table of some kilobytes is one split, but each of its rows becomes a page of pixels."""
+    from cardloom.plans import raster as plans
+
+    tasks = []
+    plain = P.contour_cards
+    P.contour_cards = lambda pages, key: tasks.append(pages.rdd.getNumPartitions()) or plain(pages, key)
+    try:
+        plans.contour_boxes(spark, sf)
+    finally:
+        P.contour_cards = plain
+    assert tasks[0] >= 16 and plans._ruled_pages(spark, sf).rdd.getNumPartitions() >= 16
+
+
+def test_dark_pixels_are_the_same_where_few_are_looked_at():
+    rng = np.random.default_rng(7)
+    weights = np.exp(-np.square(np.arange(-15, 16)) / 50.0)
+    weights = (weights / weights.sum()).astype(np.float32)
+    sparse = 0
+    for n in range(60):
+        grey = np.full((int(rng.integers(1, 120)), int(rng.integers(1, 120))), rng.integers(0, 256), np.uint8)
+        if n % 3 == 0:
+            grey[:] = rng.integers(0, 256, grey.shape)
+        grey[rng.random(grey.shape) < 0.003] = rng.integers(0, 256)
+        sparse += P._stretched(grey <= max(int(grey.max()) - P.DARKER, -1), P.WINDOW, 1).mean() <= P.SPARSE
+        assert (P.local_dark(grey) == (grey.astype(np.int16) <= np.rint(P._means(grey, weights)).astype(np.int16) - P.DARKER)).all()
+    assert 10 < sparse < 60
+    assert P.local_dark(np.zeros((0, 5), np.uint8)).shape == (0, 5)
+
+
+def test_errors_and_large_pages_between_others(spark):
+    big = b"P5 2100 2000 255\n" + bytes(2100 * 2000)  # more bytes than are looked at together
+    rows = [(0, b"P5 2 1 255\n\x00\xff"), (1, None), (2, big), (3, b"P5 0"), (4, b"P5 1 2 255\n\x00\x00")]
+    got = {r.page: r for r in P.profiled(spark.createDataFrame(rows, "page long, content binary").coalesce(1)).collect()}
+    assert [got[0].column_dark, got[0].row_dark, got[4].row_dark, sum(got[2].row_dark)] == [[1, 0], [1], [1, 1], 2100 * 2000]
+    assert got[1].column_dark is None and got[1].error and got[3].page_w is None and got[3].error and not got[0].error and not got[2].error
