@@ -32,7 +32,7 @@ def raster_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, k = F.col("p_size"), F.col("p_partkey").cast("int")
     w, h, x, bw, y, bh = 60 + s, 40 + s % 7, k % 20, 20 + s % 11, k % 9, 10 + s % 13
     dark = F.concat(_run(x, False), _run(bw, True), _run(w - x - bw, False))
-    pages = table(spark, sf_dir, "part").select("p_partkey", _graymap(w, h, F.concat(_run(w * y, False), F.repeat(dark, bh), _run(w * (h - y - bh), False))).alias("content"))
+    pages = dealt(table(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey").select("p_partkey", _graymap(w, h, F.concat(_run(w * y, False), F.repeat(dark, bh), _run(w * (h - y - bh), False))).alias("content"))
     seen = P.profiled(pages)
     first = lambda c: (F.array_position(F.transform(c, lambda v: v > 0), F.lit(True)) - 1).cast("int")
     shown = lambda c: F.concat(F.lit("["), F.array_join(c.cast("array<string>"), ", "), F.lit("]"))

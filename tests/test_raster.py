@@ -281,3 +281,9 @@ def test_errors_and_large_pages_between_others(spark):
     got = {r.page: r for r in P.profiled(spark.createDataFrame(rows, "page long, content binary").coalesce(1)).collect()}
     assert [got[0].column_dark, got[0].row_dark, got[4].row_dark, sum(got[2].row_dark)] == [[1, 0], [1], [1, 1], 2100 * 2000]
     assert got[1].column_dark is None and got[1].error and got[3].page_w is None and got[3].error and not got[0].error and not got[2].error
+
+
+def test_profiled_pages_are_dealt_to_many_tasks(spark, sf):
+    from cardloom.plans import raster as plans
+
+    assert plans.raster_profile(spark, sf).rdd.getNumPartitions() >= 16
