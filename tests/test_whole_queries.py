@@ -38,3 +38,10 @@ def test_every_part_and_every_assembly_has_its_cells(spark):
     counts = {r.asmblyNo: r["count"] for r in q["coverage_cells"](spark, SF).groupBy("asmblyNo").count().collect()}
     assert empty and all(counts[a] == 700 for a in empty)
     assert counts.keys() == {r.asmblyNo for r in q["coverage_ac"](spark, SF).collect()}
+
+
+def test_result_tokens_are_read_by_many_tasks(spark, sf):
+    """A table of some megabytes is one split, however long its rows take."""
+    from cardloom.plans import sources
+
+    assert sources.result_tokens(spark, sf).rdd.getNumPartitions() >= 16
