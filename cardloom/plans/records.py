@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from cardloom.functions import text as X
 from cardloom.operators import records as R
-from cardloom.plans.registry import query, table
+from cardloom.plans.registry import dealt, query, table
 
 
 def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """c_custkey and the known values of a card."""
     k = F.col("c_custkey")
     letters = F.translate(F.lpad((k % 1000).cast("string"), 3, "0"), "0123456789", "ABCDEFGHIJ")
-    return table(spark, sf_dir, "customer").select(
+    return dealt(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), "c_custkey").select(
         "c_custkey", (k % 900 + 1).alias("serialNo"), F.concat(letters, F.lpad((k * 7919 % 10000000).cast("string"), 7, "0")).alias("epic"),
         F.concat(F.lit("Anu "), F.initcap(F.translate("c_mktsegment", "_", " "))).alias("name"), F.element_at(F.array(*map(F.lit, ("Father", "Mother", "Husband", "Wife"))), (k % 4 + 1).cast("int")).alias("relationType"),
         F.concat(F.lit("Ravi "), F.initcap("c_mktsegment")).alias("relativeName"), F.concat_ws("-", (k % 90 + 1).cast("string"), (k % 7).cast("string")).alias("houseNo"), (k % 80 + 18).alias("age"), F.when(k % 2 == 0, "Male").otherwise("Female").alias("gender"),

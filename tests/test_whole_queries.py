@@ -45,3 +45,9 @@ def test_result_tokens_are_read_by_many_tasks(spark, sf):
     from cardloom.plans import sources
 
     assert sources.result_tokens(spark, sf).rdd.getNumPartitions() >= 16
+
+
+def test_cards_are_parsed_by_many_tasks(spark, sf):
+    from cardloom.plans import records
+
+    assert records.parse_cards(spark, sf).rdd.getNumPartitions() >= 16
