@@ -39,7 +39,7 @@ SHINGLE_BYTES = 6
 LEAST_BUCKETS = 32
 #: Rows (their numbers have 16 bits) and bytes of text of a block.
 BLOCK_ROWS = 10_000
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Texts of a side of a candidate cluster, about, and visitors that a task verifies against those of a side.
 CLUSTER_TEXTS = 1024
 
@@ -87,14 +87,19 @@ def _block_rows(ids: pa.Array, texts: pa.Array, block: int, buckets: int) -> Ite
                 own.append(at + i)
         keys1.append(part.key1)
         keys2.append(part.key2)
-    posted = np.sort(np.concatenate(tokens)) if tokens else np.zeros(0, _U)
-    del tokens
-    holder = (posted & _U(0xFFFF)).astype(np.uint16)
+    # these arrays are a block's largest: each is let go as soon as the next is made, as all tasks of an executor have one of each
+    posted = np.concatenate(tokens) if tokens else np.zeros(0, _U)
+    tokens.clear()
+    posted.sort()
+    holder = posted.astype(np.uint16)  # the low bits
     posted >>= _U(16)
     first = np.ones(len(posted), dtype=bool)
-    first[1:] = posted[1:] != posted[:-1]
+    np.not_equal(posted[1:], posted[:-1], out=first[1:])
     distinct = posted[first]
-    held = np.diff(np.append(np.flatnonzero(first), len(posted))).astype(np.uint16)
+    many = len(posted)
+    del posted
+    held = np.diff(np.flatnonzero(first).astype(np.uint32), append=np.uint32(many)).astype(np.uint16)
+    del first
     cuts = np.searchsorted(distinct, np.array([-(-b * (1 << _TOKEN_BITS) // buckets) for b in range(buckets + 1)], dtype=_U))
     head = {
         "ids": np.array(ids.fill_null(0)), "id_null": np.array(ids.is_null()), "n": np.array(sizes, np.int64), "own": np.array(own, np.int64),

@@ -130,3 +130,23 @@ def test_components_of_a_long_chain(spark):
     edges = spark.range(300).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v")).unionByName(spark.createDataFrame([(900, 901), (900, 900)], "u long, v long"))
     got = {r.node: r.root for r in connected_components(edges).collect()}
     assert all(got[i] == 0 for i in range(301)) and got[901] == 900
+
+
+def test_a_block_takes_little_memory():
+    """All tasks of an executor hold a block each."""
+    import random
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from cardloom.llm import ngram_join as N
+
+    rng = random.Random(5)
+    words = [f"w{n}" for n in range(5000)]
+    texts = [" ".join(rng.choices(words, k=600)) for _ in range(N.BLOCK_BYTES // 3500)]
+    list(N._block_rows(pa.array([1], pa.int64()), pa.array(texts[:1]), 0, 32))  # what is loaded once does not count
+    tracemalloc.start()
+    rows = sum(1 for _ in N._block_rows(pa.array(range(len(texts)), pa.int64()), pa.array(texts), 0, 32))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 33 and peak < 60e6
