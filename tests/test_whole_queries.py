@@ -51,3 +51,21 @@ def test_cards_are_parsed_by_many_tasks(spark, sf):
     from cardloom.plans import records
 
     assert records.parse_cards(spark, sf).rdd.getNumPartitions() >= 16
+
+
+def test_page_files_are_written_by_many_tasks(spark, sf):
+    """The files of a doc, each of one page, come from several tasks."""
+    import glob
+    import re
+
+    from cardloom.plans import sources
+
+    folders = []
+    plain = sources.new_folder
+    sources.new_folder = lambda s, tag: folders.append(plain(s, tag)) or folders[-1]
+    try:
+        sources.page_tokens(spark, sf)
+    finally:
+        sources.new_folder = plain
+    files = glob.glob(re.sub("^file:/*", "/", folders[0]) + "/*/part-*.txt")
+    assert len(files) == 10 and len({re.search(r"part-(\d+)-", f)[1] for f in files}) > 1
